@@ -153,6 +153,8 @@ def murmur3_sql(source: str, id_col: str, out: str, keep: str = "*") -> str:
     for name, expr in steps:
         sql = f"(SELECT *, {expr} AS {name} FROM {sql})"
     final = steps[-1][0]
+    if keep == "*":
+        keep = f"* EXCLUDE ({', '.join(name for name, _ in steps)})"
     return f"SELECT {keep}, CASE WHEN {id_col} IS NOT NULL THEN {final} END AS {out} FROM {sql}"
 
 
@@ -164,6 +166,4 @@ def next_pow2(n: int) -> int:
 def next_pow2_col(n: str | Column) -> Column:
     """H7 as an expression: 1 for n <= 1, else 2^bitlength(n-1)."""
     c = F.col(n) if isinstance(n, str) else n
-    return F.when(c <= 1, F.lit(1).cast("long")).otherwise(
-        F.shiftleft(F.lit(1).cast("long"), F.length(F.bin(c - 1)))
-    )
+    return F.when(c <= 1, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.length(F.bin(c - 1))).cast("long"))

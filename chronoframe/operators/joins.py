@@ -54,14 +54,15 @@ def unmatched_keys(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str |
     return df.join(lk, on=key, how="left_anti")
 
 
-def unmatched_report(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> DataFrame:
-    """C7 as one row: misses, distinct missing keys, and the first 10 sorted."""
+def unmatched_report(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> LookupReport:
+    """Number of misses, distinct missing keys and the first 10 sorted.
+
+    Two bounded results reach the driver: one aggregate row and at most ten keys.
+    """
     miss = unmatched_keys(df.select(key), lookup, key, lookup_key)
-    return miss.agg(
-        F.count(F.lit(1)).alias("n_missing"),
-        F.count_distinct(key).alias("n_missing_keys"),
-        F.slice(F.sort_array(F.collect_set(key)), 1, 10).alias("first_missing"),
-    )
+    row = miss.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k")).first()
+    first = [r[key] for r in first_unmatched(df, lookup, key, lookup_key).collect()] if row["n"] else []
+    return LookupReport(0, 0, int(row["n"]), int(row["k"]), tuple(first))
 
 
 def first_unmatched(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None, n: int = 10) -> DataFrame:
@@ -101,11 +102,11 @@ def attach_lookup(
         raise LookupError_(f"lookup key {key} is not unique: {prof.n_rows} rows over {prof.n_keys} keys; e.g. {[r[key] for r in dups.collect()]}")
     right = F.broadcast(lk) if prof.n_rows <= broadcast_max_rows else lk
     if mode == "raise":
-        rep = unmatched_report(df, lk, key).first()
-        if rep["n_missing"]:
+        rep = unmatched_report(df, lk, key)
+        if rep.misses:
             raise LookupError_(
-                f"{rep['n_missing']} rows over {rep['n_missing_keys']} {key}(s) have no {out}; "
-                f"the lookup is out of sync with the log. First unknown {key}s: {list(rep['first_missing'])}"
+                f"{rep.misses} rows over {rep.distinct_misses} {key}(s) have no {out}; "
+                f"the lookup is out of sync with the log. First unknown {key}s: {list(rep.first_misses)}"
             )
         joined = df.join(right, on=key, how="left")
     elif mode == "quarantine":
