@@ -20,7 +20,7 @@ def bucket_sizes(df: DataFrame, cols: Sequence[str], headroom: int = 4, approx:
     cnt = F.approx_count_distinct if approx else F.count_distinct
     row = df.agg(*[cnt(c).alias(c) for c in cols])
     stacked = row.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("n_distinct")) for c in cols])).alias("s")
+        F.explode(F.array(*[F.struct(F.lit(c).alias("id_column"), F.col(c).cast("long").alias("n_distinct")) for c in cols])).alias("s")
     ).select("s.*")
     return stacked.withColumn("n_buckets", next_pow2_col(F.col("n_distinct") * headroom))
 

@@ -311,13 +311,24 @@ def _hash_buckets(spark, sf_dir):
 def _murmur(spark, sf_dir):
     from ..functions.hashing import with_murmur3
 
-    return with_murmur3(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", "murmur3")
+    return with_murmur3(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", "murmur3", engine="expr")
+
+
+@register(
+    "murmur3_ids_arrow",
+    murmur3_sql("(SELECT l_orderkey FROM lineitem)", "l_orderkey", "murmur3", keep="l_orderkey"),
+)
+def _murmur_arrow(spark, sf_dir):
+    from ..functions.hashing import with_murmur3
+
+    return with_murmur3(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", "murmur3")
 
 
 @register(
     "bucket_sizes",
-    f"SELECT * FROM (VALUES ('user_id', (SELECT count(DISTINCT user_id) FROM {EV_SQL})), ('video_id', (SELECT count(DISTINCT video_id) FROM {EV_SQL}))) "
-    f"v(column, n_distinct_raw) , LATERAL (SELECT CAST(n_distinct_raw AS BIGINT) AS n_distinct, {_np2_sql('4 * n_distinct_raw')} AS n_buckets)",
+    f"SELECT id_column, n_distinct, {_np2_sql('4 * n_distinct')} AS n_buckets FROM ("
+    f"SELECT 'user_id' AS id_column, CAST(count(DISTINCT user_id) AS BIGINT) AS n_distinct FROM {EV_SQL} UNION ALL "
+    f"SELECT 'video_id', CAST(count(DISTINCT video_id) AS BIGINT) FROM {EV_SQL})",
 )
 def _bucket_sizes(spark, sf_dir):
     return bucket_sizes(events_log(spark, sf_dir), ["user_id", "video_id"])
