@@ -87,3 +87,9 @@ def hour_floor(ts: str | Column = "ts") -> Column:
 def split_at(df: DataFrame, cutoff, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
     """Complementary ``[.., cutoff)`` and ``[cutoff, ..)`` frames."""
     return time_slice(df, ts, end=cutoff), time_slice(df, ts, start=cutoff)
+
+
+def ntz_from_micros(us: str | Column) -> Column:
+    """Epoch microseconds -> ``timestamp_ntz`` (UTC wall clock), zone-independent."""
+    c = F.col(us) if isinstance(us, str) else us
+    return F.timestamp_add("MICROSECOND", c, _EPOCH_NTZ)

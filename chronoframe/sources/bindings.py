@@ -54,7 +54,11 @@ EV = Registry(
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return bind_events(table(spark, sf_dir, "events"))
+
+
+def bind_events(ev: DataFrame) -> DataFrame:
+    """EV roles from a raw ``events`` frame -- batch or streaming alike."""
     k = F.get_json_object("props", "$.k").cast("long")
     df = ev.select(
         "event_id",
