@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_micros(df: DataFrame, col: str) -> Column:
@@ -19,7 +20,7 @@ def epoch_micros(df: DataFrame, col: str) -> Column:
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, F.col(col))
+        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(col))
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(col))
     if isinstance(dtype, (T.LongType, T.IntegerType)):
@@ -92,4 +93,4 @@ def split_at(df: DataFrame, cutoff, ts: str = "ts") -> tuple[DataFrame, DataFram
 def ntz_from_micros(us: str | Column) -> Column:
     """Epoch microseconds -> ``timestamp_ntz`` (UTC wall clock), zone-independent."""
     c = F.col(us) if isinstance(us, str) else us
-    return F.timestamp_add("MICROSECOND", c, _EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", c, _epoch_ntz())

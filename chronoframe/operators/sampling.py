@@ -57,21 +57,21 @@ def neg_sample_exact(df: DataFrame, signals: Sequence[str], id_cols: Sequence[st
     for b in sorted(sizes):
         offsets[b] = run
         run += sizes[b]
-    # Ranges wholly before the k-th row are kept without ranking; only the
-    # one range holding the boundary is ranked.
-    full = [b for b, off in offsets.items() if off + sizes[b] <= k]
-    boundary = [b for b, off in offsets.items() if off < k < off + sizes[b]]
-    kept_full = keyed.filter(F.col("__b").isin(full)) if full else None
+    # Ranges are ordered hex prefixes: every range before the one holding the
+    # k-th row is kept whole (one comparison), only that boundary range is ranked.
+    boundary = next((b for b in sorted(sizes) if offsets[b] < k < offsets[b] + sizes[b]), None)
+    whole_before = next((b for b in sorted(sizes) if offsets[b] + sizes[b] > k), None)
     parts = [pos_rows]
-    if kept_full is not None:
-        parts.append(kept_full.drop("__h", "__b"))
-    if boundary:
-        b = boundary[0]
+    if whole_before is None:  # k == n_neg: every negative is kept
+        parts.append(keyed.drop("__h", "__b"))
+    else:
+        parts.append(keyed.filter(F.col("__b") < F.lit(whole_before)).drop("__h", "__b"))
+    if boundary is not None:
         w = Window.partitionBy("__b").orderBy("__h", *id_cols)
         edge = (
-            keyed.filter(F.col("__b") == b)
+            keyed.filter(F.col("__b") == boundary)
             .withColumn("__r", F.row_number().over(w))
-            .filter(F.col("__r") <= k - offsets[b])
+            .filter(F.col("__r") <= k - offsets[boundary])
             .drop("__h", "__b", "__r")
         )
         parts.append(edge)

@@ -53,12 +53,18 @@ def replay_source(spark: SparkSession, path: str, schema: T.StructType, glob: st
     return r.parquet(path)
 
 
-def drain_marker(spark: SparkSession, schema: T.StructType, values: dict) -> str:
+def drain_marker(spark: SparkSession, schema: T.StructType, values: dict, into: str | None = None) -> str:
     """Write one far-future control row (reserved key) that moves the final
-    watermark past every real event; returns its folder for a second stream."""
-    path = new_dir(spark, "drain")
+    watermark past every real event.
+
+    With ``into`` the row is appended as the newest file of the replay folder,
+    so a ``maxFilesPerTrigger`` replay (oldest files first) reads it last; without
+    it, the row goes to its own folder for a second stream, which is only
+    correct when the whole log arrives in the first micro-batch.
+    """
+    path = into or new_dir(spark, "drain")
     row = {f.name: values.get(f.name) for f in schema.fields}
-    spark.createDataFrame([row], schema).coalesce(1).write.parquet(path)
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
