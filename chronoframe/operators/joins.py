@@ -192,7 +192,13 @@ def asof_join(
         ent = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
         # Newest right row of every (key, slice), and the slices the left side needs.
         rl = R.withColumn("__s", slice_of("__t", slice_us)).groupBy(*keys, "__s").agg(F.max("__r").alias("__rl"))
-        need = ent.filter(~_any_null(keys)).select(*keys, "__s").distinct().withColumn("__rl", F.lit(None).cast(rl.schema["__rl"].dataType))
+        # Slices the left side needs, straight from its key and time columns.
+        need = (
+            left.filter(~_any_null(keys) & F.col(left_ts).isNotNull())
+            .select(*keys, slice_of(left_ts, slice_us).alias("__s"))
+            .distinct()
+            .withColumn("__rl", F.lit(None).cast(rl.schema["__rl"].dataType))
+        )
         wk = Window.partitionBy(*keys).orderBy("__s").rangeBetween(Window.unboundedPreceding, -1)
         carry = (
             rl.withColumn("__need", F.lit(False))

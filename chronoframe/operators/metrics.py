@@ -93,13 +93,17 @@ def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int) -> Dat
         return c.withColumn("tp", F.sum("p").over(w)).withColumn("fp", F.sum("n").over(w))
     if strategy != "ranged":
         raise ValueError(f"unknown strategy {strategy!r}")
+    # Everything below hangs off the per-(target, score) counts: the scored rows
+    # are read and reduced once (partial aggregation map-side), and the range
+    # bounds are quantiles of the *distinct* scores, which is what balances the
+    # window partitions.
+    c = _score_counts(long_scores, [])
     qs = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = long_scores.groupBy("target").agg(F.percentile_approx("y_score", qs, 10_000).alias("__b"))
+    bounds = c.groupBy("target").agg(F.percentile_approx("y_score", qs, 10_000).alias("__b"))
     # targets x n_ranges values: a proven, small bound -> broadcast.
-    ranged = long_scores.join(F.broadcast(bounds), "target").withColumn(
+    c = c.join(F.broadcast(bounds), "target").withColumn(
         "__r", F.size(F.filter("__b", lambda b: b > F.col("y_score")))
-    )  # range 0 holds the highest scores
-    c = _score_counts(ranged, ["__r"])
+    ).drop("__b")  # range 0 holds the highest scores
     tot = c.groupBy("target", "__r").agg(F.sum("p").alias("__rp"), F.sum("n").alias("__rn"))
     wo = Window.partitionBy("target").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(

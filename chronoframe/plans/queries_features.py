@@ -384,7 +384,14 @@ def _training(fn, strategy):
 
 register("training_table", _training_sql())(_training(training_table, "sliced"))
 register("training_table_direct", _training_sql())(_training(training_table, "direct"))
-register("training_table_asof", _training_sql())(_training(training_table_asof, "sliced"))
+@register("training_table_asof", _training_sql())
+def _training_asof(spark, sf_dir):
+    """Feature-store path: sources built and stored under the shared checkpoint
+    folder (A5), read back and as-of joined onto the impressions (C2-C4)."""
+    from ..streaming.replay import new_dir
+
+    out = training_table_asof(events_log(spark, sf_dir), EV, store_path=new_dir(spark, "sources"))
+    return out.withColumn("dwell_log", F.round("dwell_log", 9))
 
 
 def _training_li_sql() -> str:
@@ -408,4 +415,49 @@ def _training_li(spark, sf_dir):
 
 @register("training_table_li_asof", _training_li_sql())
 def _training_li_asof(spark, sf_dir):
-    return training_table_asof(lineitem_log(spark, sf_dir), LI)
+    from ..streaming.replay import new_dir
+
+    return training_table_asof(lineitem_log(spark, sf_dir), LI, store_path=new_dir(spark, "sources"))
+
+
+# -- A6 / A7: stored training table read back by time range, sampled, zero-filled ------------
+READ_START, READ_END = "2024-01-05 00:00:00", "2024-01-25 00:00:00"
+
+
+def _read_training_sql(frac: float) -> str:
+    feats = [c.name for c in EV.store_cols]
+    sel = f"event_id, ts, {', '.join(f'coalesce({c}, 0) AS {c}' for c in feats)}, user_id_bucket, video_id_bucket, is_skip, dwell_log, {', '.join(ENGAGED)}"
+    base = f"(SELECT * FROM ({_training_sql()}) WHERE ts >= TIMESTAMP '{READ_START}' AND ts < TIMESTAMP '{READ_END}')"
+    if frac >= 1.0:
+        return f"SELECT {sel} FROM {base}"
+    return f"""WITH b AS (SELECT *, {_NEG_SQL} AS neg, md5(concat_ws('|', CAST(event_id AS VARCHAR), '{SEED}')) AS h FROM {base}),
+    n AS (SELECT CAST(floor(count(*) * {frac}) AS BIGINT) AS k FROM b WHERE neg)
+    SELECT {sel} FROM b WHERE NOT neg
+    UNION ALL
+    SELECT {sel} FROM (SELECT *, row_number() OVER (ORDER BY h, event_id) AS r FROM b WHERE neg) x, n WHERE r <= n.k"""
+
+
+def _read_training(frac: float):
+    def q(spark, sf_dir):
+        from ..sources.io import read_training, write_table
+        from ..streaming.replay import new_dir
+
+        path = new_dir(spark, "training")
+        write_table(training_table(events_log(spark, sf_dir), EV).withColumn("dwell_log", F.round("dwell_log", 9)), path)
+        return read_training(
+            spark,
+            path,
+            features=[c.name for c in EV.store_cols],
+            categorical=["user_id_bucket", "video_id_bucket"],
+            targets=["is_skip", "dwell_log"],
+            signals=list(ENGAGED),
+            neg_keep_frac=frac,
+            start=READ_START,
+            end=READ_END,
+        )
+
+    return q
+
+
+register("read_training_range", _read_training_sql(1.0))(_read_training(1.0))
+register("read_training_sampled", _read_training_sql(0.5))(_read_training(0.5))

@@ -129,12 +129,42 @@ def _freshness(spark, sf_dir):
 
 @register("stream_eval_metrics", _ranking_sql(_ALL_RANK))
 def _stream_eval(spark, sf_dir):
-    """Score the streamed (served) features, append the scored rows per
-    micro-batch, then compute the metrics over the whole scored table."""
+    """Every micro-batch of served features is scored (stream-static
+    join to the labels) and appended by a foreachBatch sink; the metrics run once
+    over all appended batches."""
     from ..functions.labels import sigmoid, with_engagement_targets
+    from ..streaming.replay import parquet_append_sink
     from .queries_eval import BINARY, _logit_of
 
-    served = stream_view(spark, sf_dir, EV_USER)
     labels = with_engagement_targets(events_log(spark, sf_dir)).select("event_id", *EV_SIGNALS, "is_skip")
+    served = view_stream(ev_stream(spark, sf_dir), EV, EV_USER)
     scored = served.join(labels, "event_id").withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
-    return _r9(ranking_metrics(to_long(scored, BINARY)), _ALL_RANK)
+    path = new_dir(spark, "scored")
+    run(scored, [parquet_append_sink(path)])
+    return _r9(ranking_metrics(to_long(spark.read.parquet(path), BINARY)), _ALL_RANK)
+
+
+@register(
+    "stream_online_source",
+    f"""WITH lt AS ({_latest_sql(_USER_SRC_SQL, ['user_id'], _UFEAT, f"WHERE ts < TIMESTAMP '{ARM_START}'")})
+    SELECT e.event_id, e.user_id, e.ts, {', '.join(f'coalesce(lt.{c}, 0.0) AS {c}' for c in _UFEAT)},
+           epoch_us(e.ts) - epoch_us(lt.ts) AS served_age_us
+    FROM events e LEFT JOIN lt USING (user_id) WHERE e.ts >= TIMESTAMP '{ARM_START}'""",
+)
+def _stream_online(spark, sf_dir):
+    """S10(b) + S12: serve the arm's events from the online table (materialised
+    from history before the arm) with a stream-static left join; the values are
+    as stale as the table, which ``served_age_us`` reports."""
+    from ..functions.timecols import epoch_micros
+    from ..operators.latest import materialize, online_lookup
+    from ..operators.windows import view_source
+
+    src = view_source(events_log(spark, sf_dir), EV, EV_USER)
+    latest = materialize(src, ["user_id"], "ts", _UFEAT, end=ARM_START).withColumnRenamed("ts", "served_ts")
+    latest = latest.withColumn("served_us", epoch_micros(latest, "served_ts")).drop("served_ts")
+    req = ev_stream(spark, sf_dir, start=ARM_START).select("event_id", "user_id", "ts", "ts_us")
+    served = online_lookup(req.join(latest.select("user_id", "served_us"), "user_id", "left"), {("user_id",): latest.drop("served_us")}, _UFEAT)
+    served = served.withColumn("served_age_us", F.col("ts_us") - F.col("served_us"))
+    out = new_dir(spark, "served")
+    run(served.select("event_id", "user_id", "ts", *_UFEAT, "served_age_us"), out=out)
+    return _real(spark.read.parquet(out), ["user_id"])

@@ -52,9 +52,25 @@ def training_table(log: DataFrame, registry: Registry, *, strategy: str = "slice
     return add_view_features(ent, registry, strategy).drop("ts_us")
 
 
-def feature_sources(log: DataFrame, registry: Registry, strategy: str = "sliced") -> dict[str, DataFrame]:
-    """A5: one source table per view (keys, time, features)."""
-    return {v.name: view_source(log, registry, v, strategy=strategy) for v in registry.views}
+def feature_sources(log: DataFrame, registry: Registry, strategy: str = "sliced", path: str | None = None) -> dict[str, DataFrame]:
+    """A5: one source table per view (keys, time, features).
+
+    With ``path`` each source is written as a parquet table (time-sorted
+    within files) under ``path/<view>`` and read back, as a feature store holds
+    them: later as-of joins read stored tables instead of recomputing windows,
+    and the lineage is cut.
+    """
+    out = {v.name: view_source(log, registry, v, strategy=strategy) for v in registry.views}
+    if path is None:
+        return out
+    from ..sources.io import write_source
+
+    spark = log.sparkSession
+    stored = {}
+    for name, df in out.items():
+        write_source(df, f"{path}/{name}")
+        stored[name] = spark.read.parquet(f"{path}/{name}")
+    return stored
 
 
 def training_table_asof(
@@ -64,9 +80,14 @@ def training_table_asof(
     *,
     strategy: str = "sliced",
     sizes: dict[str, int] | None = None,
+    store_path: str | None = None,
 ) -> DataFrame:
-    """C2-C4 path: as-of join every view's source table onto the impressions."""
-    sources = sources or feature_sources(log, registry, strategy)
+    """C2-C4 path: as-of join every view's source table onto the impressions.
+
+    Without ``sources`` they are built from ``log`` (and stored under
+    ``store_path`` when given).
+    """
+    sources = sources or feature_sources(log, registry, strategy, path=store_path)
     ent = impression_frame(log, registry, sizes)
     for view in registry.views:
         names = [c.name for c in registry.cols(view)]

@@ -12,9 +12,20 @@ from ..functions.timecols import time_slice
 from ..operators.sampling import neg_sample_exact
 
 
-def write_source(df: DataFrame, path: str, ts: str = "ts") -> None:
-    """A5: a feature source table partitioned by event date, so range reads prune folders."""
-    df.withColumn("dt_date", F.to_date(ts)).write.mode("overwrite").partitionBy("dt_date").parquet(path)
+def write_source(df: DataFrame, path: str, ts: str = "ts", partition_by_date: bool = False) -> None:
+    """A5: a feature source table.
+
+    Rows are sorted by time inside each file, so parquet row-group min/max
+    statistics skip whole groups for time-range reads. ``partition_by_date``
+    additionally writes one folder per event date (folder pruning); use it
+    when a day holds many row groups -- on a small or long, sparse log it
+    produces many tiny files.
+    """
+    if partition_by_date:
+        df = df.withColumn("dt_date", F.to_date(ts)).repartition("dt_date").sortWithinPartitions(ts)
+        df.write.mode("overwrite").partitionBy("dt_date").parquet(path)
+    else:
+        df.sortWithinPartitions(ts).write.mode("overwrite").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
