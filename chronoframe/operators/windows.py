@@ -23,10 +23,23 @@ Three physical strategies, same results on integral signals:
     of all rows is spread over ``span / slice`` window partitions instead of
     one task, at the price of ``m + 1`` copies in the single shuffle.
 
+``split``
+    For keys too hot even for one window of time per task. Events are first
+    reduced to one row per ``(keys, time)`` (map-side partial aggregation, so
+    a hot tied group collapses before the shuffle; exact because tied events
+    never see each other). Every reduced row ``t`` adds a *probe* row at
+    ``t - W``. Each row's exclusive prefix ``S(< time)`` is a growing frame
+    inside its ``(keys, sub-slice)`` plus the carried total of the earlier
+    sub-slices, so no task ever needs more than one sub-slice of one key.
+    The window value is ``S(< t) - S(< t - W)``; probe and event meet again
+    in a join on ``(keys, t)``, and the result is joined back to the events
+    (one row per ``(keys, t)`` on the right, which AQE splits when the left
+    is skewed). Integral signals only.
+
 The running (cumulative) count has the same choice: ``direct`` is a growing
 frame per key; ``sliced`` is a growing frame per ``(keys, slice)`` plus a
 carried-in total of the earlier slices, computed on the small per-slice
-totals table.
+totals table; ``split`` is the prefix half of the form above.
 """
 
 from __future__ import annotations
@@ -38,6 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..registry import DAY_US, FeatureView, Kind, Registry, cumulative_name, rolling_name
+from .skew import hot_widths, slice_by, with_width
 
 _INTEGRAL = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 UNBOUNDED = Window.unboundedPreceding
@@ -69,6 +83,73 @@ def _sliding_mean(sig: str, w, window_us: int) -> Column:
     return F.avg(F.col(sig).cast("double")).over(w.rangeBetween(-int(window_us), -1))
 
 
+def _split_prefix(
+    df: DataFrame,
+    keys: Sequence[str],
+    rolling: Sequence[tuple[str, str]],
+    cumulative: Sequence[tuple[str, str]],
+    window_us: int,
+    ts_us: str,
+    sub_us: int,
+    adaptive: bool = True,
+) -> DataFrame:
+    """The ``split`` strategy: add rolling means and prior sums (see module doc)."""
+    sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
+    # One struct key: a NULL key value is a group of its own (as in the
+    # window forms), and struct equality matches NULL fields in every join.
+    src = df.withColumn("__key", F.struct(*keys))
+    keys = ["__key"]
+    idx = {s: i for i, s in enumerate(sigs)}
+    n = len(sigs)
+    kt = [*keys, ts_us]
+    reduced = (
+        src.filter(F.col(ts_us).isNotNull())
+        .groupBy(*kt)
+        .agg(*[F.sum(_num(s)).alias(f"__s{i}") for i, s in enumerate(sigs)], *[F.count(_num(s)).alias(f"__c{i}") for i, s in enumerate(sigs)])
+    )
+    meas = [f"__s{i}" for i in range(n)] + [f"__c{i}" for i in range(n)]
+    data = reduced.select(*keys, F.col(ts_us).alias("__t"), F.col(ts_us).alias("__o"), F.lit(True).alias("__d"), *meas)
+    parts = data
+    if rolling:
+        probe = reduced.select(
+            *keys,
+            (F.col(ts_us) - F.lit(int(window_us))).alias("__t"),
+            F.col(ts_us).alias("__o"),
+            F.lit(False).alias("__d"),
+            *[F.lit(None).cast("long").alias(m) for m in meas],
+        )
+        parts = data.unionByName(probe)
+    # Sub-slice width per key: ``sub_us``, narrower for keys too hot for it.
+    widths = hot_widths(reduced, "__key", ts_us, sub_us) if adaptive else None
+    u = with_width(parts, "__key", widths, sub_us).withColumn("__b", slice_by("__t", "__w")).drop("__w")
+    # Exclusive prefix inside the row's own sub-slice ...
+    w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(UNBOUNDED, -1)
+    within = u.withColumns({f"__p{m}": F.coalesce(F.sum(m).over(w), F.lit(0).cast("long")) for m in meas})
+    # ... plus the totals of all earlier sub-slices of the key (one row per
+    # key and sub-slice; probe-only sub-slices get a row too).
+    totals = u.groupBy(*keys, "__b").agg(*[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(f"__t{m}") for m in meas])
+    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(UNBOUNDED, -1)
+    carry = totals.select(*keys, "__b", *[F.coalesce(F.sum(f"__t{m}").over(wk), F.lit(0).cast("long")).alias(f"__k{m}") for m in meas])
+    pref = within.join(carry, on=[*keys, "__b"], how="left").select(
+        *keys, "__o", "__d", *[(F.col(f"__p{m}") + F.col(f"__k{m}")).alias(f"__P{m}") for m in meas]
+    )
+    hi = pref.filter(F.col("__d")).drop("__d")
+    out_cols = {}
+    for s, name in cumulative:
+        out_cols[name] = F.col(f"__P__s{idx[s]}")
+    if rolling:
+        lo = pref.filter(~F.col("__d")).select(*keys, "__o", *[F.col(f"__P{m}").alias(f"__L{m}") for m in meas])
+        hi = hi.join(lo, on=[*keys, "__o"], how="left")
+        for s, name in rolling:
+            i = idx[s]
+            c = F.col(f"__P__c{i}") - F.col(f"__L__c{i}")
+            out_cols[name] = F.when(c > 0, (F.col(f"__P__s{i}") - F.col(f"__L__s{i}")).cast("double") / c)
+    feats = hi.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
+    joined = src.join(feats, on=["__key", ts_us], how="left").drop("__key")
+    fill = {name: F.coalesce(F.col(name), F.lit(0).cast("long")) for _, name in cumulative}
+    return joined.withColumns(fill) if fill else joined
+
+
 def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],
@@ -79,10 +160,19 @@ def rolling_mean(
     names: Sequence[str] | None = None,
     strategy: str = "sliced",
     slice_factor: int = 1,
+    sub_us: int | None = None,
 ) -> DataFrame:
-    """Add one leak-free rolling mean per signal (DoubleType)."""
+    """Add one leak-free rolling mean per signal (DoubleType).
+
+    ``sub_us`` is the sub-slice width of the ``split`` strategy (default W/7).
+    """
     keys = list(keys)
     names = list(names) if names is not None else [rolling_name(s, keys) for s in signals]
+    if strategy == "split":
+        if all(_is_integral(df, s) for s in signals):
+            sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
+            return _split_prefix(df, keys, list(zip(signals, names)), [], window_us, ts_us, sub)
+        strategy = "sliced"  # differences are exact for integers only
     if strategy == "direct":
         w = Window.partitionBy(*keys).orderBy(ts_us)
         return df.withColumns({n: _sliding_mean(s, w, window_us) for s, n in zip(signals, names)})
@@ -149,6 +239,10 @@ def cumulative_sum(
     if strategy == "direct":
         p = prior(Window.partitionBy(*keys))
         return df.withColumns({n: p(s) for s, n in zip(signals, names)})
+    if strategy == "split" and ties == "exclude":
+        return _split_prefix(df, keys, [], list(zip(signals, names)), 0, ts_us, int(slice_us))
+    if strategy == "split":
+        strategy = "sliced"
     if strategy != "sliced":
         raise ValueError(f"unknown strategy {strategy!r}")
     sl = "__slice"
@@ -187,6 +281,10 @@ def view_source(
     cum = registry.cols(view, Kind.CUMULATIVE)
     needed = list(dict.fromkeys([*keys, ts, ts_us, *extra, *[c.signal for c in rolling + cum]]))
     df = base.select(*needed)
+    if strategy == "split" and all(_is_integral(df, c.signal) for c in rolling + cum):
+        sub = max(1, int(registry.window_us) // 7)
+        df = _split_prefix(df, keys, [(c.signal, c.name) for c in rolling], [(c.signal, c.name) for c in cum], registry.window_us, ts_us, sub)
+        return df.select(*keys, ts, ts_us, *extra, *[c.name for c in rolling + cum])
     df = rolling_mean(
         df, keys, [c.signal for c in rolling], registry.window_us, ts_us=ts_us, names=[c.name for c in rolling], strategy=strategy
     )

@@ -66,6 +66,8 @@ for _name, _load, _ids, _keys, _sig, _days, _strategy in [
     ("rolling_item_ties", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "sliced"),
     ("rolling_item_ties_direct", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "direct"),
     ("rolling_user_author_li", lineitem_log, LI_IDS, ["user_id", "author_id"], LI_SIGNALS, 365, "sliced"),
+    ("rolling_user_split", events_log, EV_IDS, ["user_id"], EV_SIGNALS, 7, "split"),
+    ("rolling_item_ties_split", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "split"),
 ]:
     register(_name, _rolling_sql(EV_SQL if _load is events_log else LI_SQL, _ids, _keys, _sig, _days))(
         _rolling_query(_load, _ids, _keys, _sig, _days * DAY_US, _strategy)
@@ -85,6 +87,7 @@ for _name, _load, _ids, _keys, _sig, _strategy in [
     ("cumulative_item", events_log, EV_IDS, ["video_id"], ["is_click"], "sliced"),
     ("cumulative_item_direct", events_log, EV_IDS, ["video_id"], ["is_click"], "direct"),
     ("cumulative_item_ties", lineitem_log, LI_IDS, ["video_id"], ["is_returned"], "sliced"),
+    ("cumulative_item_ties_split", lineitem_log, LI_IDS, ["video_id"], ["is_returned"], "split"),
 ]:
     _sel = ", ".join(dict.fromkeys([*_ids, *_keys]))
     register(_name, f"SELECT {_sel}, ts, {_cum_cols(_keys, _sig)} FROM {EV_SQL if _load is events_log else LI_SQL}")(

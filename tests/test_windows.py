@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from chronoframe.operators.windows import cumulative_sum, rolling_mean, with_history
 from chronoframe.registry import DAY_US
 
-STRATEGIES = ["direct", "prefix", "sliced"]
+STRATEGIES = ["direct", "prefix", "sliced", "split"]
 D0 = dt.datetime(2024, 4, 8)
 
 
@@ -50,7 +50,7 @@ def test_ties_excluded_and_lower_edge_included(spark, strategy):
     assert got == [None, None, 0.5]
 
 
-@pytest.mark.parametrize("strategy", ["sliced", "direct"])
+@pytest.mark.parametrize("strategy", ["sliced", "direct", "split"])
 @pytest.mark.parametrize("factor", [1, 3])
 def test_sliced_matches_direct_on_random(spark, strategy, factor):
     import random
@@ -59,12 +59,14 @@ def test_sliced_matches_direct_on_random(spark, strategy, factor):
     rows = [(rng.randint(1, 4), rng.randint(0, 40), rng.randint(0, 1)) for _ in range(300)]
     df = frame(spark, rows).withColumn("id", F.monotonically_increasing_id())
     a = rolling_mean(df, ["user_id"], ["c"], 7 * DAY_US, names=["r"], strategy="direct").select("id", "r")
-    b = rolling_mean(df, ["user_id"], ["c"], 7 * DAY_US, names=["r"], strategy=strategy, slice_factor=factor).select("id", F.col("r").alias("r2"))
+    b = rolling_mean(
+        df, ["user_id"], ["c"], 7 * DAY_US, names=["r"], strategy=strategy, slice_factor=factor, sub_us=factor * DAY_US // 2
+    ).select("id", F.col("r").alias("r2"))
     j = a.join(b, "id").collect()
     assert len(j) == 300 and all((x.r is None and x.r2 is None) or abs(x.r - x.r2) < 1e-12 for x in j)
 
 
-@pytest.mark.parametrize("strategy", ["direct", "sliced"])
+@pytest.mark.parametrize("strategy", ["direct", "sliced", "split"])
 def test_cumulative_counts(spark, strategy):
     df = frame(spark, [(9, 0, 1), (9, 1, 1), (9, 2, 0)])
     out = cumulative_sum(df, ["user_id"], ["c"], names=["n"], strategy=strategy, slice_us=DAY_US)
@@ -84,3 +86,43 @@ def test_with_history_seeds_state(spark):
     arm = frame(spark, [(1, 2, 0), (1, 3, 1)])
     out = with_history(hist, arm, lambda d: rolling_mean(d, ["user_id"], ["c"], 7 * DAY_US, names=["r"]), lookback_us=7 * DAY_US)
     assert values(out, "r") == [1.0, 2 / 3]
+
+
+@pytest.mark.parametrize("hot_rows,sub_days", [(None, 1), (5, 7)])
+def test_split_hot_key_and_hot_tie_group(spark, monkeypatch, hot_rows, sub_days):
+    """One key holds most rows and one (key, time) group is large: the split
+    form (sub-slices of one day, pre-aggregated ties) equals the direct frame,
+    also when the hot key gets its own narrower sub-slices."""
+    import random
+
+    from chronoframe.operators import skew
+
+    if hot_rows:
+        monkeypatch.setattr(skew, "TARGET_ROWS", hot_rows)
+
+    rng = random.Random(7)
+    rows = [(1, rng.randint(0, 30), rng.randint(0, 1)) for _ in range(400)]
+    rows += [(1, 12, rng.randint(0, 1)) for _ in range(200)]  # hot tied group
+    rows += [(None, rng.randint(0, 30), 1) for _ in range(50)]  # NULL key is a group too
+    rows += [(2, rng.randint(0, 30), rng.randint(0, 1)) for _ in range(50)]
+    df = frame(spark, rows).withColumn("id", F.monotonically_increasing_id())
+    for fn, kw in [(rolling_mean, dict(window_us=7 * DAY_US)), (cumulative_sum, {})]:
+        a = fn(df, ["user_id"], ["c"], names=["r"], strategy="direct", **kw).select("id", "r")
+        extra = {"sub_us": sub_days * DAY_US} if fn is rolling_mean else {"slice_us": sub_days * DAY_US}
+        b = fn(df, ["user_id"], ["c"], names=["r"], strategy="split", **kw, **extra).select("id", F.col("r").alias("r2"))
+        j = a.join(b, "id").collect()
+        assert len(j) == len(rows)
+        assert all((x.r is None and x.r2 is None) or abs(x.r - x.r2) < 1e-12 for x in j), fn.__name__
+
+
+def test_hot_widths_bounded(spark):
+    from chronoframe.operators.skew import hot_widths
+
+    rows = [(1, d % 30, 1) for d in range(300)] + [(k, 0, 1) for k in range(2, 60)]
+    df = frame(spark, rows).withColumn("__key", F.struct("user_id"))
+    w = hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=50, max_hot=100)
+    got = w.collect()
+    assert [r["__key"]["user_id"] for r in got] == [1]
+    # 300 rows over 30 days at 50 rows per slice: about 5 days wide
+    assert 4 * DAY_US <= got[0]["__w"] <= 5 * DAY_US
+    assert hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=1000) is None
