@@ -11,7 +11,8 @@ over a window ordered by (time, side) -- one shuffle, no range join, and
 never more output rows than left rows. ``strategy="sliced"`` partitions by
 (key, time slice) and carries the newest right row of earlier slices in
 through a small per-(key, slice) table, so a key that holds a third of all
-rows is spread over many tasks.
+rows is spread over many tasks; keys too dense in time for ``slice_us`` get
+their own narrower slices (``skew.hot_widths``).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..registry import DAY_US
-from .windows import slice_of
+from .skew import hot_widths, slice_by, with_width
 
 #: Lookup tables up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -152,6 +153,7 @@ def asof_join(
     strategy: str = "sliced",
     slice_us: int = 7 * DAY_US,
     matched_ts: str | None = None,
+    adaptive: bool = True,
 ) -> DataFrame:
     """Point-in-time left join of ``right[values]`` onto every ``left`` row.
 
@@ -187,15 +189,23 @@ def asof_join(
         picked = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
         picked = picked.withColumn("__m", F.when(~_any_null(keys), F.col("__m")))
     elif strategy == "sliced":
-        u = u.withColumn("__s", F.coalesce(slice_of("__t", slice_us), F.lit(-(2**62))))
+        # Slice width per key: ``slice_us``, narrower for keys too hot for it.
+        ku = u.withColumn("__key", F.struct(*keys))
+        widths = hot_widths(ku.filter(~_any_null(keys)), "__key", "__t", slice_us) if adaptive else None
+
+        def sliced(df: DataFrame, ts: str) -> DataFrame:
+            keyed = df if "__key" in df.columns else df.withColumn("__key", F.struct(*keys))
+            return with_width(keyed, "__key", widths, slice_us).withColumn("__s", slice_by(ts, "__w")).drop("__w", "__key")
+
+        u = sliced(ku, "__t").withColumn("__s", F.coalesce(F.col("__s"), F.lit(-(2**62))))
         w = Window.partitionBy(*keys, "__s", "__salt").orderBy("__t", "__side", "__r").rowsBetween(Window.unboundedPreceding, 0)
         ent = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
         # Newest right row of every (key, slice), and the slices the left side needs.
-        rl = R.withColumn("__s", slice_of("__t", slice_us)).groupBy(*keys, "__s").agg(F.max("__r").alias("__rl"))
+        rl = sliced(R, "__t").groupBy(*keys, "__s").agg(F.max("__r").alias("__rl"))
         # Slices the left side needs, straight from its key and time columns.
         need = (
-            left.filter(~_any_null(keys) & F.col(left_ts).isNotNull())
-            .select(*keys, slice_of(left_ts, slice_us).alias("__s"))
+            sliced(left.filter(~_any_null(keys) & F.col(left_ts).isNotNull()).select(*keys, left_ts), left_ts)
+            .select(*keys, "__s")
             .distinct()
             .withColumn("__rl", F.lit(None).cast(rl.schema["__rl"].dataType))
         )

@@ -1,16 +1,16 @@
 """Hot-key handling shared by the sliced window and as-of forms.
 
 Time slicing spreads a key over ``span / width`` window partitions; a key
-that is dense in time still fills one. ``slice_widths`` finds the keys with
+that is dense in time still fills one. ``hot_widths`` finds the keys with
 more rows than a task should hold and gives each its own, narrower slice
 width, so rows per ``(key, slice)`` stay near ``target_rows``.
 
-The hot-key table is small by construction: the threshold is at least
-``total / max_hot`` rows, and no more than ``max_hot`` keys can each hold
-more than ``1 / max_hot`` of the rows. Only that table reaches the driver
-and it is broadcast; every other key keeps the base width. Results never
-depend on the widths (the slice only chooses the task), so this is purely
-a balancing decision.
+The hot-key table is small by construction: it holds the ``max_hot``
+heaviest keys above ``target_rows`` (a distributed top-k, one job). Only
+that table reaches the driver and it is broadcast; every other key keeps
+the base width. Results never depend on the widths (the slice only chooses
+the task), so this is purely a balancing decision, and a key outside the
+top ``max_hot`` is still computed exactly, just in wider slices.
 """
 
 from __future__ import annotations
@@ -38,9 +38,10 @@ def hot_widths(
     stats = df.filter(F.col(ts_us).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.min(ts_us).alias("lo"), F.max(ts_us).alias("hi")
     )
-    total = stats.agg(F.sum("n")).first()[0] or 0
-    threshold = max(int(target_rows), -(-int(total) // int(max_hot)))
-    hot = stats.filter(F.col("n") > F.lit(threshold)).collect()  # at most max_hot rows, see module doc
+    # One job: the max_hot heaviest keys (a distributed top-k), of which the
+    # ones above target_rows are hot.
+    top = stats.filter(F.col("n") > F.lit(target_rows)).orderBy(F.col("n").desc()).limit(max_hot).collect()
+    hot = [r for r in top if r["n"] > target_rows]
     if not hot:
         return None
     spark = df.sparkSession

@@ -133,18 +133,21 @@ def _split_prefix(
     pref = within.join(carry, on=[*keys, "__b"], how="left").select(
         *keys, "__o", "__d", *[(F.col(f"__p{m}") + F.col(f"__k{m}")).alias(f"__P{m}") for m in meas]
     )
-    hi = pref.filter(F.col("__d")).drop("__d")
+    # An event and its probe share (key, t): one aggregation brings them
+    # together and leaves the result partitioned by the join-back key.
+    hi = {m: F.max(F.when(F.col("__d"), F.col(f"__P{m}"))) for m in meas}
+    lo = {m: F.max(F.when(~F.col("__d"), F.col(f"__P{m}"))) for m in meas} if rolling else {}
+    pairs = pref.groupBy("__key", "__o").agg(
+        *[v.alias(f"__H{m}") for m, v in hi.items()], *[v.alias(f"__L{m}") for m, v in lo.items()]
+    )
     out_cols = {}
     for s, name in cumulative:
-        out_cols[name] = F.col(f"__P__s{idx[s]}")
-    if rolling:
-        lo = pref.filter(~F.col("__d")).select(*keys, "__o", *[F.col(f"__P{m}").alias(f"__L{m}") for m in meas])
-        hi = hi.join(lo, on=[*keys, "__o"], how="left")
-        for s, name in rolling:
-            i = idx[s]
-            c = F.col(f"__P__c{i}") - F.col(f"__L__c{i}")
-            out_cols[name] = F.when(c > 0, (F.col(f"__P__s{i}") - F.col(f"__L__s{i}")).cast("double") / c)
-    feats = hi.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
+        out_cols[name] = F.col(f"__H__s{idx[s]}")
+    for s, name in rolling:
+        i = idx[s]
+        c = F.col(f"__H__c{i}") - F.col(f"__L__c{i}")
+        out_cols[name] = F.when(c > 0, (F.col(f"__H__s{i}") - F.col(f"__L__s{i}")).cast("double") / c)
+    feats = pairs.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
     joined = src.join(feats, on=["__key", ts_us], how="left").drop("__key")
     fill = {name: F.coalesce(F.col(name), F.lit(0).cast("long")) for _, name in cumulative}
     return joined.withColumns(fill) if fill else joined

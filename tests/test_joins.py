@@ -51,3 +51,25 @@ def test_asof_sliced_equals_direct_random(spark):
     b = asof_join(left, right, ["k"], ["v"], strategy="sliced", slice_us=37, ttl_us=300).select("id", F.col("v").alias("w"))
     rows = a.join(b, "id").collect()
     assert len(rows) == 400 and all(r.v == r.w for r in rows)
+
+
+def test_asof_sliced_hot_key_equals_direct(spark, monkeypatch):
+    """Key 0 holds most rows and gets narrower slices than ``slice_us``."""
+    import random
+
+    from chronoframe.operators import skew
+
+    monkeypatch.setattr(skew, "TARGET_ROWS", 30)
+    rng = random.Random(5)
+    left = spark.createDataFrame(
+        [(i, 0 if i < 300 else rng.randint(1, 3), rng.randint(0, 1000)) for i in range(400)], "id long, k long, ts_us long"
+    )
+    right = spark.createDataFrame(
+        [(0 if i < 150 else rng.randint(1, 3), rng.randint(0, 1000), float(i)) for i in range(200)], "k long, ts_us long, v double"
+    )
+    widths = skew.hot_widths(right.withColumn("__key", F.struct("k")), "__key", "ts_us", 500)
+    assert widths is not None and widths.first()["__w"] < 500
+    a = asof_join(left, right, ["k"], ["v"], strategy="direct").select("id", "v")
+    b = asof_join(left, right, ["k"], ["v"], strategy="sliced", slice_us=500).select("id", F.col("v").alias("w"))
+    rows = a.join(b, "id").collect()
+    assert len(rows) == 400 and all(r.v == r.w for r in rows)
