@@ -83,7 +83,7 @@ def _sliding_mean(sig: str, w, window_us: int) -> Column:
     return F.avg(F.col(sig).cast("double")).over(w.rangeBetween(-int(window_us), -1))
 
 
-def _split_prefix(
+def _split_table(
     df: DataFrame,
     keys: Sequence[str],
     rolling: Sequence[tuple[str, str]],
@@ -93,7 +93,8 @@ def _split_prefix(
     sub_us: int,
     adaptive: bool = True,
 ) -> DataFrame:
-    """The ``split`` strategy: add rolling means and prior sums (see module doc)."""
+    """The ``split`` strategy's feature table: one row per (``__key``, time),
+    ``__key`` being the struct of the keys (see module doc)."""
     sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
     # One struct key: a NULL key value is a group of its own (as in the
     # window forms), and struct equality matches NULL fields in every join.
@@ -147,12 +148,79 @@ def _split_prefix(
         i = idx[s]
         c = F.col(f"__H__c{i}") - F.col(f"__L__c{i}")
         out_cols[name] = F.when(c > 0, (F.col(f"__H__s{i}") - F.col(f"__L__s{i}")).cast("double") / c)
-    feats = pairs.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
-    joined = src.join(feats, on=["__key", ts_us], how="left").drop("__key")
+    return pairs.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
+
+
+def _split_join(df: DataFrame, keys: Sequence[str], table: DataFrame, cumulative: Sequence[tuple[str, str]], ts_us: str) -> DataFrame:
+    """Join a ``_split_table`` back onto the events (one row per (key, time)
+    on the right; AQE splits a skewed left side)."""
+    joined = df.withColumn("__key", F.struct(*keys)).join(table, on=["__key", ts_us], how="left").drop("__key")
     fill = {name: F.coalesce(F.col(name), F.lit(0).cast("long")) for _, name in cumulative}
     return joined.withColumns(fill) if fill else joined
 
 
+def _split_prefix(
+    df: DataFrame,
+    keys: Sequence[str],
+    rolling: Sequence[tuple[str, str]],
+    cumulative: Sequence[tuple[str, str]],
+    window_us: int,
+    ts_us: str,
+    sub_us: int,
+    adaptive: bool = True,
+) -> DataFrame:
+    """The ``split`` strategy: add rolling means and prior sums (see module doc)."""
+    sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
+    table = _split_table(df.select(*keys, ts_us, *sigs), keys, rolling, cumulative, window_us, ts_us, sub_us, adaptive)
+    return _split_join(df, keys, table, cumulative, ts_us)
+
+
+def split_features(
+    df: DataFrame,
+    keys: Sequence[str],
+    rolling: Sequence[tuple[str, str]],
+    cumulative: Sequence[tuple[str, str]],
+    window_us: int,
+    *,
+    ts_us: str = "ts_us",
+    sub_us: int | None = None,
+) -> DataFrame:
+    """The ``split`` strategy for one view: rolling means ``(signal, name)``
+    and prior sums in one pass (one reduction, one prefix window)."""
+    if not all(_is_integral(df, s) for s, _ in [*rolling, *cumulative]):
+        raise ValueError("the split strategy needs integral signals")
+    sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
+    return _split_prefix(df, list(keys), list(rolling), list(cumulative), window_us, ts_us, sub)
+
+
+def split_views(
+    df: DataFrame,
+    views: Sequence[tuple[Sequence[str], Sequence[tuple[str, str]], Sequence[tuple[str, str]]]],
+    window_us: int,
+    *,
+    ts_us: str = "ts_us",
+    sub_us: int | None = None,
+) -> DataFrame:
+    """Several views' ``(keys, rolling, cumulative)`` features on ``df``.
+
+    Every view's table is computed from ``df`` itself (pruned to its keys,
+    time and signals) and then joined back, one join per view; chaining the
+    views instead would re-read the growing frame once per view and join.
+    """
+    sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
+    tables = []
+    for keys, rolling, cumulative in views:
+        if not all(_is_integral(df, s) for s, _ in [*rolling, *cumulative]):
+            raise ValueError("the split strategy needs integral signals")
+        sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
+        t = _split_table(df.select(*keys, ts_us, *sigs), list(keys), list(rolling), list(cumulative), window_us, ts_us, sub)
+        tables.append((list(keys), t, list(cumulative)))
+    out = df
+    for keys, t, cumulative in tables:
+        out = _split_join(out, keys, t, cumulative, ts_us)
+    return out
+
+
 def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],

@@ -387,6 +387,7 @@ def _training(fn, strategy):
 
 register("training_table", _training_sql())(_training(training_table, "sliced"))
 register("training_table_direct", _training_sql())(_training(training_table, "direct"))
+register("training_table_split", _training_sql())(_training(training_table, "split"))
 @register("training_table_asof", _training_sql())
 def _training_asof(spark, sf_dir):
     """Feature-store path: sources built and stored under the shared checkpoint

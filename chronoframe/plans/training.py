@@ -16,7 +16,7 @@ from ..functions.hashing import with_hash_bucket
 from ..functions.labels import with_engagement_targets
 from ..operators.buckets import bucket_size_map
 from ..operators.joins import asof_features
-from ..operators.windows import cumulative_sum, rolling_mean, view_source
+from ..operators.windows import cumulative_sum, rolling_mean, split_views, view_source
 from ..registry import Kind, Registry
 
 
@@ -38,10 +38,20 @@ def impression_frame(log: DataFrame, registry: Registry, sizes: dict[str, int] |
 
 def add_view_features(df: DataFrame, registry: Registry, strategy: str = "sliced") -> DataFrame:
     """E3-E5 on the full frame: one shuffle per view key, all signals in one window pass."""
+    if strategy == "split":
+        views = [
+            (
+                view.keys,
+                [(c.signal, c.name) for c in registry.cols(view, Kind.ROLLING)],
+                [(c.signal, c.name) for c in registry.cols(view, Kind.CUMULATIVE)],
+            )
+            for view in registry.views
+        ]
+        return split_views(df, views, registry.window_us)
     for view in registry.views:
         rolling = registry.cols(view, Kind.ROLLING)
-        df = rolling_mean(df, view.keys, [c.signal for c in rolling], registry.window_us, names=[c.name for c in rolling], strategy=strategy)
         cum = registry.cols(view, Kind.CUMULATIVE)
+        df = rolling_mean(df, view.keys, [c.signal for c in rolling], registry.window_us, names=[c.name for c in rolling], strategy=strategy)
         if cum:
             df = cumulative_sum(df, view.keys, [c.signal for c in cum], names=[c.name for c in cum], strategy="direct" if strategy == "direct" else "sliced")
     return df
