@@ -60,3 +60,20 @@ def test_rmse_masked_and_losses(spark):
     import math
 
     assert abs(b - (2 * math.log(2) + math.log(2)) / 2) < 1e-12
+
+
+def test_write_metrics_round_trip(spark):
+    """Metrics rows and run metadata land as JSON under the shared folder."""
+    import json
+    import uuid
+
+    from chronoframe.session import scratch_path
+    from chronoframe.sources.io import write_metrics
+
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    m = ranking_metrics(long(spark, [("a", 1.0, 0.9), ("a", 0.0, 0.1)]))
+    write_metrics(spark, m, path, metadata={"split": "test", "rows": 2})
+    back = spark.read.json(f"{path}/metrics").collect()
+    assert [(r.target, r.roc_auc) for r in back] == [("a", 1.0)]
+    meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    assert meta == {"split": "test", "rows": 2}
