@@ -4,7 +4,9 @@ emission (S1, S2, S3, S5).
 One processor instance serves one view key. Per key it keeps
 
 * ``buf``  -- events received but not yet emitted (the watermark has not passed them);
-* ``win``  -- emitted events still inside the window of any future event;
+* ``win``  -- emitted events still inside the window of any future event,
+  one row per distinct timestamp (signal sums and non-NULL counts), so a
+  burst of tied events costs one state row;
 * ``cnt``  -- running totals of the cumulative signals.
 
 Events are emitted only when the event-time watermark passes them, in event
@@ -67,7 +69,8 @@ class WindowFold(StatefulProcessor):
         sig = [(f"s{i}", T.DoubleType()) for i in range(len(self.signals))]
         self.handle = handle
         self.buf = handle.getListState("buf", _schema([("us", T.LongType()), ("eid", T.LongType()), *sig]))
-        self.win = handle.getListState("win", _schema([("us", T.LongType()), *sig]))
+        cnt = [(f"n{i}", T.LongType()) for i in range(len(self.signals))]
+        self.win = handle.getListState("win", _schema([("us", T.LongType()), *sig, *cnt]))
         self.cnt = handle.getValueState("cnt", _schema([(f"c{i}", T.LongType()) for i in range(max(1, len(self.cumulative)))]))
 
     # -- callbacks (called by keyword: names must stay as they are) ------------
@@ -90,13 +93,11 @@ class WindowFold(StatefulProcessor):
         return iter([out]) if out is not None else iter([])
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Seed ``win`` and ``cnt`` from history rows ``(kind, us, s*, c*)``."""
+        """Seed ``win`` and ``cnt`` from history rows ``(kind, us, s*, n*, c*)``."""
         pdf = initialState
         w = pdf[pdf["kind"] == "w"]
         if len(w):
-            self.win.appendList(
-                [(int(r[0]), *[None if pd.isna(v) else float(v) for v in r[1:]]) for r in w[["us", *[f"s{i}" for i in range(len(self.signals))]]].itertuples(index=False, name=None)]
-            )
+            self._put_win(self._per_us(w[["us", *self._scols(), *self._ncols()]]))
         c = pdf[pdf["kind"] == "c"]
         if len(c):
             vals = c[[f"c{i}" for i in range(max(1, len(self.cumulative)))]].fillna(0).astype("int64").sum(axis=0)
@@ -105,6 +106,24 @@ class WindowFold(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    # -- window state: one row per distinct timestamp ----------------------------
+    def _scols(self) -> list[str]:
+        return [f"s{i}" for i in range(len(self.signals))]
+
+    def _ncols(self) -> list[str]:
+        return [f"n{i}" for i in range(len(self.signals))]
+
+    def _per_us(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        """Sum rows sharing a timestamp; sorted by time."""
+        pdf = pdf.astype({"us": "int64", **{c: "float64" for c in self._scols()}, **{c: "int64" for c in self._ncols()}})
+        return pdf.groupby("us", sort=True, as_index=False).sum()
+
+    def _put_win(self, pdf: pd.DataFrame) -> None:
+        sc, nc = self._scols(), self._ncols()
+        rows = pdf[["us", *sc, *nc]].itertuples(index=False, name=None)
+        k = len(sc)
+        self.win.put([(int(r[0]), *[float(v) for v in r[1 : 1 + k]], *[int(v) for v in r[1 + k :]]) for r in rows])
+
     # -- the fold ----------------------------------------------------------------
     def _emit(self, key, wm_us: int) -> pd.DataFrame | None:
         k = len(self.signals)
@@ -116,17 +135,23 @@ class WindowFold(StatefulProcessor):
         rest = buf[buf["us"] > wm_us]
         if ready.empty:
             return None
-        win = pd.DataFrame(list(self.win.get()), columns=["us", *[f"s{i}" for i in range(k)]])
+        wcols = ["us", *self._scols(), *self._ncols()]
+        win = pd.DataFrame(list(self.win.get()), columns=wcols)
         cnt_row = self.cnt.get()
         counts = np.array(cnt_row if cnt_row is not None else [0] * max(1, len(self.cumulative)), dtype=np.int64)
 
-        parts = [p for p in (win, ready[win.columns]) if not p.empty]
-        allev = pd.concat(parts, ignore_index=True).sort_values("us", kind="stable")
+        # Ready events as per-timestamp sums and counts, merged with the window.
+        rsig = ready[self._scols()]
+        fresh = pd.DataFrame({"us": ready["us"].to_numpy(np.int64)})
+        for i in range(k):
+            col = rsig[f"s{i}"].astype("float64")
+            fresh[f"s{i}"] = col.fillna(0.0).to_numpy()
+            fresh[f"n{i}"] = col.notna().astype("int64").to_numpy()
+        parts = [p for p in (win, fresh[wcols]) if not p.empty]
+        allev = self._per_us(pd.concat(parts, ignore_index=True))
         us_all = allev["us"].to_numpy(np.int64)
-        sig = allev[[f"s{i}" for i in range(k)]].to_numpy(np.float64)
-        valid = ~np.isnan(sig)
-        csum = np.vstack([np.zeros((1, k)), np.cumsum(np.where(valid, sig, 0.0), axis=0)])
-        ccnt = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(valid, axis=0)])
+        csum = np.vstack([np.zeros((1, k)), np.cumsum(allev[self._scols()].to_numpy(np.float64), axis=0)])
+        ccnt = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(allev[self._ncols()].to_numpy(np.int64), axis=0)])
         t = ready["us"].to_numpy(np.int64)
         lo = np.searchsorted(us_all, t - self.window_us, side="left")
         hi = np.searchsorted(us_all, t, side="left")  # tied peers and the event itself excluded
@@ -157,7 +182,7 @@ class WindowFold(StatefulProcessor):
         if keep.empty:
             self.win.clear()
         else:
-            self.win.put([(int(r[0]), *[None if pd.isna(v) else float(v) for v in r[1:]]) for r in keep.itertuples(index=False, name=None)])
+            self._put_win(keep)
         if rest.empty:
             self.buf.clear()
         else:

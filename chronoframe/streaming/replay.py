@@ -109,20 +109,30 @@ def view_stream(
 
 def warm_state(history: DataFrame, registry: Registry, view: FeatureView, upto_us: int | None = None) -> DataFrame:
     """Initial state of one view from batch history -- the window's last
-    ``W`` of events per key (kind ``w``) and the running totals (kind ``c``)."""
+    ``W`` of events per key, reduced per (key, time) to signal sums and
+    non-NULL counts (kind ``w``), and the running totals (kind ``c``)."""
     cum = registry.cols(view, Kind.CUMULATIVE)
     k = len(registry.signals)
     h = history if upto_us is None else history.filter(F.col("ts_us") < F.lit(int(upto_us)))
     end = h.agg(F.max("ts_us")).first()[0] if upto_us is None else upto_us
-    sig = [F.col(s).cast("double").alias(f"s{i}") for i, s in enumerate(registry.signals)]
     ncum = max(1, len(cum))
     nullc = [F.lit(None).cast("long").alias(f"c{i}") for i in range(ncum)]
-    w = h.filter(F.col("ts_us") >= F.lit(int(end or 0) - registry.window_us)).select(
-        *view.keys, F.lit("w").alias("kind"), F.col("ts_us").alias("us"), *sig, *nullc
+    sig = [F.coalesce(F.sum(F.col(s).cast("double")), F.lit(0.0)).alias(f"s{i}") for i, s in enumerate(registry.signals)]
+    cnt = [F.count(F.col(s)).alias(f"n{i}") for i, s in enumerate(registry.signals)]
+    w = (
+        h.filter(F.col("ts_us") >= F.lit(int(end or 0) - registry.window_us))
+        .groupBy(*view.keys, F.col("ts_us").alias("us"))
+        .agg(*sig, *cnt)
+        .select(*view.keys, F.lit("w").alias("kind"), "us", *[f"s{i}" for i in range(k)], *[f"n{i}" for i in range(k)], *nullc)
     )
     sums = [F.sum(F.col(c.signal).cast("long")).alias(f"c{i}") for i, c in enumerate(cum)] or [F.lit(0).cast("long").alias("c0")]
     c = h.groupBy(*view.keys).agg(*sums).select(
-        *view.keys, F.lit("c").alias("kind"), F.lit(None).cast("long").alias("us"), *[F.lit(None).cast("double").alias(f"s{i}") for i in range(k)], *[F.col(f"c{i}") for i in range(ncum)]
+        *view.keys,
+        F.lit("c").alias("kind"),
+        F.lit(None).cast("long").alias("us"),
+        *[F.lit(None).cast("double").alias(f"s{i}") for i in range(k)],
+        *[F.lit(None).cast("long").alias(f"n{i}") for i in range(k)],
+        *[F.col(f"c{i}") for i in range(ncum)],
     )
     return w.unionByName(c)
 
