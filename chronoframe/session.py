@@ -38,14 +38,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only fall back to a fresh
-    scratch folder when nothing is set (local tests).
+    A cluster names a shared folder there; only a local-mode session (tests,
+    bench) with nothing set falls back to a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     configured = spark.conf.get("spark.checkpoint.dir", None)
     target = current or configured
     if not target:
+        if not sc.master.startswith("local"):
+            # A machine-local folder would vanish with its executor.
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
         target = tempfile.mkdtemp(prefix="chronoframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", target)
     if not current:
