@@ -207,6 +207,11 @@ def split_views(
     time and signals) and then joined back, one join per view; chaining the
     views instead would re-read the growing frame once per view and join.
     """
+    return split_join_views(split_view_tables(df, views, window_us, ts_us=ts_us, sub_us=sub_us), df, ts_us=ts_us)
+
+
+def split_view_tables(df, views, window_us: int, *, ts_us: str = "ts_us", sub_us: int | None = None) -> list:
+    """The per-view feature tables of :func:`split_views`, all computed from ``df``."""
     sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
     tables = []
     for keys, rolling, cumulative in views:
@@ -215,12 +220,41 @@ def split_views(
         sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
         t = _split_table(df.select(*keys, ts_us, *sigs), list(keys), list(rolling), list(cumulative), window_us, ts_us, sub)
         tables.append((list(keys), t, list(cumulative)))
-    out = df
+    return tables
+
+
+def split_join_views(tables: list, onto: DataFrame, *, ts_us: str = "ts_us") -> DataFrame:
+    """Join :func:`split_view_tables` onto ``onto``, one join per view."""
+    out = onto
     for keys, t, cumulative in tables:
         out = _split_join(out, keys, t, cumulative, ts_us)
     return out
 
 
+def pick_strategies(
+    df: DataFrame, views: Sequence[Sequence[str]], window_us: int, *, ts_us: str = "ts_us", target_rows: int | None = None
+) -> list[str]:
+    """``"sliced"`` or ``"split"`` per view key list.
+
+    ``sliced`` puts at least one window of a key's time into one task, so a
+    view whose largest (key, window-slice) group exceeds ``target_rows`` gets
+    ``split``. One job: the per-view maxima (one row per view) are unioned
+    and collected together.
+    """
+    from . import skew
+
+    target = int(target_rows or skew.TARGET_ROWS)
+    parts = []
+    for i, keys in enumerate(views):
+        per = df.groupBy(*keys, slice_of(ts_us, window_us).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+        parts.append(per.agg(F.max("__n").alias("m")).select(F.lit(i).alias("v"), "m"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    worst = {r["v"]: r["m"] or 0 for r in u.collect()}
+    return ["split" if worst.get(i, 0) > target else "sliced" for i in range(len(views))]
+
+
 def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],

@@ -385,7 +385,8 @@ def _training(fn, strategy):
     return q
 
 
-register("training_table", _training_sql())(_training(training_table, "sliced"))
+register("training_table", _training_sql())(_training(training_table, "auto"))
+register("training_table_sliced", _training_sql())(_training(training_table, "sliced"))
 register("training_table_direct", _training_sql())(_training(training_table, "direct"))
 register("training_table_split", _training_sql())(_training(training_table, "split"))
 @register("training_table_asof", _training_sql())

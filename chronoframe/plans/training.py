@@ -16,7 +16,7 @@ from ..functions.hashing import with_hash_bucket
 from ..functions.labels import with_engagement_targets
 from ..operators.buckets import bucket_size_map
 from ..operators.joins import asof_features
-from ..operators.windows import cumulative_sum, rolling_mean, split_views, view_source
+from ..operators.windows import cumulative_sum, pick_strategies, rolling_mean, split_join_views, split_view_tables, view_source
 from ..registry import Kind, Registry
 
 
@@ -36,33 +36,51 @@ def impression_frame(log: DataFrame, registry: Registry, sizes: dict[str, int] |
     return with_buckets(df, registry, sizes, source=log)
 
 
-def add_view_features(df: DataFrame, registry: Registry, strategy: str = "sliced") -> DataFrame:
-    """E3-E5 on the full frame: one shuffle per view key, all signals in one window pass."""
-    if strategy == "split":
-        views = [
-            (
-                view.keys,
-                [(c.signal, c.name) for c in registry.cols(view, Kind.ROLLING)],
-                [(c.signal, c.name) for c in registry.cols(view, Kind.CUMULATIVE)],
-            )
-            for view in registry.views
-        ]
-        return split_views(df, views, registry.window_us)
-    for view in registry.views:
+def _split_spec(registry: Registry, view) -> tuple:
+    return (
+        view.keys,
+        [(c.signal, c.name) for c in registry.cols(view, Kind.ROLLING)],
+        [(c.signal, c.name) for c in registry.cols(view, Kind.CUMULATIVE)],
+    )
+
+
+def add_view_features(df: DataFrame, registry: Registry, strategy: str = "auto") -> DataFrame:
+    """E3-E5 on the full frame: one shuffle per view key, all signals in one window pass.
+
+    ``strategy="auto"`` picks ``sliced`` or ``split`` per view (:func:`pick_strategies`).
+    """
+    base_cols = df.columns
+    if strategy == "auto":
+        per_view = pick_strategies(df, [v.keys for v in registry.views], registry.window_us)
+    else:
+        per_view = [strategy] * len(registry.views)
+    split = [_split_spec(registry, v) for v, s in zip(registry.views, per_view) if s == "split"]
+    # Split views' tables come from the base frame; they are joined on last.
+    tables = split_view_tables(df, split, registry.window_us) if split else []
+    for view, s in zip(registry.views, per_view):
+        if s == "split":
+            continue
+        strategy = s
         rolling = registry.cols(view, Kind.ROLLING)
         cum = registry.cols(view, Kind.CUMULATIVE)
         df = rolling_mean(df, view.keys, [c.signal for c in rolling], registry.window_us, names=[c.name for c in rolling], strategy=strategy)
         if cum:
             df = cumulative_sum(df, view.keys, [c.signal for c in cum], names=[c.name for c in cum], strategy="direct" if strategy == "direct" else "sliced")
-    return df
+    if tables:
+        df = split_join_views(tables, df)
+    return df.select(*base_cols, *_feature_names(registry))
+
+
+def _feature_names(registry: Registry) -> list[str]:
+    return [c.name for view in registry.views for c in registry.cols(view)]
 
 
-def training_table(log: DataFrame, registry: Registry, *, strategy: str = "sliced", sizes: dict[str, int] | None = None) -> DataFrame:
+def training_table(log: DataFrame, registry: Registry, *, strategy: str = "auto", sizes: dict[str, int] | None = None) -> DataFrame:
     ent = impression_frame(log, registry, sizes)
     return add_view_features(ent, registry, strategy).drop("ts_us")
 
 
-def feature_sources(log: DataFrame, registry: Registry, strategy: str = "sliced", path: str | None = None) -> dict[str, DataFrame]:
+def feature_sources(log: DataFrame, registry: Registry, strategy: str = "auto", path: str | None = None) -> dict[str, DataFrame]:
     """A5: one source table per view (keys, time, features).
 
     With ``path`` each source is written as a parquet table (time-sorted
@@ -70,7 +88,11 @@ def feature_sources(log: DataFrame, registry: Registry, strategy: str = "sliced"
     them: later as-of joins read stored tables instead of recomputing windows,
     and the lineage is cut.
     """
-    out = {v.name: view_source(log, registry, v, strategy=strategy) for v in registry.views}
+    if strategy == "auto":
+        per_view = pick_strategies(log, [v.keys for v in registry.views], registry.window_us)
+    else:
+        per_view = [strategy] * len(registry.views)
+    out = {v.name: view_source(log, registry, v, strategy=s) for v, s in zip(registry.views, per_view)}
     if path is None:
         return out
     from ..sources.io import write_source
@@ -88,7 +110,7 @@ def training_table_asof(
     registry: Registry,
     sources: dict[str, DataFrame] | None = None,
     *,
-    strategy: str = "sliced",
+    strategy: str = "auto",
     sizes: dict[str, int] | None = None,
     store_path: str | None = None,
 ) -> DataFrame:
@@ -101,5 +123,5 @@ def training_table_asof(
     ent = impression_frame(log, registry, sizes)
     for view in registry.views:
         names = [c.name for c in registry.cols(view)]
-        ent = asof_features(ent, sources[view.name], view.keys, names, ttl_us=view.ttl_us, strategy=strategy)
+        ent = asof_features(ent, sources[view.name], view.keys, names, ttl_us=view.ttl_us, strategy="direct" if strategy == "direct" else "sliced")
     return ent.drop("ts_us")

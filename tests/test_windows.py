@@ -126,3 +126,38 @@ def test_hot_widths_bounded(spark):
     # 300 rows over 30 days at 50 rows per slice: about 5 days wide
     assert 4 * DAY_US <= got[0]["__w"] <= 5 * DAY_US
     assert hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=1000) is None
+
+
+def test_auto_picks_split_only_for_the_hot_view(spark, monkeypatch):
+    """``auto``: a view whose largest (key, window-slice) group is too big for
+    one task gets ``split``; the others stay ``sliced``; values equal ``direct``."""
+    import random
+
+    from chronoframe.operators import skew
+    from chronoframe.operators.windows import pick_strategies
+    from chronoframe.plans.training import add_view_features
+    from chronoframe.registry import FeatureView, Registry
+
+    monkeypatch.setattr(skew, "TARGET_ROWS", 40)
+    rng = random.Random(11)
+    rows = [(1, rng.randint(1, 30), rng.randint(0, 6), rng.randint(0, 1)) for _ in range(120)]  # user 1: hot inside one week
+    rows += [(u, rng.randint(1, 30), rng.randint(0, 40), rng.randint(0, 1)) for u in range(2, 30) for _ in range(3)]
+    df = frame(spark, rows, keys=("user_id", "video_id")).withColumn("id", F.monotonically_increasing_id())
+    reg = Registry(
+        signals=("c",),
+        views=(FeatureView("u", ("user_id",), ttl_us=None), FeatureView("i", ("video_id",), ttl_us=None)),
+        cumulative={"i": ("c",)},
+        bucket_sources=(),
+        window_us=7 * DAY_US,
+    )
+    assert pick_strategies(df, [("user_id",), ("video_id",)], 7 * DAY_US) == ["split", "sliced"]
+    feats = [c.name for v in reg.views for c in reg.cols(v)]
+    a = add_view_features(df, reg, "auto")
+    assert a.columns == [*df.columns, *feats]
+    b = add_view_features(df, reg, "direct").select("id", *[F.col(f).alias(f"d_{f}") for f in feats])
+    got = a.join(b, "id").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for f in feats:
+            x, y = r[f], r[f"d_{f}"]
+            assert (x is None and y is None) or abs(x - y) < 1e-12, (f, x, y)
