@@ -50,3 +50,31 @@ def test_online_miss_is_zero(spark):
     lt = spark.createDataFrame([(9, 0.5)], "user_id long, a double")
     out = online_lookup(req, {("user_id",): lt}, ["a"]).collect()
     assert out[0].a == 0.0
+
+
+def test_neg_sampling_heavy_copies_exact(spark, monkeypatch):
+    """A third of the negatives are copies of one row (same id, same hash): the
+    kept count stays exact, copies are re-emitted in chunks, and the chosen
+    rows equal a brute-force ranking on md5 order."""
+    import hashlib
+
+    from chronoframe.operators import sampling
+
+    monkeypatch.setattr(sampling, "PREFIX_HEX", 1)  # few ranges, so the copy group is on a boundary
+    spec = [(i, 0, 0, 0) for i in range(200)] + [(7, 0, 0, 0)] * 100 + [(1000 + i, 1, 0, 0) for i in range(5)]
+    df = spark.createDataFrame(spec, "id long, is_click int, long_view int, is_hate int")
+    for frac in (0.2, 0.45, 0.7):
+        got = sorted(r.id for r in sampling.neg_sample_exact(df, SIG, ["id"], frac).collect())
+        negs = [r[0] for r in spec if r[1] == 0]
+        k = int(len(negs) * frac)
+        order = sorted(negs, key=lambda i: (hashlib.md5(f"{i}|{sampling.SEED}".encode()).hexdigest(), i))
+        assert got == sorted(order[:k] + [1000 + i for i in range(5)]), frac
+
+
+def test_copies_are_chunked(spark):
+    from chronoframe.operators.sampling import _copies
+
+    rows_ = spark.createDataFrame([(1, 7), (2, 3)], "id long, n long")
+    out = _copies(rows_, "n", chunk=2)
+    assert sorted(r.id for r in out.collect()) == [1] * 7 + [2] * 3
+    assert out.columns == ["id"]
