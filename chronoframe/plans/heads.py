@@ -10,6 +10,7 @@ with the lowest combined validation loss (D6).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -58,20 +59,37 @@ def fit_heads(
     pos_weight: float = 2.0,
     reg_param: float = 0.0,
     max_iter: int = 10,
+    prep: PipelineModel | None = None,
+    prepared: DataFrame | None = None,
+    parallelism: int = 4,
 ) -> tuple[PipelineModel, Heads]:
-    """One head per target on that target's valid rows."""
-    prep = _prep(features, categorical, {}).fit(train)
-    x = prep.transform(assemble(train, features)).persist()
-    binary, cont = {}, {}
-    for t in binary_targets:
+    """One head per target on that target's valid rows.
+
+    ``prep`` / ``prepared`` (the fitted preparation and ``train`` transformed
+    by it) can be passed in to share them across several fits.
+    """
+    prep = prep or _prep(features, categorical, {}).fit(train)
+    x = prepared if prepared is not None else prep.transform(assemble(train, features)).persist()
+
+    def fit_binary(t):
         rows = x.filter(F.col(t).isNotNull()).withColumn("__w", F.when(F.col(t) >= 0.5, F.lit(pos_weight)).otherwise(F.lit(1.0)))
         lr = LogisticRegression(featuresCol="features", labelCol=t, weightCol="__w", regParam=reg_param, maxIter=max_iter)
-        binary[t] = lr.fit(rows.withColumn(t, F.col(t).cast("double")))
-    for t in continuous_targets:
+        return lr.fit(rows.withColumn(t, F.col(t).cast("double")))
+
+    def fit_continuous(t):
         rows = x.filter(F.col(t).isNotNull())
         lin = LinearRegression(featuresCol="features", labelCol=t, loss="huber", regParam=reg_param, maxIter=max_iter)
-        cont[t] = lin.fit(rows)
-    x.unpersist()
+        return lin.fit(rows)
+
+    # The heads are independent: fit them as concurrent Spark jobs (as
+    # CrossValidator's ``parallelism`` does), each one still distributed.
+    with ThreadPoolExecutor(max_workers=max(1, int(parallelism))) as pool:
+        bf = {t: pool.submit(fit_binary, t) for t in binary_targets}
+        cf = {t: pool.submit(fit_continuous, t) for t in continuous_targets}
+        binary = {t: f.result() for t, f in bf.items()}
+        cont = {t: f.result() for t, f in cf.items()}
+    if prepared is None:
+        x.unpersist()
     return prep, Heads(list(features), list(categorical), binary, cont, reg_param)
 
 
@@ -108,10 +126,19 @@ def select_heads(
 ) -> tuple[PipelineModel, Heads, dict]:
     """Fit per grid value, keep the lowest validation loss, report all."""
     best, report = None, {}
-    for reg in grid:
-        prep, heads = fit_heads(train, features, categorical, binary_targets, continuous_targets, pos_weight=pos_weight, reg_param=reg)
-        loss = validation_loss(score(valid, prep, heads), heads, pos_weight)
-        report[reg] = loss
-        if best is None or loss < best[2]:
-            best = (prep, heads, loss)
+    # One preparation and one persisted training frame serve every grid value.
+    prep = _prep(features, categorical, {}).fit(train)
+    x = prep.transform(assemble(train, features)).persist()
+    try:
+        for reg in grid:
+            _, heads = fit_heads(
+                train, features, categorical, binary_targets, continuous_targets,
+                pos_weight=pos_weight, reg_param=reg, prep=prep, prepared=x,
+            )
+            loss = validation_loss(score(valid, prep, heads), heads, pos_weight)
+            report[reg] = loss
+            if best is None or loss < best[2]:
+                best = (prep, heads, loss)
+    finally:
+        x.unpersist()
     return best[0], best[1], report
