@@ -11,7 +11,18 @@ from ..functions.timecols import hour_floor
 from ..operators.joins import asof_join
 from ..operators.metrics import ranking_metrics, to_long
 from ..sources.bindings import EV, EV_ITEM, EV_SIGNALS, EV_USER, bind_events, events_log
-from ..streaming.replay import RESERVED_KEY, LatestTableSink, drain_marker, new_dir, replay_source, run, view_stream, warm_state, with_ntz
+from ..streaming.replay import (
+    RESERVED_KEY,
+    LatestTableSink,
+    drain_marker,
+    new_dir,
+    on_time,
+    replay_source,
+    run,
+    view_stream,
+    warm_state,
+    with_ntz,
+)
 from .catalog import register
 from .queries_eval import ARM_START, _ALL_RANK, _r9, _ranking_sql, _latest_sql, _USER_SRC_SQL, _UFEAT
 from .queries_features import _cum_cols, _roll_cols, _rolling_sql
@@ -58,7 +69,7 @@ def stream_view(spark, sf_dir, view, start=None, initial_state=None, path=None,
     s = view_stream(ev_stream(spark, sf_dir, start, max_files_per_trigger, path), EV, view, initial_state=initial_state)
     out = new_dir(spark, "stream-out")
     run(s, out=out)
-    return _real(with_ntz(spark.read.parquet(out)), view.keys)
+    return _real(with_ntz(on_time(spark.read.parquet(out))), view.keys)
 
 
 @register("stream_rolling_user", _rolling_sql(EV_SQL, ["event_id"], ["user_id"], EV_SIGNALS, 7))
@@ -92,7 +103,7 @@ def _stream_warm(spark, sf_dir):
 @register("stream_latest_user", _latest_sql(_USER_SRC_SQL, ["user_id"], _UFEAT))
 def _stream_latest(spark, sf_dir):
     """The online latest table kept by a foreachBatch sink."""
-    s = view_stream(ev_stream(spark, sf_dir), EV, EV_USER)
+    s = on_time(view_stream(ev_stream(spark, sf_dir), EV, EV_USER))
     s = with_ntz(s).drop("ts_us", "event_id")
     sink = LatestTableSink(spark, new_dir(spark, "latest"), ["user_id"], "ts", _UFEAT)
     run(s, [sink])
@@ -107,7 +118,7 @@ def _stream_latest(spark, sf_dir):
 )
 def _stream_hourly(spark, sf_dir):
     """Newest served value per user and hour (what an hourly push writes)."""
-    s = with_ntz(view_stream(ev_stream(spark, sf_dir), EV, EV_USER)).withColumn("hour", hour_floor("ts"))
+    s = with_ntz(on_time(view_stream(ev_stream(spark, sf_dir), EV, EV_USER))).withColumn("hour", hour_floor("ts"))
     sink = LatestTableSink(spark, new_dir(spark, "hourly"), ["user_id", "hour"], "ts", _UFEAT)
     run(s.drop("ts_us", "event_id"), [sink])
     return _real(sink.read(), ["user_id"]).select("user_id", "hour", "ts", *_UFEAT)
@@ -137,7 +148,7 @@ def _stream_eval(spark, sf_dir):
     from .queries_eval import BINARY, _logit_of
 
     labels = with_engagement_targets(events_log(spark, sf_dir)).select("event_id", *EV_SIGNALS, "is_skip")
-    served = view_stream(ev_stream(spark, sf_dir), EV, EV_USER)
+    served = on_time(view_stream(ev_stream(spark, sf_dir), EV, EV_USER))
     scored = served.join(labels, "event_id").withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
     path = new_dir(spark, "scored")
     run(scored, [parquet_append_sink(path)])

@@ -63,6 +63,7 @@ class WindowFold(StatefulProcessor):
             + [(self.id_col, T.LongType()), ("ts_us", T.LongType())]
             + [(n, T.DoubleType()) for n in self.rolling_names]
             + [(n, T.LongType()) for n in self.cumulative_names]
+            + [("late", T.BooleanType())]
         )
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -76,16 +77,37 @@ class WindowFold(StatefulProcessor):
     # -- callbacks (called by keyword: names must stay as they are) ------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = [pdf[["ts_us", self.id_col, *self.signals]] for pdf in rows]
+        late_out = None
         if new:
             pdf = pd.concat(new, ignore_index=True)
             pdf = pdf[pdf["ts_us"].notna()]
+            # Everything at or below the watermark has been emitted already;
+            # a row that old cannot be folded in order. It is emitted at once,
+            # flagged ``late`` and without features, and never enters state.
+            wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
+            is_late = pdf["ts_us"].astype("int64") <= wm_us if wm_us > 0 else pd.Series(False, index=pdf.index)
+            if is_late.any():
+                late_out = self._late_rows(key, pdf[is_late])
+                pdf = pdf[~is_late]
             recs = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.itertuples(index=False, name=None)]
             recs = [(int(r[0]), int(r[1]) if r[1] is not None else None, *[None if v is None else float(v) for v in r[2:]]) for r in recs]
             if recs:
                 self.buf.appendList(recs)
                 # One timer at the earliest new event is enough: expiry re-arms for what is left.
                 self.handle.registerTimer(int(min(r[0] for r in recs)) // 1000 + 1)
-        return iter([])
+        return iter([late_out]) if late_out is not None else iter([])
+
+    def _late_rows(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({self.id_col: pdf[self.id_col].to_numpy(), "ts_us": pdf["ts_us"].astype("int64").to_numpy()})
+        key_vals = key if isinstance(key, tuple) else (key,)
+        for i, (name, v) in enumerate(zip(self.keys, key_vals)):
+            out.insert(i, name, v)
+        for name in self.rolling_names:
+            out[name] = np.nan
+        for name in self.cumulative_names:
+            out[name] = pd.array([None] * len(out), dtype="Int64")
+        out["late"] = True
+        return out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
@@ -190,4 +212,5 @@ class WindowFold(StatefulProcessor):
             self.handle.registerTimer(int(rest["us"].min()) // 1000 + 1)
         for name in self.rolling_names:
             out[name] = out[name].astype("float64")
+        out["late"] = False
         return out

@@ -80,7 +80,9 @@ def view_stream(
     """S4 for one view: the keyed fold over a stream of bound events.
 
     ``events`` needs the view keys, ``id_col``, ``ts_us`` and the signals.
-    Emits one row per event: keys, ``id_col``, ``ts_us`` and the view's features.
+    Emits one row per event: keys, ``id_col``, ``ts_us``, the view's features
+    and ``late`` -- true for a row that arrived after the watermark had passed
+    it, which gets no features (see :func:`on_time`, :func:`late_rows`).
     """
     use_rocksdb(events.sparkSession)
     rolling = registry.cols(view, Kind.ROLLING)
@@ -204,5 +206,16 @@ def run(stream: DataFrame, sinks: Sequence[Sink] | None = None, *, out: str | No
     return q
 
 
+def on_time(stream: DataFrame) -> DataFrame:
+    """The fold's rows that were folded in order (``late`` = false)."""
+    return stream.filter(~F.col("late")).drop("late")
+
+
+def late_rows(df: DataFrame) -> DataFrame:
+    """The rows the fold received after the watermark had passed them
+    (no features; counted and kept for a quarantine sink, never hidden)."""
+    return df.filter(F.col("late")).drop("late")
+
+
 def with_ntz(df: DataFrame, us: str = "ts_us", out: str = "ts") -> DataFrame:
     return df.withColumn(out, ntz_from_micros(us))

@@ -57,3 +57,24 @@ def test_warm_state_seeds_counts(spark):
     c = {r.user_id: r.c0 for r in init.filter("kind = 'c'").collect()}
     assert c == {1: 2, 2: 0}
     assert init.filter("kind = 'w'").count() == 3
+
+
+def test_rows_beyond_the_watermark_are_counted(spark):
+    """A row older than the watermark is dropped and counted, never folded in."""
+    from chronoframe.streaming.replay import late_rows, on_time
+
+    path = new_dir(spark, "stream-late")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    in_order = [(1, i, BASE_US + i * DAY_US, 1, 0, 0) for i in range(5)]
+    spark.createDataFrame(in_order, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    behind = [(1, 99, BASE_US + HOUR_US, 1, 1, 1)]  # 4 days behind, watermark delay 1 hour
+    spark.createDataFrame(behind, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    drain_marker(spark, schema, {"user_id": RESERVED_KEY, "event_id": RESERVED_KEY, "ts_us": BASE_US + 10**15, "s0": 0, "s1": 0, "s2": 0}, into=path)
+    out = new_dir(spark, "stream-late-out")
+    run(view_stream(replay_source(spark, path, schema, max_files_per_trigger=1), REG, VIEW, watermark="1 hour"), out=out)
+    res = spark.read.parquet(out).filter(F.col("user_id") != RESERVED_KEY)
+    assert sorted(r.event_id for r in on_time(res).collect()) == [0, 1, 2, 3, 4]
+    late = late_rows(res).collect()
+    assert [(r.event_id, r.s0_rolling_user_id) for r in late] == [(99, None)]
+    # the on-time rows never saw the late one: day-1 event sees only day 0
+    assert {r.event_id: r.s1_rolling_user_id for r in on_time(res).collect()}[1] == 0.0
