@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 
@@ -60,3 +62,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, once: a zip of its
+    sources next to Spark's own driver files, handed out by ``addPyFile``."""
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    if f"{name}.zip" in getattr(sc, "_python_includes", []):
+        return
+    folder = os.path.join(SparkFiles.getRootDirectory(), "shipped")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"{name}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for top, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(top, f), os.path.join(name, os.path.relpath(os.path.join(top, f), package)))
+    sc.addPyFile(target)
