@@ -27,12 +27,18 @@ BROADCAST_ROWS = 500_000
 def with_shingles(df: DataFrame, text_col: str, width: int) -> DataFrame:
     """``df`` with ``shingles``: the 64-bit hashes of its word shingles in order
     (lower case); fewer words than ``width``: the whole sequence as one; none: empty."""
-    spaces = F.lit(SPACES)
-    df = df.withColumn("shingles", F.split(F.btrim(F.lower(F.coalesce(F.col(text_col), F.lit(""))), spaces), SPACE))
-    df = df.withColumn("shingles", F.transform("shingles", lambda w: F.xxhash64(w)))
-    at = ", ".join(f"shingles[i + {j}]" for j in range(width))
-    whole = "CASE WHEN shingles[0] = xxhash64('') THEN cast(array() as array<bigint>) ELSE array(xxhash64(shingles)) END"
-    return df.withColumn("shingles", F.expr(f"CASE WHEN size(shingles) >= {width} THEN transform(sequence(0, size(shingles) - {width}), i -> xxhash64({at})) ELSE {whole} END"))
+    words = F.split(F.btrim(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(SPACES)), SPACE)
+    hashed = F.filter(F.transform(words, lambda w: F.when(w != "", F.xxhash64(w))), lambda h: h.isNotNull())
+    # The one-element array binds the word hashes to a variable: evaluated once per row.
+    bound = F.transform(F.array(hashed), lambda w: _of_words(w, width))
+    return df.withColumn("shingles", F.element_at(bound, 1))
+
+
+def _of_words(w, width: int):
+    at = lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(width)))
+    full = F.transform(F.sequence(F.lit(0), F.size(w) - width), at)
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(w) >= width, full).otherwise(F.when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(none))
 
 
 def sketched(items: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:

@@ -454,4 +454,4 @@ def extract(pages: DataFrame, model: Labeller, html_col: str = "html") -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], [*passed, "text", "n_blocks", "n_kept"])
 
     rows = pages.select(*(F.col(f"`{c}`") for c in passed), F.col(html_col).alias("_html"))
-    return rows.mapInArrow(run, rows.drop("_html").schema.add("text", "string").add("n_blocks", "int").add("n_kept", "int"))
+    return rows.mapInArrow(run, rows.drop("_html").schema.add("text", "string").add("n_blocks", "integer").add("n_kept", "integer"))

@@ -48,7 +48,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _spans_sql(kind: str, order: int, pattern: str, keep: str, value: str = "m[i]") -> str:
     return f"""SELECT row, {order} AS k, '{kind}' AS kind, {value} AS value,
-          (list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0))::BIGINT AS s, length(m[i]) AS n
+          (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s, length(m[i]) AS n
         FROM (SELECT row, regexp_extract_all(text, '{pattern}') AS m, string_split_regex(text, '{pattern}') AS p FROM d), unnest(range(1, len(m) + 1)) AS u(i)
         WHERE {keep}"""
 
@@ -87,8 +87,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-_WORDS_SQL = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
-_SHINGLES_SQL = "list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"
+_WORDS_SQL = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_SHINGLES_SQL = "list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"
 _LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP5_SQL = f"""
@@ -118,9 +118,9 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])), 0)::BIGINT AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5

@@ -31,23 +31,24 @@ MIXED_LEN = 20
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 HEX_RUN = r"(?<![0-9a-f])[0-9a-f]{16,}+"
 
-def _spans(kind: int) -> Column:
-    """Spans of the matches ``found`` in ``text``, which splits into ``pieces`` around
-    them: their lengths add up to the offsets."""
-    none = "cast(array() as array<struct<kind:int,start:int,end:int,value:string>>)"
-    step = f"""(acc, i) -> named_struct(
-        'at', acc.at + length(pieces[i]) + length(found[i]),
-        'out', concat(acc.out, array(named_struct('kind', {kind}, 'start', acc.at + length(pieces[i]), 'end', acc.at + length(pieces[i]) + length(found[i]), 'value', found[i]))))"""
-    return F.expr(f"CASE WHEN size(found) > 0 THEN aggregate(sequence(0, size(found) - 1), named_struct('at', 0, 'out', {none}), {step}).out ELSE {none} END")
+def _spans(text: Column, kind: str, pattern: str, guard: Column) -> Column:
+    """Spans of the matches of ``pattern``: the text splits into the pieces around them,
+    whose lengths add up to the offsets. One-element arrays bind the matches and pieces
+    to variables, so a text is scanned once, and split only if something matched."""
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
 
+    def summed(found: Column, pieces: Column) -> Column:
+        def step(acc, i):
+            start = acc["at"] + F.length(F.get(pieces, i))
+            end = start + F.length(F.get(found, i))
+            span = F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"), F.get(found, i).alias("value"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-def _with_kind(df: DataFrame, kind: str, pattern: str, guard: Column, keep: str) -> DataFrame:
-    """Add the spans of one kind as a column named after it."""
-    none = F.lit(None).cast("array<string>")
-    df = df.withColumn("found", F.when(guard, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none))
-    df = df.withColumn("pieces", F.when(F.size("found") > 0, F.split("text", pattern, -1)))
-    df = df.withColumn(kind, _spans(KINDS.index(kind)))
-    return df.withColumn(kind, F.expr(f"filter({kind}, s -> {keep})")).drop("found", "pieces")
+        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    split = lambda found: F.get(F.transform(F.array(F.split(text, pattern, -1)), lambda pieces: summed(found, pieces)), F.lit(0))
+    some = lambda found: F.when(F.size(found) > 0, split(found)).otherwise(none)
+    return F.when(guard, F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), some), F.lit(0))).otherwise(none)
 
 
 def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,20 +56,17 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     start, then kind. ``mixed`` spans that touch a base span are left out."""
     df = docs.withColumn("text", F.coalesce(F.col(text_col), F.lit("")))
     t = F.col("text")
-    df = _with_kind(df, "assign", ASSIGN, t.contains(":") | t.contains("="), "true")
-    df = df.withColumn("assign", F.transform("assign", lambda s: s.withField("value", F.regexp_extract(s["value"], ASSIGN, 2))))
-    df = df.withColumn("assign", F.filter("assign", lambda s: F.length(s["value"]) >= BASE["assign"]))
-    df = df.withColumn("runs", F.regexp_extract_all("text", F.lit(RUN), F.lit(0)))
-    some = F.size("runs") > 0
-    df = _with_kind(df, "access", ACCESS, some & t.contains("AKIA"), f"length(s.value) >= {BASE['access']}")
-    df = _with_kind(df, "hex", HEX_RUN, some, "true")
-    df = _with_kind(df, "mixed", RUN, some, f"length(s.value) >= {MIXED_LEN} AND s.value RLIKE '[0-9]' AND s.value RLIKE '[a-z]' AND s.value RLIKE '[A-Z]'")
-    base = "concat(assign, access, hex)"
-    df = df.withColumn("base", F.expr(base))
+    value = lambda s: s["value"]
+    secret = F.transform(_spans(t, "assign", ASSIGN, t.contains(":") | t.contains("=")), lambda s: s.withField("value", F.regexp_extract(s["value"], ASSIGN, 2)))
+    secret = F.filter(secret, lambda s: F.length(value(s)) >= BASE["assign"])
+    # The other kinds lie in long runs of token characters: without one, nothing more is scanned.
+    run = t.rlike(RUN)
+    access = F.filter(_spans(t, "access", ACCESS, t.contains("AKIA")), lambda s: F.length(value(s)) >= BASE["access"])
+    tokens = F.filter(_spans(t, "mixed", RUN, run), lambda s: (F.length(value(s)) >= MIXED_LEN) & value(s).rlike("[0-9]") & value(s).rlike("[a-z]") & value(s).rlike("[A-Z]"))
+    df = df.withColumn("base", F.concat(secret, access, _spans(t, "hex", HEX_RUN, run))).withColumn("mixed", tokens)
     free = F.expr("filter(mixed, m -> NOT exists(base, b -> b.start < m.end AND m.start < b.end))")
-    df = df.withColumn("spans", F.concat("base", free))
-    order = "(x, y) -> CASE WHEN x.start <> y.start THEN x.start - y.start ELSE x.kind - y.kind END"
-    return df.withColumn("spans", F.expr(f"array_sort(spans, {order})")).drop("runs", "assign", "access", "hex", "mixed", "base")
+    by_place = lambda x, y: F.when(x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["kind"] - y["kind"])
+    return df.withColumn("spans", F.array_sort(F.concat("base", free), by_place)).drop("base", "mixed")
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", copied_owners: int = 3) -> DataFrame:
