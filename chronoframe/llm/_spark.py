@@ -4,6 +4,7 @@ across tasks, Bloom bitmaps, connected components."""
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +54,17 @@ class CountTable:
     def add(self, kind: str, buckets: np.ndarray) -> None:
         parts = self.held.setdefault(kind, [])
         parts.append(buckets)
-        if sum(map(len, parts)) > self.size:
+        if sum(map(len, parts)) > self.size // 2:
             self._fold(kind)
 
     def _fold(self, kind: str) -> None:
         parts = self.held.pop(kind, [])
         if parts:
-            got = np.bincount(np.concatenate(parts).astype(np.int64), minlength=self.size)
-            self.tables[kind] = self.tables.get(kind, 0) + got
+            got = np.bincount(np.concatenate(parts), minlength=self.size)
+            if kind in self.tables:
+                self.tables[kind] += got
+            else:
+                self.tables[kind] = got
 
     def blobs(self):
         for kind in list(self.held):
@@ -69,7 +73,17 @@ class CountTable:
             for at in range(0, self.size, SLICE):
                 part = table[at : at + SLICE]
                 if part.any():
-                    yield kind, at // SLICE, part.astype("<i8").tobytes()
+                    yield kind, at // SLICE, packed_counts(part)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest integers that hold them, deflated."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 1 << (8 * w - 1))
+    return bytes([width]) + zlib.compress(counts.astype(f"<i{width}").tobytes(), 1)
+
+
+def unpacked_counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob[1:]), f"<i{blob[0]}").astype(np.int64)
 
 
 BLOB_TYPE = "kind string, slice int, blob binary"
@@ -88,9 +102,9 @@ def summed_blobs(blobs: DataFrame, partitions: int = 32) -> DataFrame:
         total: dict = {}
         for batch in batches:
             for kind, at, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                got = np.frombuffer(blob, "<i8")
+                got = unpacked_counts(blob)
                 total[kind, at] = total[kind, at] + got if (kind, at) in total else got
-        yield blob_batch((k, at, v.astype("<i8").tobytes()) for (k, at), v in total.items())
+        yield blob_batch((k, at, packed_counts(v)) for (k, at), v in total.items())
 
     return blobs.repartition(partitions, "kind", "slice").mapInArrow(add, BLOB_TYPE)
 
@@ -99,7 +113,8 @@ def count_tables(blobs: DataFrame, bits: int) -> dict[str, np.ndarray]:
     """The summed tables on the driver: 2**bits counts per kind, a fixed size."""
     out: dict = {}
     for kind, at, blob in summed_blobs(blobs).collect():
-        out.setdefault(kind, np.zeros(1 << bits, np.int64))[at * SLICE : at * SLICE + len(blob) // 8] += np.frombuffer(blob, "<i8")
+        got = unpacked_counts(blob)
+        out.setdefault(kind, np.zeros(1 << bits, np.int64))[at * SLICE : at * SLICE + len(got)] += got
     return out
 
 

@@ -11,7 +11,7 @@ U = np.uint64
 M1, M2, SEQ, BYTE = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
 BYTE_INV = U(pow(int(BYTE), -1, 1 << 64))
 #: Bytes of text that one vectorised step handles (a longer single text is one step).
-STEP_BYTES = 1_000_000
+STEP_BYTES = 250_000
 
 #: The six white-space bytes that end a word.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -33,11 +33,19 @@ def salt(k: int) -> np.uint64:
     return U(k * int(SEQ) & ((1 << 64) - 1))
 
 
+_POWERS: dict = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, U)
-    if n:
+    """base**0 .. base**(n-1), modulo 2**64; kept for the usual lengths."""
+    got = _POWERS.get(int(base))
+    if got is None or len(got) < n:
+        out = np.full(max(n, STEP_BYTES + 1), base, U)
         out[0] = 1
-    return np.multiply.accumulate(out)
+        got = np.multiply.accumulate(out)
+        if len(got) <= 4 * STEP_BYTES:
+            _POWERS[int(base)] = got
+    return got[:n]
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -11,11 +11,10 @@ Two classes of n and m shingles link when ``den * common >= num * union``. Then
 first ``n - ceil(num * n / den) + 1`` shingles of each share one. For every prefix
 shingle that two classes have, candidates go
 
-1. to one pivot class of the shingle (linear in its postings, however large a group
-   of near copies is), and links are contracted into components;
-2. in further rounds, postings that still meet another component under their shingle
-   go to pivots of the smallest and largest component there;
-3. what remains unconnected meets pair by pair under its shingle.
+1. in ``rounds`` rounds every posting meets a few pivots of its shingle only, which is
+   linear however large a group of near copies is, and links are contracted into
+   components; postings whose shingle meets a single component drop out;
+2. classes of different components that share a shingle then meet pair by pair.
 
 A pair is skipped only when a chain of verified links joins it already, so components
 are those of all links.
@@ -25,13 +24,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _spark as S
 from . import _vec as V
 
 HIST = 16
+#: Pivots per shingle and size; names of a pair's columns.
+PIVOTS = 16
+PAIRED = (("id", "sid", "s2"), ("n", "n", "n2"), ("p", "pos", "p2"))
 
 
 def _ceil(num, n, den):
@@ -48,7 +50,7 @@ def _sets(batch: pa.RecordBatch, width: int):
         yield a, b, values, n, sid
 
 
-def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bits: int = 22) -> DataFrame:
+def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bits: int = 21) -> DataFrame:
     """One pass: per document ``doc_id, th`` (hash of the text), ``n, sid`` (null if
     empty) with ``kind`` null, and per task its counts of shingles as blobs."""
 
@@ -75,28 +77,28 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     return rows.mapInArrow(run, S.BLOB_TYPE + ", doc_id bigint, th bigint, n bigint, sid bigint")
 
 
-def _postings(docs: DataFrame, text_col: str, width: int, bits: int, num: int, den: int, table) -> DataFrame:
-    """(key, sid, n, pos) of every prefix shingle; a task sends a class once. The key
-    leads with the capped frequency, so ascending keys are the rare-first order."""
+def _postings(docs: DataFrame, text_col: str, width: int, bits: int, num: int, den: int, table, keys=None) -> DataFrame:
+    """(key, sid, n, pos) of every prefix shingle, or of those in the bitmap ``keys``; a
+    task sends a class once. The key leads with the capped frequency, so ascending keys
+    are the rare-first order."""
 
     def run(batches):
         df, seen = np.minimum(table.value, (1 << 19) - 1).astype(V.U), set()
         for batch in batches:
             for _, _, values, n, sid in _sets(batch, width):
-                keys = (df[(values >> V.U(64 - bits)).astype(np.int64)] << V.U(44)) | (values >> V.U(20))
-                new = np.array([x not in seen and not seen.add(x) for x in sid.tolist()]) & (n > 0)
-                rows = np.flatnonzero(new)
+                key = (df[(values >> V.U(64 - bits)).astype(np.int64)] << V.U(44)) | (values >> V.U(20))
+                rows = np.array([i for i in np.flatnonzero(n > 0).tolist() if (x := int(sid[i])) not in seen and not seen.add(x)], np.int64)
                 if not len(rows):
                     continue
-                at = (np.cumsum(n) - n)[rows]
                 size = n[rows]
-                keys = V.row_sorted(keys[V.ranges(at, size)], size)
+                key = V.row_sorted(key[V.ranges((np.cumsum(n) - n)[rows], size)], size)
                 p = size - _ceil(num, size, den) + 1
-                pick = V.ranges(np.cumsum(size) - size, p)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[pick].view(np.int64)), pa.array(np.repeat(sid[rows], p)), pa.array(np.repeat(size, p).astype(np.int32)), pa.array((V.ranges(np.zeros(len(p), np.int64), p) + 1).astype(np.int32))],
-                    ["key", "sid", "n", "pos"],
-                )
+                key = key[V.ranges(np.cumsum(size) - size, p)].view(np.int64)
+                cols = [key, np.repeat(sid[rows], p), np.repeat(size, p).astype(np.int32), (V.ranges(np.zeros(len(p), np.int64), p) + 1).astype(np.int32)]
+                if keys is not None:
+                    some = S.in_bloom(keys.value, key)
+                    cols = [c[some] for c in cols]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "sid", "n", "pos"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key bigint, sid bigint, n int, pos int")
 
@@ -128,15 +130,27 @@ def _class_sets(docs: DataFrame, text_col: str, width: int, wanted) -> DataFrame
     return sets.dropDuplicates(["sid"])
 
 
+def _fits(num: int, den: int, x=("na", "pa", "sa", "fa"), y=("nb", "pb", "sb", "fb")) -> str:
+    """Length filter, and the positional filter of shingles matched together, the first
+    at positions f, the last at p. Two linked sets meet under the first shingle that
+    they have in common, and all else they have in common follows it in both: other
+    matches are passed over. At the last, s of the shingles up to it are shared by any
+    two classes at all, so the lesser of both, and what follows, bounds the overlap."""
+    (n, p, s, f), (m, q, t, g) = x, y
+    need = f"{num} * ({n} + {m})"
+    first = f"(least({n} - {f}, {m} - {g}) + 1) * {num + den} >= {need}"
+    return f"{den} * least({n}, {m}) >= {num} * greatest({n}, {m}) and {first} and (least({s}, {t}) + least({n} - {p}, {m} - {q})) * {num + den} >= {need}"
+
+
 def _filtered(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Length and positional filter, once per pair. pairs: a, b, na, nb and the matched
-    shingle's positions pa, pb. A pair's c prefix matches are all it has up to the
+    """Length and positional filter, once per pair. pairs: a, b, na, nb the number m of
+    shingles matched together, and the last one's positions pa, pb. A pair's c prefix matches are all it has up to the
     last one, so ``c + min(na - pa, nb - pb)`` bounds what the two have in common."""
     need = f"ceil({num} * (na + nb) / {num + den})"
     return (
         pairs.where(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
         .groupBy("a", "b", "na", "nb")
-        .agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+        .agg(F.sum("m").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
         .where(f"c + least(na - pa, nb - pb) >= {need}")
         .select("a", "b")
     )
@@ -152,7 +166,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(x, "a").join(y, "b").where(f"CASE WHEN {bound} THEN {exact} ELSE false END").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100, bits: int = 22, bloom_bits: int = 26, rounds: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100, bits: int = 21, bloom_bits: int = 26, rounds: int = 2) -> DataFrame:
     """``doc_id, th, n_shingles, group_id, component_id`` per row of ``docs``.
 
     component_id is the smallest doc_id reachable by links, itself included; group_id
@@ -172,68 +186,76 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = sc.broadcast(np.minimum(table, (1 << 31) - 1).astype(np.int32))
 
     # Postings of shingles that two classes or more have in their prefixes.
-    postings, at_postings = S.stored(_postings(docs, text_col, width, bits, num, den, order), "postings")
-    multi = postings.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
-    multi, at_multi = S.stored(multi.select("key", "lo"), "multi")
+    postings = _postings(docs, text_col, width, bits, num, den, order)
+    multi = postings.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
+    multi, at_multi = S.stored(multi, "multi")
     keys = sc.broadcast(S.bloom(multi, "key", bloom_bits))
-
-    def known(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(S.in_bloom(keys.value, batch.column("key").to_numpy())))
-
-    shared = postings.mapInArrow(known, postings.schema).join(multi, "key").dropDuplicates(["key", "sid"])
+    shared = _postings(docs, text_col, width, bits, num, den, order, keys).join(multi, "key").dropDuplicates(["key", "sid"])
     shared, at_shared = S.stored(shared, "shared")
-    S.dropped(spark, at_postings, at_multi)
-    wanted = sc.broadcast(S.bloom(shared.select("sid"), "sid", bloom_bits))
-    sets, at_sets = S.stored(_class_sets(docs, text_col, width, wanted), "sets")
-
-    # Round 0: every posting against its shingle's pivot.
-    pivot = shared.where("sid = lo").select("key", F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    pairs = shared.where("sid <> lo").join(pivot, "key").select(F.col("sid").alias("a"), F.col("lo").alias("b"), F.col("n").alias("na"), "nb", F.col("pos").alias("pa"), "pb")
-    label = S.components(_verified(_filtered(pairs, num, den), sets, num, den)).checkpoint()
+    # Shingles that just the same classes have become one, m shingles strong.
+    members = shared.groupBy("key").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(i), "sid")).alias(f"x{i}") for i in (0, 1)))
+    members = members.select("key", F.xxhash64("n", "x0", "x1").alias("group"))
+    ranked = shared.withColumn("s", F.row_number().over(Window.partitionBy("sid").orderBy("pos")))
+    left = ranked.join(members, "key").groupBy("group", "sid", "n").agg(F.max("pos").alias("pos"), F.min("pos").alias("f"), F.max("s").alias("s"), F.count("*").alias("m"))
+    left, at_left = S.stored(left.select(F.col("group").alias("key"), "sid", "n", "pos", "f", "s", "m", F.col("sid").alias("label")), "grouped")
+    S.dropped(spark, at_multi, at_shared)
+    order.destroy(), keys.destroy()
+    label = None  # (node, label) of the classes linked so far
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """(u, v): labels that verified pairs of classes join."""
+        pairs, at_pairs = S.stored(_filtered(pairs, num, den), "pairs")
+        wanted = sc.broadcast(S.bloom(pairs.select(F.explode(F.array("a", "b")).alias("sid")), "sid", bloom_bits))
+        links = _verified(pairs, _class_sets(docs, text_col, width, wanted), num, den)
+        names = left.select("sid", "label").distinct()
+        edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
+        edges = edges.select("u", "v").distinct().checkpoint()
+        S.dropped(spark, at_pairs)
+        wanted.destroy()
+        return edges
 
-    def relabelled(df, step):
+    def relabelled(df: DataFrame, step: DataFrame) -> DataFrame:
         return df.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
-    def open_only(df):
-        some = df.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-        return df.drop("lo", "hi").join(some, "key")
+    def extended(label: DataFrame | None, step: DataFrame) -> DataFrame:
+        """Labels after one more contraction: of classes named before and of new ones."""
+        if label is None:
+            return step
+        return relabelled(label, step).unionByName(step.join(label.select("node"), "node", "left_anti")).checkpoint()
 
-    left = relabelled(shared.withColumn("label", F.col("sid")), label)
-    at_open = None
     for r in range(rounds):
-        left, at_next = S.stored(open_only(left), f"open{r}")
-        if at_open:
-            S.dropped(spark, at_open)
-        at_open = at_next
-        if left.isEmpty():
+        # A key's pivots: of its classes of each size (to a fourteenth) in each of
+        # PIVOTS random parts, the first by hash.
+        h = F.xxhash64(F.lit(r), "sid")
+        pivot = F.min(F.struct(h.alias("h"), F.col("sid"), F.col("n"), F.col("pos"), F.col("f"), F.col("s"), F.col("label")))
+        ends = left.groupBy("key", F.floor(F.log("n") * 14).alias("size"), F.pmod(h, F.lit(PIVOTS)).alias("part")).agg(pivot.alias("p")).select("key", "p.*")
+        ends = ends.select("key", F.col("sid").alias("s2"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("s").alias("s_2"), F.col("f").alias("f2"), F.col("label").alias("lb"))
+        met = left.join(ends, "key").where("label <> lb").where(_fits(num, den, ("n", "pos", "s", "f"), ("n2", "p2", "s_2", "f2")))
+        # Either order of a pair becomes one. Two pivots meet twice, which only loosens
+        # the bound on what they have in common.
+        swap = F.col("sid") > F.col("s2")
+        pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+        met = met.select("m", *(pick(x, y).alias(f"{n}a") for n, x, y in PAIRED), *(pick(y, x).alias(f"{n}b") for n, x, y in PAIRED))
+        met = met.withColumnsRenamed({"ida": "a", "idb": "b"})
+        edges = linked(met)
+        if edges.isEmpty():
             break
-        as_pivot = F.struct(F.xxhash64(F.lit(r), "sid").alias("h"), F.col("sid"), F.col("n"), F.col("pos"), F.col("label"))
-        ends = left.where("label = lo or label = hi").groupBy("key", "label").agg(F.min(as_pivot).alias("p")).select("key", "p.*")
-        ends = ends.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"))
-        met = left.join(ends, "key").where("label <> lb").select(F.col("sid").alias("a"), "b", F.col("n").alias("na"), "nb", F.col("pos").alias("pa"), "pb")
-        links = _verified(_filtered(met, num, den), sets, num, den).checkpoint()
-        if links.isEmpty():
-            break
-        names = left.select(F.col("sid"), "label").distinct()
-        edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
         step = S.components(edges, "u", "v").checkpoint()
-        label = relabelled(label, step).unionByName(step.join(label.select(F.col("node")), "node", "left_anti")).checkpoint()
-        left = relabelled(left, step)
-
-    # What is not connected yet meets pair by pair.
-    x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
-    y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("label").alias("lb"))
-    met = x.join(y, "key").where(f"la < lb and {den} * least(na, nb) >= {num} * greatest(na, nb)")
-    names = left.select("sid", "label").distinct()
-    links = _verified(_filtered(met, num, den), sets, num, den)
-    edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
-    step = S.components(edges, "u", "v").checkpoint()
-    label = relabelled(label, step).unionByName(step.join(label.select("node"), "node", "left_anti"))
+        label = extended(label, step)
+        closed, at_closed = S.stored(relabelled(left, step), f"closed{r}")
+        some = closed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        S.dropped(spark, at_left)
+        left, at_left = S.stored(closed.join(some, "key").select("key", "sid", "n", "pos", "f", "s", "m", "label"), f"open{r}")
+        S.dropped(spark, at_closed)
+
+    x = left.select("key", "m", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
+    y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("s").alias("sb"), F.col("f").alias("fb"), F.col("label").alias("lb"))
+    met = x.join(y, "key").where(f"la < lb and {_fits(num, den)}")
+    label = extended(label, S.components(linked(met), "u", "v").checkpoint())
     least = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least")).join(label.withColumnRenamed("node", "sid"), "sid", "left")
     least = least.select("sid", F.coalesce("label", "sid").alias("label"), "least")
     linked = least.groupBy("label").agg(F.min("least").alias("component_id"))
     named, _ = S.stored(least.join(linked, "label").select("sid", F.col("label").alias("group_id"), "component_id"), "named")
-    S.dropped(spark, at_shared, at_sets, *filter(None, [at_open]))
+    S.dropped(spark, at_left)
     out = rows.join(named, "sid", "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), "group_id", F.coalesce("component_id", "doc_id").alias("component_id"))
