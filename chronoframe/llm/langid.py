@@ -166,8 +166,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n
 
 
 def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``lang_pred`` and ``score`` (the winner's corrected
-    share); columns of these names are replaced.
+    """``docs`` without its text, with ``lang_pred``, ``score`` (the winner's corrected
+    share) and ``n_grams`` (how many it rests on); columns of these names are replaced.
 
     ``und`` and 0 for a null text, one without a letter, or an empty model. Ties go to
     the language first by name. Other columns are kept and never read.
@@ -175,16 +175,17 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> D
     spark = docs.sparkSession
     S.text_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    passed = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
+    passed = [c for c in docs.columns if c not in (text_col, "lang_pred", "score", "n_grams")]
 
     def run(batches):
         m = sent.value
         grams = Grams(m.n)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            names, scores = [], []
+            names, scores, seen = [], [], []
             for a, b in _slices(texts):
                 h, per, letters = grams.of(texts[a:b])
+                seen.append(per)
                 if m.languages:
                     share = m.scores(h, per)
                     win = share.argmax(axis=1)
@@ -194,8 +195,8 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> D
                     names += [UNKNOWN] * (b - a)
                     scores += [0.0] * (b - a)
             cols = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*passed, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(np.concatenate([np.zeros(0, np.int64), *seen]))], [*passed, "lang_pred", "score", "n_grams"])
 
     rows = docs.select(*(F.col(f"`{c}`") for c in passed), F.col(text_col).alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("n_grams", "long")
     return rows.mapInArrow(run, schema)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from chronoframe.llm import _spark as S
 from chronoframe.llm import decontam, gumbel, jaccard, langid, secret_scan
 
-#: A text with a smaller share of n-grams of any known language is rejected.
-MIN_SHARE = 0.1
+#: A text of MIN_GRAMS n-grams or more with a smaller share of any known language's is rejected.
+MIN_SHARE, MIN_GRAMS = 0.1, 20
 SECRET_MARK = "[SECRET]"
 SAMPLES = 2
 MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
@@ -31,7 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter and texts in none of the languages of ``lang``."""
     model = langid.train(docs)
     judged = langid.predict(docs.select(F.struct("*").alias("row"), F.col("text")), model)
-    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SHARE)).select("row.*")
+    foreign = (F.col("n_grams") >= MIN_GRAMS) & (F.col("score") < MIN_SHARE)
+    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & ~foreign).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
