@@ -101,14 +101,12 @@ def attach_lookup(
     if prof.n_rows != prof.n_keys:
         dups = lk.groupBy(key).count().filter("count > 1").orderBy(key).limit(10)
         raise LookupError_(f"lookup key {key} is not unique: {prof.n_rows} rows over {prof.n_keys} keys; e.g. {[r[key] for r in dups.collect()]}")
-    right = F.broadcast(lk) if prof.n_rows <= broadcast_max_rows else lk
+    known = lk.filter(F.col(out).isNotNull())  # a null value is a miss
+    right = F.broadcast(known) if prof.n_rows <= broadcast_max_rows else known
     if mode == "raise":
-        rep = unmatched_report(df, lk, key)
+        rep = unmatched_report(df, known, key)
         if rep.misses:
-            raise LookupError_(
-                f"{rep.misses} rows over {rep.distinct_misses} {key}(s) have no {out}; "
-                f"the lookup is out of sync with the log. First unknown {key}s: {list(rep.first_misses)}"
-            )
+            raise LookupError_(f"no {out} for {rep.misses} rows, {rep.distinct_misses} distinct {key}; smallest of them: {list(rep.first_misses)}")
         joined = df.join(right, on=key, how="left")
     elif mode == "quarantine":
         joined = df.join(right, on=key, how="inner")

@@ -27,7 +27,10 @@ N_RANGES = 64
 
 
 def to_long(df: DataFrame, targets: Sequence[str], y: str = "{t}", score: str = "score_{t}", keep: Sequence[str] = ()) -> DataFrame:
-    """Wide [rows x targets] -> long (target, y_true, y_score), masked cells dropped."""
+    """Wide [rows x targets] -> long (target, y_true, y_score), masked cells dropped.
+
+    A valid label without a score fails the query: it would leave the metrics unseen.
+    """
     cells = F.array(
         *[
             F.struct(F.lit(t).alias("target"), F.col(y.format(t=t)).cast("double").alias("y_true"), F.col(score.format(t=t)).cast("double").alias("y_score"))
@@ -35,7 +38,18 @@ def to_long(df: DataFrame, targets: Sequence[str], y: str = "{t}", score: str =
         ]
     )
     out = df.select(*keep, F.explode(cells).alias("__c")).select(*keep, "__c.*")
-    return out.filter(F.col("y_true").isNotNull() & F.col("y_score").isNotNull())
+    out = out.filter(F.col("y_true").isNotNull())
+    unscored = F.raise_error(F.concat(F.lit("no score for a valid label of "), F.col("target"))).cast("double")
+    return out.withColumn("y_score", F.coalesce("y_score", unscored))
+
+
+def _with_targets(per_target: DataFrame, targets: Sequence[str] | None, **fill) -> DataFrame:
+    """One row for each of ``targets``, also those without a valid label."""
+    if targets is None:
+        return per_target
+    names = per_target.sparkSession.createDataFrame([(t,) for t in targets], "target string")
+    out = names.join(per_target, "target", "left")
+    return out.fillna(fill) if fill else out
 
 
 def _softplus(x: Column) -> Column:
@@ -52,10 +66,12 @@ def huber(y: Column, pred: Column, delta: float = 1.0) -> Column:
     return F.when(d <= delta, 0.5 * d * d).otherwise(delta * (d - 0.5 * delta))
 
 
-def masked_bce(long_logits: DataFrame, pos_weight: float = 1.0) -> DataFrame:
-    """Per target, sum of losses over valid rows / max(valid count, 1)."""
+def masked_bce(long_logits: DataFrame, pos_weight: float = 1.0, targets: Sequence[str] | None = None) -> DataFrame:
+    """Per target, sum of losses over valid rows / max(valid count, 1); with
+    ``targets`` given, 0 for one without valid rows."""
     loss = bce_with_logits(F.col("y_true"), F.col("y_score"), pos_weight)
-    return long_logits.groupBy("target").agg((F.sum(loss) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("loss"))
+    per = long_logits.groupBy("target").agg((F.sum(loss) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("loss"))
+    return _with_targets(per, targets, loss=0.0)
 
 
 def masked_huber(long_preds: DataFrame, delta: float = 1.0) -> DataFrame:
@@ -66,9 +82,10 @@ def masked_huber(long_preds: DataFrame, delta: float = 1.0) -> DataFrame:
     )
 
 
-def combined_loss(long_logits: DataFrame, long_preds: DataFrame, pos_weight: float = 1.0) -> DataFrame:
-    """Mean over binary targets of D4, plus D5 -- computed as one aggregate row."""
-    bce = masked_bce(long_logits, pos_weight).agg(F.avg("loss").alias("binary_loss"))
+def combined_loss(long_logits: DataFrame, long_preds: DataFrame, pos_weight: float = 1.0, targets: Sequence[str] | None = None) -> DataFrame:
+    """Mean over binary targets of D4 (fully masked ones count 0 when ``targets``
+    names them), plus D5 -- computed as one aggregate row."""
+    bce = masked_bce(long_logits, pos_weight, targets).agg(F.avg("loss").alias("binary_loss"))
     hub = masked_huber(long_preds).withColumnRenamed("loss", "continuous_loss")
     # Both sides are single aggregate rows: tag and fold them together.
     both = bce.select(F.col("binary_loss"), F.lit(None).cast("double").alias("continuous_loss")).unionByName(
@@ -118,7 +135,7 @@ def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int) -> Dat
     return c.select("target", "y_score", "p", "n", (F.col("tp") + F.col("__op")).alias("tp"), (F.col("fp") + F.col("__on")).alias("fp"))
 
 
-def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: str = "ranged", n_ranges: int = N_RANGES) -> DataFrame:
+def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: str = "ranged", n_ranges: int = N_RANGES, targets: Sequence[str] | None = None) -> DataFrame:
     """roc_auc, recall_precision_auc (AP), precision, recall per target.
 
     All four are NULL when the target has no valid row or only one class.
@@ -133,18 +150,22 @@ def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: st
         F.sum(F.when(F.col("y_score") >= threshold, F.col("p") + F.col("n")).otherwise(0)).alias("__pp"),
     )
     ok = (F.col("P") > 0) & (F.col("N") > 0)
-    return per.select(
+    out = per.select(
         "target",
         F.when(ok, F.col("__auc") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
         F.when(ok, F.col("__ap") / F.col("P")).alias("recall_precision_auc"),
         F.when(ok & (F.col("__pp") > 0), F.col("__tp") / F.col("__pp")).alias("precision"),
         F.when(ok, F.col("__tp") / F.col("P")).alias("recall"),
     )
+    return _with_targets(out, targets)
 
 
-def rmse(long_preds: DataFrame) -> DataFrame:
-    """Per continuous target over valid rows (no valid row -> no output row / NULL)."""
-    return long_preds.groupBy("target").agg(F.sqrt(F.avg(F.pow(F.col("y_true") - F.col("y_score"), 2))).alias("rmse"))
+def rmse(long_preds: DataFrame, targets: Sequence[str] | None = None) -> DataFrame:
+    """Per continuous target over valid rows; NaN labels are masked; with
+    ``targets`` given, NULL for one without valid rows."""
+    long_preds = long_preds.filter(~F.isnan("y_true"))
+    per = long_preds.groupBy("target").agg(F.sqrt(F.avg(F.pow(F.col("y_true") - F.col("y_score"), 2))).alias("rmse"))
+    return _with_targets(per, targets)
 
 
 def rates(df: DataFrame, signals: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

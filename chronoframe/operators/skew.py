@@ -5,12 +5,9 @@ that is dense in time still fills one. ``hot_widths`` finds the keys with
 more rows than a task should hold and gives each its own, narrower slice
 width, so rows per ``(key, slice)`` stay near ``target_rows``.
 
-The hot-key table is small by construction: it holds the ``max_hot``
-heaviest keys above ``target_rows`` (a distributed top-k, one job). Only
-that table reaches the driver and it is broadcast; every other key keeps
-the base width. Results never depend on the widths (the slice only chooses
-the task), so this is purely a balancing decision, and a key outside the
-top ``max_hot`` is still computed exactly, just in wider slices.
+The widths stay a distributed table, one row per hot key however many there
+are, joined on the key. Results never depend on the widths (the slice only
+chooses the task), so this is purely a balancing decision.
 """
 
 from __future__ import annotations
@@ -19,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TARGET_ROWS = 2_000_000
-MAX_HOT = 10_000
 
 
 def hot_widths(
@@ -29,29 +25,19 @@ def hot_widths(
     base_us: int,
     *,
     target_rows: int | None = None,
-    max_hot: int | None = None,
 ) -> DataFrame | None:
-    """A broadcastable ``(key, __w)`` table of per-key slice widths, or None
+    """A ``(key, __w)`` table of per-key slice widths, or None
     when no key is hot. ``key`` is one (struct) column."""
     target_rows = int(target_rows or TARGET_ROWS)
-    max_hot = int(max_hot or MAX_HOT)
     stats = df.filter(F.col(ts_us).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.min(ts_us).alias("lo"), F.max(ts_us).alias("hi")
     )
-    # One job: the max_hot heaviest keys (a distributed top-k), of which the
-    # ones above target_rows are hot.
-    top = stats.filter(F.col("n") > F.lit(target_rows)).orderBy(F.col("n").desc()).limit(max_hot).collect()
-    hot = [r for r in top if r["n"] > target_rows]
-    if not hot:
+    hot = stats.filter(F.col("n") > F.lit(target_rows))
+    if hot.isEmpty():
         return None
-    spark = df.sparkSession
-    rows = []
-    for r in hot:
-        span = int(r["hi"]) - int(r["lo"]) + 1
-        width = max(1, min(int(base_us), span * int(target_rows) // int(r["n"])))
-        rows.append((r[key], width))
-    schema = df.select(key).schema.add("__w", "long")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    span = F.col("hi") - F.col("lo") + 1
+    width = F.floor(span.cast("decimal(38,0)") * target_rows / F.col("n")).cast("long")
+    return hot.select(key, F.greatest(F.lit(1).cast("long"), F.least(F.lit(int(base_us)).cast("long"), width)).alias("__w"))
 
 
 def with_width(df: DataFrame, key: str, widths: DataFrame | None, base_us: int, out: str = "__w") -> DataFrame:
@@ -59,7 +45,9 @@ def with_width(df: DataFrame, key: str, widths: DataFrame | None, base_us: int,
     if widths is None:
         return df.withColumn(out, F.lit(int(base_us)))
     w = widths.withColumnRenamed("__w", "__hw")
-    return df.join(w, on=key, how="left").withColumn(out, F.coalesce(F.col("__hw"), F.lit(int(base_us)))).drop("__hw")
+    same = F.col(f"__l.{key}").eqNullSafe(F.col(f"__r.{key}"))
+    both = df.alias("__l").join(w.alias("__r"), same, "left").select("__l.*", "__r.__hw")
+    return both.withColumn(out, F.coalesce(F.col("__hw"), F.lit(int(base_us)))).drop("__hw")
 
 
 def slice_by(ts_us: str, width: str) -> Column:

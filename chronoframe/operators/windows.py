@@ -66,21 +66,33 @@ def _num(col: str) -> Column:
     return F.col(col).cast("long")
 
 
+def _timed(ts_us: str, value: Column) -> Column:
+    """The signal of a row with an event time; rows without one are in no window."""
+    return F.when(F.col(ts_us).isNotNull(), value)
+
+
+def _finite(col: str) -> Column:
+    """A double signal, NaN as missing."""
+    v = F.col(col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def slice_of(ts_us: str, width_us: int) -> Column:
     """Floor division of epoch micros by the slice width (correct for negatives)."""
     return F.expr(f"(`{ts_us}` - pmod(`{ts_us}`, {int(width_us)})) div {int(width_us)}")
 
 
-def _prefix_mean(sig: str, w, window_us: int) -> Column:
+def _prefix_mean(sig: str, w, window_us: int, ts_us: str) -> Column:
+    num = _timed(ts_us, _num(sig))
     upto_prev = w.rangeBetween(UNBOUNDED, -1)
     upto_edge = w.rangeBetween(UNBOUNDED, -(int(window_us) + 1))
-    s = F.sum(_num(sig)).over(upto_prev) - F.coalesce(F.sum(_num(sig)).over(upto_edge), F.lit(0))
-    c = F.count(_num(sig)).over(upto_prev) - F.count(_num(sig)).over(upto_edge)
+    s = F.sum(num).over(upto_prev) - F.coalesce(F.sum(num).over(upto_edge), F.lit(0))
+    c = F.count(num).over(upto_prev) - F.count(num).over(upto_edge)
     return F.when(c > 0, s.cast("double") / c)
 
 
-def _sliding_mean(sig: str, w, window_us: int) -> Column:
-    return F.avg(F.col(sig).cast("double")).over(w.rangeBetween(-int(window_us), -1))
+def _sliding_mean(sig: str, w, window_us: int, ts_us: str) -> Column:
+    return F.avg(_timed(ts_us, _finite(sig))).over(w.rangeBetween(-int(window_us), -1))
 
 
 def _split_table(
@@ -251,7 +263,7 @@ def pick_strategies(
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    worst = {r["v"]: r["m"] or 0 for r in u.collect()}
+    worst = {r["v"]: r["m"] or 0 for r in u.collect()}  # one row per view
     return ["split" if worst.get(i, 0) > target else "sliced" for i in range(len(views))]
 
 
@@ -280,12 +292,12 @@ def rolling_mean(
         strategy = "sliced"  # differences are exact for integers only
     if strategy == "direct":
         w = Window.partitionBy(*keys).orderBy(ts_us)
-        return df.withColumns({n: _sliding_mean(s, w, window_us) for s, n in zip(signals, names)})
+        return df.withColumns({n: _sliding_mean(s, w, window_us, ts_us) for s, n in zip(signals, names)})
     if strategy == "prefix":
         w = Window.partitionBy(*keys).orderBy(ts_us)
         return df.withColumns(
             {
-                n: _prefix_mean(s, w, window_us) if _is_integral(df, s) else _sliding_mean(s, w, window_us)
+                n: _prefix_mean(s, w, window_us, ts_us) if _is_integral(df, s) else _sliding_mean(s, w, window_us, ts_us)
                 for s, n in zip(signals, names)
             }
         )
@@ -303,7 +315,7 @@ def rolling_mean(
     )
     w = Window.partitionBy(*keys, part).orderBy(ts_us)
     feats = {
-        n: _prefix_mean(s, w, window_us) if _is_integral(df, s) else _sliding_mean(s, w, window_us)
+        n: _prefix_mean(s, w, window_us, ts_us) if _is_integral(df, s) else _sliding_mean(s, w, window_us, ts_us)
         for s, n in zip(signals, names)
     }
     out = rep.withColumns(feats).filter(F.col(own)).drop(own, part)
@@ -333,13 +345,15 @@ def cumulative_sum(
         raise ValueError("ties must be 'exclude' or 'sequence'")
     if ties == "sequence" and not tiebreak:
         raise ValueError("ties='sequence' needs a tiebreak column")
+    if not all(_is_integral(df, s) for s in signals):
+        raise ValueError("a running sum needs integral signals")
 
     def prior(w) -> Callable[[str], Column]:
         if ties == "exclude":
             frame = w.orderBy(ts_us).rangeBetween(UNBOUNDED, -1)
         else:
             frame = w.orderBy(ts_us, tiebreak).rowsBetween(UNBOUNDED, -1)
-        return lambda s: F.coalesce(F.sum(_num(s)).over(frame), F.lit(0).cast("long"))
+        return lambda s: F.coalesce(F.sum(_timed(ts_us, _num(s))).over(frame), F.lit(0).cast("long"))
 
     if strategy == "direct":
         p = prior(Window.partitionBy(*keys))
@@ -355,12 +369,18 @@ def cumulative_sum(
     p = prior(Window.partitionBy(*keys, sl))
     within = base.withColumns({n: p(s) for s, n in zip(signals, names)})
     # Totals per (keys, slice) are small: one row per key and slice.
-    totals = base.groupBy(*keys, sl).agg(*[F.sum(_num(s)).alias(f"__tot{i}") for i, s in enumerate(signals)])
+    totals = base.groupBy(*keys, sl).agg(*[F.sum(_timed(ts_us, _num(s))).alias(f"__tot{i}") for i, s in enumerate(signals)])
     wk = Window.partitionBy(*keys).orderBy(sl).rowsBetween(UNBOUNDED, -1)
     carry = totals.select(
         *keys, sl, *[F.coalesce(F.sum(f"__tot{i}").over(wk), F.lit(0).cast("long")).alias(f"__carry{i}") for i in range(len(signals))]
     )
-    joined = within.join(carry, on=[*keys, sl], how="left")
+    # Null-safe: a null key is a key like any other.
+    same = None
+    for c in [*keys, sl]:
+        one = F.col(f"__w.{c}").eqNullSafe(F.col(f"__c.{c}"))
+        same = one if same is None else same & one
+    carried = [F.col(f"__c.__carry{i}") for i in range(len(signals))]
+    joined = within.alias("__w").join(carry.alias("__c"), same, "left").select("__w.*", *carried)
     return joined.withColumns(
         {n: F.col(n) + F.coalesce(F.col(f"__carry{i}"), F.lit(0).cast("long")) for i, n in enumerate(names)}
     ).drop(sl, *[f"__carry{i}" for i in range(len(signals))])

@@ -61,7 +61,7 @@ def ev_stream(spark, sf_dir, start: str | None = None, max_files_per_trigger: in
 def _real(df, keys):
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(k) != RESERVED_KEY)
+        cond = cond & ~F.col(k).eqNullSafe(F.lit(RESERVED_KEY))  # null keys are real
     return df.filter(cond)
 
 

@@ -28,7 +28,7 @@ from ..session import scratch_path
 from .processor import WindowFold
 
 Sink = Callable[[DataFrame, int], None]
-RESERVED_KEY = -1
+RESERVED_KEY = -(1 << 62)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -174,21 +174,29 @@ class LatestTableSink:
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], ts: str, cols: Sequence[str]):
         self.spark, self.path, self.keys, self.ts, self.cols = spark, path, list(keys), ts, list(cols)
-        self.version: int | None = None
+
+    def newest(self, below: int | None = None) -> int | None:
+        """The newest complete version on storage (below a batch id), so that a restarted
+        stream goes on from the stored table."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
+        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at) or []
+        ids = [int(f.getPath().getParent().getName().removeprefix("v=")) for f in found]
+        return max((i for i in ids if below is None or i < below), default=None)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         upd = keep_latest(batch, self.keys, self.ts, self.cols)
-        if self.version is None:
+        before = self.newest(below=batch_id)
+        if before is None:
             merged = upd
         else:
-            merged = merge_latest(self.spark.read.parquet(f"{self.path}/v={self.version}"), upd, self.keys, self.ts)
+            merged = merge_latest(self.spark.read.parquet(f"{self.path}/v={before}"), upd, self.keys, self.ts)
         merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        self.version = batch_id
 
     def read(self) -> DataFrame:
-        if self.version is None:
+        version = self.newest()
+        if version is None:
             raise ValueError("no version written yet")
-        return self.spark.read.parquet(f"{self.path}/v={self.version}")
+        return self.spark.read.parquet(f"{self.path}/v={version}")
 
 
 def run(stream: DataFrame, sinks: Sequence[Sink] | None = None, *, out: str | None = None, checkpoint: str | None = None, timeout_s: int | None = None):
@@ -200,7 +208,9 @@ def run(stream: DataFrame, sinks: Sequence[Sink] | None = None, *, out: str | No
         q = w.foreachBatch(fan_out(sinks)).start()
     else:
         q = w.format("parquet").outputMode("append").start(out)
-    q.awaitTermination(timeout_s)
+    if q.awaitTermination(timeout_s) is False:
+        q.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} s; its output is partial")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q

@@ -15,7 +15,7 @@ def test_lookup_join_preserves_rows_and_type(spark):
 def test_lookup_miss_raises_with_first_ids(spark):
     df = spark.createDataFrame([(1,), (2,)], "video_id long")
     lk = spark.createDataFrame([(1, 10)], "video_id long, author_id long")
-    with pytest.raises(LookupError_, match=r"First unknown video_ids: \[2\]"):
+    with pytest.raises(LookupError_, match=r"1 distinct video_id; smallest of them: \[2\]"):
         attach_lookup(df, lk, "video_id", "author_id")
     assert [r.video_id for r in unmatched_keys(df, lk, "video_id").collect()] == [2]
     assert [r.video_id for r in first_unmatched(df, lk, "video_id").collect()] == [2]
@@ -73,3 +73,12 @@ def test_asof_sliced_hot_key_equals_direct(spark, monkeypatch):
     b = asof_join(left, right, ["k"], ["v"], strategy="sliced", slice_us=500).select("id", F.col("v").alias("w"))
     rows = a.join(b, "id").collect()
     assert len(rows) == 400 and all(r.v == r.w for r in rows)
+
+
+def test_null_lookup_value_is_a_miss(spark):
+    log = spark.createDataFrame([(1,), (2,)], "video_id long")
+    lk = spark.createDataFrame([(1, 10), (2, None)], "video_id long, author_id long")
+    with pytest.raises(LookupError_, match=r"smallest of them: \[2\]"):
+        attach_lookup(log, lk, "video_id", "author_id")
+    kept = attach_lookup(log, lk, "video_id", "author_id", mode="quarantine")
+    assert [tuple(r) for r in kept.collect()] == [(1, 10)]

@@ -77,3 +77,17 @@ def test_write_metrics_round_trip(spark):
     assert [(r.target, r.roc_auc) for r in back] == [("a", 1.0)]
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
     assert meta == {"split": "test", "rows": 2}
+
+
+def test_every_named_target_has_a_row(spark):
+    from chronoframe.operators import metrics as M
+
+    rows = spark.createDataFrame([("a", 1.0, 2.0), ("a", 0.0, -1.0)], "target string, y_true double, y_score double")
+    bce = {r["target"]: r["loss"] for r in M.masked_bce(rows, targets=["a", "b"]).collect()}
+    assert bce["b"] == 0.0 and bce["a"] > 0
+    none = rows.filter("false")
+    both = M.combined_loss(rows, none, targets=["a", "b"]).first()
+    assert abs(both["binary_loss"] - bce["a"] / 2) < 1e-12
+    got = {r["target"]: r for r in M.ranking_metrics(rows, targets=["a", "b"]).collect()}
+    assert got["a"]["roc_auc"] == 1.0 and got["b"]["roc_auc"] is None
+    assert {r["target"]: r["rmse"] for r in M.rmse(rows, targets=["b"]).collect()}["b"] is None

@@ -120,7 +120,7 @@ def test_hot_widths_bounded(spark):
 
     rows = [(1, d % 30, 1) for d in range(300)] + [(k, 0, 1) for k in range(2, 60)]
     df = frame(spark, rows).withColumn("__key", F.struct("user_id"))
-    w = hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=50, max_hot=100)
+    w = hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=50)
     got = w.collect()
     assert [r["__key"]["user_id"] for r in got] == [1]
     # 300 rows over 30 days at 50 rows per slice: about 5 days wide
