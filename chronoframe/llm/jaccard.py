@@ -202,15 +202,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order.destroy(), keys.destroy()
     label = None  # (node, label) of the classes linked so far
 
+    tried: list[tuple[DataFrame, str]] = []
+
     def linked(pairs: DataFrame) -> DataFrame:
         """(u, v): labels that verified pairs of classes join."""
-        pairs, at_pairs = S.stored(_filtered(pairs, num, den), "pairs")
-        wanted = sc.broadcast(S.bloom(pairs.select(F.explode(F.array("a", "b")).alias("sid")), "sid", bloom_bits))
+        pairs = _filtered(pairs, num, den)
+        for before, _ in tried:  # a pair is verified once
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        tried.append(S.stored(pairs, "pairs"))
+        pairs = tried[-1][0]
+        wanted = sc.broadcast(S.bloom(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), "sid", bloom_bits))
         links = _verified(pairs, _class_sets(docs, text_col, width, wanted), num, den)
         names = left.select("sid", "label").distinct()
         edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
         edges = edges.select("u", "v").distinct().checkpoint()
-        S.dropped(spark, at_pairs)
         wanted.destroy()
         return edges
 
@@ -250,12 +255,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     x = left.select("key", "m", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
     y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("s").alias("sb"), F.col("f").alias("fb"), F.col("label").alias("lb"))
-    met = x.join(y, "key").where(f"la < lb and {_fits(num, den)}")
+    met = x.join(y, "key").where(f"a < b and la <> lb and {_fits(num, den)}")
     label = extended(label, S.components(linked(met), "u", "v").checkpoint())
     least = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least")).join(label.withColumnRenamed("node", "sid"), "sid", "left")
     least = least.select("sid", F.coalesce("label", "sid").alias("label"), "least")
     linked = least.groupBy("label").agg(F.min("least").alias("component_id"))
     named, _ = S.stored(least.join(linked, "label").select("sid", F.col("label").alias("group_id"), "component_id"), "named")
-    S.dropped(spark, at_left)
+    S.dropped(spark, at_left, *(at for _, at in tried))
     out = rows.join(named, "sid", "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), "group_id", F.coalesce("component_id", "doc_id").alias("component_id"))
