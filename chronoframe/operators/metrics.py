@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import score_to_label, sigmoid
 
-N_RANGES = 64
+#: Distinct scores of a target that one range, and so one task, should hold.
+RANGE_SCORES = 1_000_000
 
 
 def to_long(df: DataFrame, targets: Sequence[str], y: str = "{t}", score: str = "score_{t}", keep: Sequence[str] = ()) -> DataFrame:
@@ -102,7 +103,14 @@ def _score_counts(long_scores: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int) -> DataFrame:
+def _ranges_for(counts: DataFrame) -> int:
+    """Ranges of the score axis, so that the target with most distinct scores has
+    RANGE_SCORES in each (one row reaches the driver)."""
+    most = counts.groupBy("target").count().agg(F.max("count")).first()[0] or 0
+    return max(8, -(-most // RANGE_SCORES))
+
+
+def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int | None) -> DataFrame:
     """Per (target, score): p, n and inclusive running TP / FP over descending scores."""
     if strategy == "direct":
         c = _score_counts(long_scores, [])
@@ -115,8 +123,9 @@ def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int) -> Dat
     # bounds are quantiles of the *distinct* scores, which is what balances the
     # window partitions.
     c = _score_counts(long_scores, [])
+    n_ranges = n_ranges or _ranges_for(c)
     qs = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = c.groupBy("target").agg(F.percentile_approx("y_score", qs, 10_000).alias("__b"))
+    bounds = c.groupBy("target").agg(F.percentile_approx("y_score", qs, max(10_000, 10 * n_ranges)).alias("__b"))
     # targets x n_ranges values: a proven, small bound -> broadcast.
     c = c.join(F.broadcast(bounds), "target").withColumn(
         "__r", F.size(F.filter("__b", lambda b: b > F.col("y_score")))
@@ -135,7 +144,7 @@ def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int) -> Dat
     return c.select("target", "y_score", "p", "n", (F.col("tp") + F.col("__op")).alias("tp"), (F.col("fp") + F.col("__on")).alias("fp"))
 
 
-def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: str = "ranged", n_ranges: int = N_RANGES, targets: Sequence[str] | None = None) -> DataFrame:
+def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: str = "ranged", n_ranges: int | None = None, targets: Sequence[str] | None = None) -> DataFrame:
     """roc_auc, recall_precision_auc (AP), precision, recall per target.
 
     All four are NULL when the target has no valid row or only one class.

@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..registry import DAY_US, FeatureView, Kind, Registry, cumulative_name, rolling_name
+from ..registry import CUMULATIVE, DAY_US, ROLLING, FeatureView, Registry, feature_name
 from .skew import hot_widths, slice_by, with_width
 
 _INTEGRAL = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -61,6 +61,11 @@ def _is_integral(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, _INTEGRAL)
 
 
+def has_integral(df: DataFrame, signals: Sequence[str]) -> bool:
+    """Whether all ``signals`` are integral, as the split strategy needs."""
+    return all(_is_integral(df, s) for s in signals)
+
+
 def _num(col: str) -> Column:
     """Booleans count as 0/1."""
     return F.col(col).cast("long")
@@ -284,7 +289,7 @@ def rolling_mean(
     ``sub_us`` is the sub-slice width of the ``split`` strategy (default W/7).
     """
     keys = list(keys)
-    names = list(names) if names is not None else [rolling_name(s, keys) for s in signals]
+    names = list(names) if names is not None else [feature_name(s, ROLLING, keys) for s in signals]
     if strategy == "split":
         if all(_is_integral(df, s) for s in signals):
             sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
@@ -340,7 +345,7 @@ def cumulative_sum(
     ``ties="sequence"``: order by (time, ``tiebreak``) and count earlier rows.
     """
     keys = list(keys)
-    names = list(names) if names is not None else [cumulative_name(s, keys) for s in signals]
+    names = list(names) if names is not None else [feature_name(s, CUMULATIVE, keys) for s in signals]
     if ties not in ("exclude", "sequence"):
         raise ValueError("ties must be 'exclude' or 'sequence'")
     if ties == "sequence" and not tiebreak:
@@ -402,8 +407,8 @@ def view_source(
     travel through the shuffle.
     """
     keys = list(view.keys)
-    rolling = registry.cols(view, Kind.ROLLING)
-    cum = registry.cols(view, Kind.CUMULATIVE)
+    rolling = registry.cols(view, ROLLING)
+    cum = registry.cols(view, CUMULATIVE)
     needed = list(dict.fromkeys([*keys, ts, ts_us, *extra, *[c.signal for c in rolling + cum]]))
     df = base.select(*needed)
     if strategy == "split" and all(_is_integral(df, c.signal) for c in rolling + cum):

@@ -10,7 +10,7 @@ from ..functions.timecols import time_slice
 from ..operators.latest import keep_latest, materialize, merge_latest, online_lookup
 from ..operators.metrics import combined_loss, masked_bce, masked_huber, ranking_metrics, rates, rmse, to_long
 from ..operators.windows import rolling_mean, view_source
-from ..registry import POS_WEIGHT, rolling_name
+from ..registry import POS_WEIGHT, ROLLING, feature_name
 from ..sources.bindings import EV, EV_ITEM, EV_SIGNALS, EV_USER, EV_USER_ITEM, events_log
 from .catalog import register
 from .queries_features import _DWELL_SQL, _SKIP_SQL, _cum_cols, _roll_cols
@@ -26,14 +26,14 @@ SERVE_AT = "2024-01-29 00:00:00"
 def _logit_of(t: str):
     src = "is_click" if t == "is_skip" else t
     bias = -1.0 if t == "is_skip" else -2.0
-    return F.lit(4.0) * F.coalesce(F.col(rolling_name(src, ["user_id"])), F.lit(0.0)) + F.lit(bias)
+    return F.lit(4.0) * F.coalesce(F.col(feature_name(src, ROLLING, ["user_id"])), F.lit(0.0)) + F.lit(bias)
 
 
 def scored_events(spark, sf_dir) -> DataFrame:
     log = with_engagement_targets(events_log(spark, sf_dir))
     f = rolling_mean(log, ["user_id"], EV_SIGNALS, EV.window_us)
     cols = {f"logit_{t}": _logit_of(t) for t in BINARY}
-    cols["pred_dwell_log"] = F.lit(8.0) + F.coalesce(F.col(rolling_name("is_view", ["user_id"])), F.lit(0.0))
+    cols["pred_dwell_log"] = F.lit(8.0) + F.coalesce(F.col(feature_name("is_view", ROLLING, ["user_id"])), F.lit(0.0))
     f = f.withColumns(cols)
     return f.withColumns({f"score_{t}": sigmoid(f"logit_{t}") for t in BINARY})
 
@@ -41,12 +41,12 @@ def scored_events(spark, sf_dir) -> DataFrame:
 def _logit_sql(t: str) -> str:
     src = "is_click" if t == "is_skip" else t
     bias = "-1.0" if t == "is_skip" else "-2.0"
-    return f"(4.0 * coalesce({rolling_name(src, ['user_id'])}, 0.0) + {bias})"
+    return f"(4.0 * coalesce({feature_name(src, ROLLING, ['user_id'])}, 0.0) + {bias})"
 
 
 SCORED_SQL = (
     f"(SELECT *, {', '.join(f'1.0 / (1.0 + exp(-{_logit_sql(t)})) AS score_{t}, {_logit_sql(t)} AS logit_{t}' for t in BINARY)}, "
-    f"8.0 + coalesce({rolling_name('is_view', ['user_id'])}, 0.0) AS pred_dwell_log FROM "
+    f"8.0 + coalesce({feature_name('is_view', ROLLING, ['user_id'])}, 0.0) AS pred_dwell_log FROM "
     f"(SELECT *, {_SKIP_SQL} AS is_skip, {_DWELL_SQL} AS dwell_log, {_roll_cols(['user_id'], EV_SIGNALS, 7)} FROM {EV_SQL}))"
 )
 
@@ -150,7 +150,7 @@ def _rates(spark, sf_dir):
 
 
 # -- D2 / D3 / A10 / C6: latest-value tables ---------------------------------------------
-_UFEAT = [rolling_name(s, ["user_id"]) for s in EV_SIGNALS]
+_UFEAT = [feature_name(s, ROLLING, ["user_id"]) for s in EV_SIGNALS]
 _USER_SRC_SQL = f"(SELECT user_id, ts, {_roll_cols(['user_id'], EV_SIGNALS, 7)} FROM {EV_SQL})"
 
 

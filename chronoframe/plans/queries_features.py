@@ -14,7 +14,7 @@ from ..operators.buckets import bucket_size_map, bucket_sizes
 from ..operators.joins import asof_join, attach_lookup, first_unmatched, unmatched_keys
 from ..operators.sampling import SEED, neg_sample_exact, neg_sample_hash
 from ..operators.windows import cumulative_sum, rolling_mean, view_source, with_history
-from ..registry import DAY_US, cumulative_name, rolling_name
+from ..registry import CUMULATIVE, DAY_US, ROLLING, feature_name
 from ..sources.bindings import (
     EV,
     EV_ITEM,
@@ -37,11 +37,11 @@ SLICE_START, SLICE_END = "2024-01-08 00:00:00", "2024-01-15 00:00:00"
 
 
 def _roll_cols(keys, signals, days):
-    return ", ".join(f"avg({s}) OVER {range_frame(keys, days)} AS {rolling_name(s, keys)}" for s in signals)
+    return ", ".join(f"avg({s}) OVER {range_frame(keys, days)} AS {feature_name(s, ROLLING, keys)}" for s in signals)
 
 
 def _cum_cols(keys, signals):
-    return ", ".join(f"CAST(coalesce(sum({s}) OVER {prior_frame(keys)}, 0) AS BIGINT) AS {cumulative_name(s, keys)}" for s in signals)
+    return ", ".join(f"CAST(coalesce(sum({s}) OVER {prior_frame(keys)}, 0) AS BIGINT) AS {feature_name(s, CUMULATIVE, keys)}" for s in signals)
 
 
 def _rolling_sql(src, ids, keys, signals, days, where=""):
@@ -52,7 +52,7 @@ def _rolling_sql(src, ids, keys, signals, days, where=""):
 def _rolling_query(load, ids, keys, signals, window_us, strategy="sliced"):
     def q(spark, sf_dir):
         out = rolling_mean(load(spark, sf_dir), keys, signals, window_us, strategy=strategy)
-        return out.select(*dict.fromkeys([*ids, *keys]), "ts", *[rolling_name(s, keys) for s in signals])
+        return out.select(*dict.fromkeys([*ids, *keys]), "ts", *[feature_name(s, ROLLING, keys) for s in signals])
 
     return q
 
@@ -78,7 +78,7 @@ for _name, _load, _ids, _keys, _sig, _days, _strategy in [
 def _cum_query(load, ids, keys, signals, strategy):
     def q(spark, sf_dir):
         out = cumulative_sum(load(spark, sf_dir), keys, signals, strategy=strategy, slice_us=7 * DAY_US)
-        return out.select(*dict.fromkeys([*ids, *keys]), "ts", *[cumulative_name(s, keys) for s in signals])
+        return out.select(*dict.fromkeys([*ids, *keys]), "ts", *[feature_name(s, CUMULATIVE, keys) for s in signals])
 
     return q
 
@@ -126,7 +126,7 @@ def _warm(spark, sf_dir):
     history = time_slice(log, "ts", end=ARM_START)
     arm = time_slice(log, "ts", start=ARM_START)
     out = with_history(history, arm, lambda d: rolling_mean(d, ["user_id"], EV_SIGNALS, EV.window_us), lookback_us=EV.window_us)
-    return out.select("event_id", "user_id", "ts", *[rolling_name(s, ["user_id"]) for s in EV_SIGNALS])
+    return out.select("event_id", "user_id", "ts", *[feature_name(s, ROLLING, ["user_id"]) for s in EV_SIGNALS])
 
 
 # -- C1 / C7 / F3 / B3 / B9 --------------------------------------------------------
@@ -185,8 +185,8 @@ def _hourly(spark, sf_dir):
 
 
 # -- C2: as-of joins --------------------------------------------------------------
-_UF = [rolling_name(s, ["user_id"]) for s in EV_SIGNALS]
-_PF = [rolling_name(s, ["video_id"]) for s in LI_SIGNALS] + [cumulative_name("is_returned", ["video_id"])]
+_UF = [feature_name(s, ROLLING, ["user_id"]) for s in EV_SIGNALS]
+_PF = [feature_name(s, ROLLING, ["video_id"]) for s in LI_SIGNALS] + [feature_name("is_returned", CUMULATIVE, ["video_id"])]
 
 
 def _ev_user_source(log):

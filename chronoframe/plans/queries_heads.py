@@ -21,7 +21,7 @@ def _fit_and_score(spark, sf_dir):
     valid = time_slice(table, "ts", VALID_START, ARM_START)
     test = time_slice(table, "ts", start=ARM_START)
     feats = list(EV.served)
-    cats = [b.name for b in EV.buckets]
+    cats = EV.bucket_columns
     prep, heads, _ = select_heads(train, valid, feats, cats, BINARY, ["dwell_log"], grid=(0.0, 0.01))
     return score(test, prep, heads)
 

@@ -16,8 +16,8 @@ from ..functions.hashing import with_hash_bucket
 from ..functions.labels import with_engagement_targets
 from ..operators.buckets import bucket_size_map
 from ..operators.joins import asof_features
-from ..operators.windows import cumulative_sum, pick_strategies, rolling_mean, split_join_views, split_view_tables, view_source
-from ..registry import Kind, Registry
+from ..operators.windows import cumulative_sum, has_integral, pick_strategies, rolling_mean, split_join_views, split_view_tables, view_source
+from ..registry import CUMULATIVE, ROLLING, Registry
 
 
 def with_buckets(df: DataFrame, registry: Registry, sizes: dict[str, int] | None = None, source: DataFrame | None = None) -> DataFrame:
@@ -39,8 +39,8 @@ def impression_frame(log: DataFrame, registry: Registry, sizes: dict[str, int] |
 def _split_spec(registry: Registry, view) -> tuple:
     return (
         view.keys,
-        [(c.signal, c.name) for c in registry.cols(view, Kind.ROLLING)],
-        [(c.signal, c.name) for c in registry.cols(view, Kind.CUMULATIVE)],
+        [(c.signal, c.name) for c in registry.cols(view, ROLLING)],
+        [(c.signal, c.name) for c in registry.cols(view, CUMULATIVE)],
     )
 
 
@@ -54,6 +54,8 @@ def add_view_features(df: DataFrame, registry: Registry, strategy: str = "auto")
         per_view = pick_strategies(df, [v.keys for v in registry.views], registry.window_us)
     else:
         per_view = [strategy] * len(registry.views)
+    # Differences of running sums are exact for integers only, whatever the size.
+    per_view = ["sliced" if s == "split" and not has_integral(df, [c.signal for c in registry.cols(v)]) else s for v, s in zip(registry.views, per_view)]
     split = [_split_spec(registry, v) for v, s in zip(registry.views, per_view) if s == "split"]
     # Split views' tables come from the base frame; they are joined on last.
     tables = split_view_tables(df, split, registry.window_us) if split else []
@@ -61,8 +63,8 @@ def add_view_features(df: DataFrame, registry: Registry, strategy: str = "auto")
         if s == "split":
             continue
         strategy = s
-        rolling = registry.cols(view, Kind.ROLLING)
-        cum = registry.cols(view, Kind.CUMULATIVE)
+        rolling = registry.cols(view, ROLLING)
+        cum = registry.cols(view, CUMULATIVE)
         df = rolling_mean(df, view.keys, [c.signal for c in rolling], registry.window_us, names=[c.name for c in rolling], strategy=strategy)
         if cum:
             df = cumulative_sum(df, view.keys, [c.signal for c in cum], names=[c.name for c in cum], strategy="direct" if strategy == "direct" else "sliced")
@@ -93,6 +95,8 @@ def feature_sources(log: DataFrame, registry: Registry, strategy: str = "auto",
     else:
         per_view = [strategy] * len(registry.views)
     out = {v.name: view_source(log, registry, v, strategy=s) for v, s in zip(registry.views, per_view)}
+    for v in registry.views:
+        registry.check(out[v.name], v)
     if path is None:
         return out
     from ..sources.io import write_source

@@ -14,7 +14,6 @@ line status as signals). Both are full-table scans with pruned columns.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def splits(sf_dir: str, names=TABLES) -> dict[str, str]:
-    """A4: named inputs -> paths under a configurable data root."""
-    return {n: os.path.join(sf_dir, f"{n}.parquet") for n in names}
-
-
 # -- EV: the events table ------------------------------------------------------
 EV_SIGNALS = ("is_click", "is_view", "is_signup", "is_purchase", "is_error")
 EV_TYPES = ("click", "view", "signup", "purchase", "error")
@@ -104,17 +98,3 @@ def lineitem_log(spark: SparkSession, sf_dir: str, validate: str = "raise") -> D
         (F.col("l_linestatus") == "O").cast("int").alias("is_open"),
     )
     return with_event_time(df, "ts", "ts_us")
-
-
-@dataclass(frozen=True)
-class Binding:
-    name: str
-    registry: Registry
-    event_id: tuple[str, ...]
-
-    def load(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return events_log(spark, sf_dir) if self.name == "EV" else lineitem_log(spark, sf_dir)
-
-
-EV_BINDING = Binding("EV", EV, ("event_id",))
-LI_BINDING = Binding("LI", LI, LI_EVENT_ID)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.timecols import ntz_from_micros
 from ..operators.latest import keep_latest, merge_latest
-from ..registry import FeatureView, Kind, Registry
+from ..registry import CUMULATIVE, ROLLING, FeatureView, Registry
 from ..session import scratch_path
 from .processor import WindowFold
 
@@ -85,8 +85,8 @@ def view_stream(
     it, which gets no features (see :func:`on_time`, :func:`late_rows`).
     """
     use_rocksdb(events.sparkSession)
-    rolling = registry.cols(view, Kind.ROLLING)
-    cum = registry.cols(view, Kind.CUMULATIVE)
+    rolling = registry.cols(view, ROLLING)
+    cum = registry.cols(view, CUMULATIVE)
     fold = WindowFold(
         view.keys,
         registry.signals,
@@ -113,7 +113,7 @@ def warm_state(history: DataFrame, registry: Registry, view: FeatureView, upto_u
     """Initial state of one view from batch history -- the window's last
     ``W`` of events per key, reduced per (key, time) to signal sums and
     non-NULL counts (kind ``w``), and the running totals (kind ``c``)."""
-    cum = registry.cols(view, Kind.CUMULATIVE)
+    cum = registry.cols(view, CUMULATIVE)
     k = len(registry.signals)
     h = history if upto_us is None else history.filter(F.col("ts_us") < F.lit(int(upto_us)))
     end = h.agg(F.max("ts_us")).first()[0] if upto_us is None else upto_us

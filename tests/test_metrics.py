@@ -91,3 +91,15 @@ def test_every_named_target_has_a_row(spark):
     got = {r["target"]: r for r in M.ranking_metrics(rows, targets=["a", "b"]).collect()}
     assert got["a"]["roc_auc"] == 1.0 and got["b"]["roc_auc"] is None
     assert {r["target"]: r["rmse"] for r in M.rmse(rows, targets=["b"]).collect()}["b"] is None
+
+
+def test_score_ranges_follow_the_distinct_scores(spark, monkeypatch):
+    """The split of the score axis has no cap, and never changes a metric."""
+    from chronoframe.operators import metrics
+
+    rows = [("t", float(i % 3 == 0), (i * 37 % 101) / 101) for i in range(400)]
+    want = ranking_metrics(long(spark, rows), strategy="direct").first()
+    monkeypatch.setattr(metrics, "RANGE_SCORES", 1)
+    assert metrics._ranges_for(metrics._score_counts(long(spark, rows), [])) == 101
+    got = ranking_metrics(long(spark, rows)).first()
+    assert got.asDict() == pytest.approx(want.asDict())

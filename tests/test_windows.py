@@ -161,3 +161,29 @@ def test_auto_picks_split_only_for_the_hot_view(spark, monkeypatch):
         for f in feats:
             x, y = r[f], r[f"d_{f}"]
             assert (x is None and y is None) or abs(x - y) < 1e-12, (f, x, y)
+
+
+def test_fractional_signals_have_one_answer_at_every_size(spark, monkeypatch):
+    from chronoframe.operators import skew
+    from chronoframe.plans.training import add_view_features
+    from chronoframe.registry import FeatureView, Registry
+
+    rows = [(1 if i % 3 else None, i % 5, i % 11, i % 2) for i in range(90)]
+    df = frame(spark, rows, keys=("user_id", "video_id")).withColumn("d", F.col("c") * 0.75).withColumn("id", F.monotonically_increasing_id())
+    reg = Registry(signals=("d",), views=(FeatureView("u", ("user_id",)),), bucket_sources=(), window_us=3 * DAY_US)
+
+    def answer(target):
+        monkeypatch.setattr(skew, "TARGET_ROWS", target)
+        return {r.id: r.d_rolling_user_id for r in add_view_features(df, reg).collect()}
+
+    assert answer(2) == pytest.approx(answer(10**9), nan_ok=True)
+    assert any(v is not None for v in answer(2).values())
+
+
+def test_registry_names_every_fault_of_a_source(spark):
+    from chronoframe.registry import IMPRESSIONS, VIDEO, Registry
+
+    with pytest.raises(ValueError, match="no key video_id.*is_click_cumulative_video_id should be bigint, found string"):
+        IMPRESSIONS.check(spark.createDataFrame([("x",)], "is_click_cumulative_video_id string"), VIDEO)
+    with pytest.raises(ValueError, match="no_such"):
+        Registry(signals=("c",), views=(VIDEO,), model_continuous=("no_such",))
