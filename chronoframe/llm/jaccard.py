@@ -199,10 +199,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = ranked.join(members, "key").groupBy("group", "sid", "n").agg(F.max("pos").alias("pos"), F.min("pos").alias("f"), F.max("s").alias("s"), F.count("*").alias("m"))
     left, at_left = S.stored(left.select(F.col("group").alias("key"), "sid", "n", "pos", "f", "s", "m", F.col("sid").alias("label")), "grouped")
     S.dropped(spark, at_multi, at_shared)
-    order.destroy(), keys.destroy()
     label = None  # (node, label) of the classes linked so far
 
     tried: list[tuple[DataFrame, str]] = []
+    # A map stage that AQE no longer needs may still run when its query has ended, so
+    # broadcasts stay until the last table is written.
+    sent = [order, keys]
 
     def linked(pairs: DataFrame) -> DataFrame:
         """(u, v): labels that verified pairs of classes join."""
@@ -212,12 +214,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tried.append(S.stored(pairs, "pairs"))
         pairs = tried[-1][0]
         wanted = sc.broadcast(S.bloom(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), "sid", bloom_bits))
+        sent.append(wanted)
         links = _verified(pairs, _class_sets(docs, text_col, width, wanted), num, den)
         names = left.select("sid", "label").distinct()
         edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
-        edges = edges.select("u", "v").distinct().checkpoint()
-        wanted.destroy()
-        return edges
+        return edges.select("u", "v").distinct().checkpoint()
 
     def relabelled(df: DataFrame, step: DataFrame) -> DataFrame:
         return df.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
@@ -262,5 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = least.groupBy("label").agg(F.min("least").alias("component_id"))
     named, _ = S.stored(least.join(linked, "label").select("sid", F.col("label").alias("group_id"), "component_id"), "named")
     S.dropped(spark, at_left, *(at for _, at in tried))
+    for b in sent:
+        b.destroy()
     out = rows.join(named, "sid", "left")
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), "group_id", F.coalesce("component_id", "doc_id").alias("component_id"))
