@@ -31,9 +31,8 @@ from . import _spark as S
 from . import _vec as V
 
 HIST = 16
-#: Pivots per shingle and size; names of a pair's columns.
+#: Pivots per shingle and size.
 PIVOTS = 16
-PAIRED = (("id", "sid", "s2"), ("n", "n", "n2"), ("p", "pos", "p2"))
 
 
 def _ceil(num, n, den):
@@ -134,28 +133,15 @@ def _fits(num: int, den: int, x=("na", "pa", "sa", "fa"), y=("nb", "pb", "sb", "
     """Length filter, and the positional filter of shingles matched together, the first
     at positions f, the last at p. Two linked sets meet under the first shingle that
     they have in common, and all else they have in common follows it in both: other
-    matches are passed over. At the last, s of the shingles up to it are shared by any
-    two classes at all, so the lesser of both, and what follows, bounds the overlap."""
+    matches are passed over, so those that stay are not all that a pair has and must
+    not be summed. At the last, s of the shingles up to it are shared by any two
+    classes at all, so the lesser of both, and what follows, bounds the overlap."""
     (n, p, s, f), (m, q, t, g) = x, y
     need = f"{num} * ({n} + {m})"
     first = f"(least({n} - {f}, {m} - {g}) + 1) * {num + den} >= {need}"
     return f"{den} * least({n}, {m}) >= {num} * greatest({n}, {m}) and {first} and (least({s}, {t}) + least({n} - {p}, {m} - {q})) * {num + den} >= {need}"
 
 
-def _filtered(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Length and positional filter, once per pair. pairs: a, b, na, nb the number m of
-    shingles matched together, and the last one's positions pa, pb. A pair's c prefix matches are all it has up to the
-    last one, so ``c + min(na - pa, nb - pb)`` bounds what the two have in common."""
-    need = f"ceil({num} * (na + nb) / {num + den})"
-    return (
-        pairs.where(f"{den} * least(na, nb) >= {num} * greatest(na, nb)")
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("m").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-        .where(f"c + least(na - pa, nb - pb) >= {need}")
-        .select("a", "b")
-    )
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that link. Suffix filter first: the two histograms bound the overlap;
     then the exact intersection."""
@@ -196,8 +182,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = shared.groupBy("key").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(i), "sid")).alias(f"x{i}") for i in (0, 1)))
     members = members.select("key", F.xxhash64("n", "x0", "x1").alias("group"))
     ranked = shared.withColumn("s", F.row_number().over(Window.partitionBy("sid").orderBy("pos")))
-    left = ranked.join(members, "key").groupBy("group", "sid", "n").agg(F.max("pos").alias("pos"), F.min("pos").alias("f"), F.max("s").alias("s"), F.count("*").alias("m"))
-    left, at_left = S.stored(left.select(F.col("group").alias("key"), "sid", "n", "pos", "f", "s", "m", F.col("sid").alias("label")), "grouped")
+    left = ranked.join(members, "key").groupBy("group", "sid", "n").agg(F.max("pos").alias("pos"), F.min("pos").alias("f"), F.max("s").alias("s"))
+    left, at_left = S.stored(left.select(F.col("group").alias("key"), "sid", "n", "pos", "f", "s", F.col("sid").alias("label")), "grouped")
     S.dropped(spark, at_multi, at_shared)
     label = None  # (node, label) of the classes linked so far
 
@@ -208,7 +194,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def linked(pairs: DataFrame) -> DataFrame:
         """(u, v): labels that verified pairs of classes join."""
-        pairs = _filtered(pairs, num, den)
+        pairs = pairs.select("a", "b").distinct()
         for before, _ in tried:  # a pair is verified once
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         tried.append(S.stored(pairs, "pairs"))
@@ -237,12 +223,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ends = left.groupBy("key", F.floor(F.log("n") * 14).alias("size"), F.pmod(h, F.lit(PIVOTS)).alias("part")).agg(pivot.alias("p")).select("key", "p.*")
         ends = ends.select("key", F.col("sid").alias("s2"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("s").alias("s_2"), F.col("f").alias("f2"), F.col("label").alias("lb"))
         met = left.join(ends, "key").where("label <> lb").where(_fits(num, den, ("n", "pos", "s", "f"), ("n2", "p2", "s_2", "f2")))
-        # Either order of a pair becomes one. Two pivots meet twice, which only loosens
-        # the bound on what they have in common.
-        swap = F.col("sid") > F.col("s2")
-        pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-        met = met.select("m", *(pick(x, y).alias(f"{n}a") for n, x, y in PAIRED), *(pick(y, x).alias(f"{n}b") for n, x, y in PAIRED))
-        met = met.withColumnsRenamed({"ida": "a", "idb": "b"})
+        # Either order of a pair becomes one.
+        met = met.select(F.least("sid", "s2").alias("a"), F.greatest("sid", "s2").alias("b"))
         edges = linked(met)
         if edges.isEmpty():
             break
@@ -251,10 +233,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         closed, at_closed = S.stored(relabelled(left, step), f"closed{r}")
         some = closed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         S.dropped(spark, at_left)
-        left, at_left = S.stored(closed.join(some, "key").select("key", "sid", "n", "pos", "f", "s", "m", "label"), f"open{r}")
+        left, at_left = S.stored(closed.join(some, "key").select("key", "sid", "n", "pos", "f", "s", "label"), f"open{r}")
         S.dropped(spark, at_closed)
 
-    x = left.select("key", "m", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
+    x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
     y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("s").alias("sb"), F.col("f").alias("fb"), F.col("label").alias("lb"))
     met = x.join(y, "key").where(f"a < b and la <> lb and {_fits(num, den)}")
     label = extended(label, S.components(linked(met), "u", "v").checkpoint())

@@ -64,6 +64,23 @@ def test_jaccard_components_against_brute_force(spark):
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got} == {(i, len(s), root(i)) for i, s in sets.items()}
 
 
+def test_jaccard_interleaved_passages_against_brute_force(spark):
+    """Two texts whose common words are held, in turns, by one of four other texts."""
+    words, docs = iter(W), []
+    take = lambda n: [next(words) for _ in range(n)]
+    for common in (86, 86, 86, 88, 85, 84):
+        both, filler, own = take(common), take(50), 100 - common
+        docs += [both + take(own), both + take(own)]
+        docs += [*(both[i::4] + filler for i in range(4)), filler + take(22)]
+    rows = [(i, " ".join(w), None, 0.0) for i, w in enumerate(docs)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(spark.createDataFrame(rows, DOC), width=1).collect()}
+    want, sets = {i: i for i in range(len(docs))}, [set(w) for w in docs]
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            want[b] = a
+    assert sum(want[i] != i for i in want) == 4 and got == want
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], DOC)).count() == 0
 
