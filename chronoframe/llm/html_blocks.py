@@ -26,15 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _spark as S
+from .warc import restarted
 
-SILENT = "script style noscript template textarea select svg title iframe object math".split()
+#: Elements without main text. RAW ones hold no tags and run to the page's end if
+#: unclosed; an unclosed NESTED one is a tag like any other.
+RAW = "script style textarea title iframe".split()
+NESTED = set("noscript template select svg".split())
+FOREIGN = {"svg", "math"}
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element that a start tag of one of the named kinds ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = {"ul", "ol", "menu", "dl", "table", "article", "aside", "nav", "section", "div", "td", "main"}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(SILENT) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
@@ -51,6 +56,45 @@ class Block:
     names: tuple = ()
 
 
+_RAW_TAG = re.compile(r"<[^>]*>")
+
+
+def _tokens(page: str):
+    """Matches of _TOKEN outside of hidden elements; a closed one is None."""
+    found, opened, depth = [], [], 0
+
+    def again(m):
+        # In an svg or math, <title/> and its like are whole elements.
+        if depth and m["raw"] and (tag := _RAW_TAG.match(page, m.start())) and tag[0].endswith("/>"):
+            return tag.end()
+
+    hidden = []
+    for m in restarted(_TOKEN, page, again):
+        tag = (m["tag"] or "").lower()
+        if tag in NESTED or tag in FOREIGN:
+            if not m["end"]:
+                if not (tag in FOREIGN and m["attr"].endswith("/")):
+                    opened.append((tag, len(found)))
+                    depth += tag in FOREIGN
+            elif any(t == tag for t, _ in opened):
+                while True:
+                    t, at = opened.pop()
+                    depth -= t in FOREIGN
+                    if t == tag:
+                        break
+                if tag in NESTED:
+                    while hidden and hidden[-1][0] >= at:
+                        hidden.pop()
+                    hidden.append((at, len(found)))
+        found.append(m)
+    at = 0
+    for start, end in hidden:
+        yield from found[at:start]
+        yield None
+        at = end + 1
+    yield from found[at:]
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order; text decoded, its white space single and trimmed."""
     out: list[Block] = []
@@ -67,8 +111,10 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
-        if (text := m["text"]) is not None:
+    for m in _tokens(page):
+        if m is None:
+            parts.append(" ")
+        elif (text := m["text"]) is not None:
             text = html.unescape(text)
             parts.append(text)
             linked += len(text.strip()) if links else 0

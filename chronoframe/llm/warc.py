@@ -17,8 +17,10 @@ from . import _spark as S
 
 #: Elements that begin and end a line of plain text, and those whose content is no text.
 LINES = "address article aside blockquote body br caption dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section select table tbody td tfoot th thead title tr ul".split()
-SILENT = "script style noscript template textarea svg".split()
-_SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(SILENT) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: RAW ones hold no tags and run to the page's end if unclosed; an unclosed NESTED one is a tag like any other.
+RAW, NESTED = "script style textarea".split(), "noscript template svg".split()
+_SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>" + "|".join(NESTED) + r")(?=[\s/>])[^>]*>", re.I | re.S)
+_RAW_TAG = re.compile(r"<[^>]*>")
 _LINE = re.compile(r"</?(?:" + "|".join(LINES) + r")(?![A-Za-z0-9-])[^>]*>", re.I)
 _TAG = re.compile(r"<[!/?A-Za-z][^>]*(?:>|\Z)")
 _SPACE = re.compile(r"[ \t\n\r\f\v ]+")
@@ -27,10 +29,54 @@ _LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _HREF = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def restarted(pattern: re.Pattern, source: str, again):
+    """Matches in turn; after one for which ``again`` gives a position, from there."""
+    found = pattern.finditer(source)
+    while (m := next(found, None)) is not None:
+        if (at := again(m)) is not None:
+            found = pattern.finditer(source, at)
+        else:
+            yield m
+
+
+def _visible(source: str) -> str:
+    """``source`` with a space for every comment and silent element."""
+    spans, stack, foreign = [], [], 0
+
+    def again(m):
+        # In an svg, <style/> and its like are whole elements.
+        if foreign and m["raw"] and (tag := _RAW_TAG.match(source, m.start())) and tag[0].endswith("/>"):
+            return tag.end()
+
+    for m in restarted(_SILENT, source, again):
+        if (name := m["name"]) is None:
+            spans.append(m.span())
+            continue
+        name = name.lower()
+        if name == "svg" and m[0].endswith("/>"):
+            spans.append(m.span())
+        elif not m["end"]:
+            stack.append((name, m.start()))
+            foreign += name == "svg"
+        elif any(x == name for x, _ in stack):
+            while True:
+                x, start = stack.pop()
+                foreign -= x == "svg"
+                if x == name:
+                    break
+            spans.append((start, m.end()))
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [source[at:start], " "]
+        at = max(at, end)
+    return "".join([*out, source[at:]])
+
+
 def plain_text(source: str) -> str:
     """Visible text: one line per block, character references decoded, white space in a
     line made one space, no empty lines."""
-    source = _SILENT.sub(" ", source)
+    source = _visible(source)
     lines = (_SPACE.sub(" ", html.unescape(_TAG.sub("", x))).strip() for x in _LINE.split(_SPACE.sub(" ", source)))
     return "\n".join(x for x in lines if x)
 

@@ -180,6 +180,28 @@ def test_warc_derivatives(spark):
     assert empty["content_length"] == 0 and empty["target_uri"] is None
 
 
+KEEPS_THE_REST = [
+    ('<p>a</p><svg class="i"/><p>rest</p>', "a|rest"),
+    ("<p>a</p><svg-icon n=1></svg-icon><template-card><p>b</p></template-card><script-loader></script-loader><p>rest</p>", "a|b|rest"),
+    ("<p>a</p><svg><path d='M0'><p>rest</p>", "a|rest"),
+    ("<p>a</p><template><p>rest</p>", "a|rest"),
+    ("<p>a</p><svg><title/><style/><text>no</text></svg><p>rest</p>", "a|rest"),
+    ("<p>a</p><svg><svg>no</svg>no</svg><template>no</template><p>rest</p>", "a|rest"),
+    ("<p>a</p><svg><p>b</p><svg>no</svg><p>rest</p>", "a|b|rest"),
+    ("<p>a</p><script>no <p>no</p></script><!-- no --><style>no</style><noscript>no</noscript><p>rest</p>", "a|rest"),
+]
+
+
+@pytest.mark.parametrize("page, want", KEEPS_THE_REST)
+def test_hidden_elements_end(page, want):
+    assert warc.plain_text(page).split("\n") == [b.text for b in html_blocks.blocks(page)] == want.split("|")
+
+
+def test_math_and_object_are_content():
+    page = "<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b<math/> c <object data=f>fallback</object> d<p>rest<object>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["a x=2 b c fallback d", "rest"]
+
+
 @pytest.fixture(scope="module")
 def vocab():
     return gumbel.pieces(f"{TOKENIZERS}/piece_bpe_32k.model")
