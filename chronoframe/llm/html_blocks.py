@@ -18,7 +18,9 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -155,22 +157,23 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-PATHS, WORDS, DEPTH = 1024, 512, 10
+PATHS, WORDS = 1024, 512
 COUNTS = 8
 
 
+@lru_cache(1 << 16)
 def _hash(word: str, size: int) -> int:
     return 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (size - 1)
 
 
-def features(page: list[Block]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-    """Per block: path ids, word ids, counts."""
+def features(page: list[Block]) -> tuple[list[list[int]], list[dict[int, float]], np.ndarray]:
+    """Per block: ids of its whole path, shares of the ids of all its words, counts."""
     paths, words, counts = [], [], np.zeros((len(page), COUNTS))
     for i, b in enumerate(page):
-        tags = [t for t in b.path if t not in ("html", "body")][-DEPTH:]
+        tags = [t for t in b.path if t not in ("html", "body")]
         paths.append(sorted({_hash("t:" + t, PATHS) for t in tags} | {_hash(w, PATHS) for w in b.names} | {_hash(f"{a}>{b}", PATHS) for a, b in zip(["", *tags], [*tags, ""])}))
         found = b.text.lower().split()
-        words.append([_hash(w.strip(".,;:!?()\"'"), WORDS) for w in found[:100]] or [0])
+        words.append({w: k / len(found) for w, k in Counter(_hash(w.strip(".,;:!?()\"'"), WORDS) for w in found).items()} or {0: 1.0})
         n = len(b.text)
         counts[i] = (np.log1p(n) / 8, np.log1p(len(found)) / 6, min(1.0, b.linked / n), sum(b.text.count(c) for c in ".,;:!?") / n * 10, i / max(1, len(page) - 1), 1.0 * (i == 0), 1.0 * (i == len(page) - 1), 1.0)
     return paths, words, counts
@@ -203,7 +206,7 @@ class Labeller:
                 path += p
                 wowner += [i * t + j] * len(w)
                 word += w
-                share += [1 / len(w)] * len(w)
+                share += w.values()
         at = tuple(np.array(v, np.int64) for v in (owner, path, wowner, word)) + (np.array(share)[:, None],)
         flat = x.reshape(n * t, -1)
         _add_rows(flat, at[0], self.p["path"][at[1]])
@@ -277,7 +280,7 @@ class Labeller:
             for a in range(0, len(order), batch):
                 pick = order[a : a + batch]
                 # Half of the blocks go without their words: the layout must do.
-                seen = [(pages[i][0], [w if r.random() < 0.5 else [0] for w in pages[i][1]], pages[i][2]) for i in pick]
+                seen = [(pages[i][0], [w if r.random() < 0.5 else {0: 1.0} for w in pages[i][1]], pages[i][2]) for i in pick]
                 g = self.gradients(seen, [labels[i] for i in pick])
                 step += 1
                 lr = rate * (1 - epoch / epochs) + 1e-4
@@ -323,7 +326,8 @@ SHARE = "Share|Tweet|Like|Print|Share on Facebook|Email this|Related articles|Re
 
 class _Maker:
     def __init__(self, sentences: list[str], seed: int):
-        self.r, self.s = random.Random(seed), sentences or ["Some text of a page goes here."]
+        self.r, self.deeper = random.Random(seed), random.Random(seed + 1)
+        self.s = sentences or ["Some text of a page goes here."]
 
     def say(self, n: int = 1) -> str:
         return " ".join(self.r.choice(self.s) for _ in range(n))
@@ -352,6 +356,14 @@ class _Maker:
             return f"<ul{self.name(names)}>" + "".join(f"<li>{item()}</li>" for _ in range(k)) + "</ul>"
         return " | ".join(item() for _ in range(k))
 
+    def deep(self, part: str) -> str:
+        """Some parts have their content under many plain wrappers."""
+        m = re.fullmatch(r"(<(?!p\b)[^>]+>)(.*)(</\w+>)", part, re.S)
+        if not m or self.deeper.random() > 0.2:
+            return part
+        k = self.deeper.randint(1, 30)
+        return m[1] + "<div>" * k + m[2] + "</div>" * k + m[3]
+
     def menu(self):
         names = "menu|nav|navbar|main-menu|navigation|breadcrumb|breadcrumbs|topnav|tabs"
         body = self.links(self.r.randint(2, 8), MENU, names)
@@ -431,7 +443,7 @@ class _Maker:
         pool = [self.menu, self.menu, self.head, self.advert, self.advert, self.notice, self.side, self.form, self.share]
         before = [f() for f in self.r.sample(pool, self.r.randint(0, 4))]
         after = [f() for f in self.r.sample([self.comments, self.comments, self.side, self.advert, self.form, self.foot, self.foot, self.notice, self.menu], self.r.randint(0, 4))]
-        body = "".join([*before, self.main(), *after])
+        body = "".join(map(self.deep, [*before, self.main(), *after]))
         if self.r.random() < 0.3:
             body = f'<div class="{self.r.choice(["page", "wrapper", "container", "site", "layout"])}">{body}</div>'
         return f"<!DOCTYPE html><html><head><title>x</title></head><body>{body}</body></html>"

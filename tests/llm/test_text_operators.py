@@ -299,6 +299,20 @@ def test_block_labeller(spark):
     assert got[200] == got[201] == "" and sum(got[i] == want[i] for i in want) >= 78
 
 
+def test_labeller_sees_whole_paths_and_texts():
+    r = random.Random(8)
+    under = lambda tag, k, text: f"<{tag}>{'<div>' * k}<p>{text}</p>{'</div>' * k}</{tag}>"
+    of = lambda page: html_blocks.features(html_blocks.blocks(page))
+    assert len({str(of(under(t, 14, "x y"))[0]) for t in ("article", "aside", "nav", "footer")}) == 4
+    words = " ".join(W[:150])
+    assert of(f"<p>{words} one</p>")[1] != of(f"<p>{words} two</p>")[1]
+    say = lambda n=12: " ".join(r.choices(W, k=n))
+    sample = [f"<nav>{say(3)}</nav><article><p>{say()}</p><p>{say()}</p></article><footer>{say(4)}</footer>" for _ in range(40)]
+    model = html_blocks.fit(sample, made_pages=300, epochs=8)
+    deep = [html_blocks.blocks(under("aside", k, say()) + under("article", k, say()) + under("footer", k, say())) for k in range(10, 30)]
+    assert sum(x.tolist() == [False, True, False] for x in model.keeps([html_blocks.features(p) for p in deep])) >= 18
+
+
 def test_gradients_of_the_labeller():
     page = html_blocks.features(html_blocks.blocks("<nav><a href=x>a b</a></nav><p>c d e<p>f"))
     m = html_blocks.Labeller(width=5, hidden=4)
