@@ -33,6 +33,8 @@ STEMS = (7, 5, 3)
 #: Share of the toxic model in a toxic text, and the floor under the mean's logarithm.
 TOXIC_SHARE, FLOOR = 0.01, 0.01
 LEVELS = ("w", "s7", "s5", "s3")
+#: Distinct words whose counts a task holds before it sends them.
+HELD = 1 << 18
 #: Bytes that end a word: all of ASCII but letters and digits.
 _BREAK = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
@@ -104,19 +106,47 @@ def _evidence(means: np.ndarray) -> np.ndarray:
     return np.log(np.maximum(means, 0) + FLOOR)
 
 
-def _shared_counts(docs: DataFrame, bits: int) -> dict[str, np.ndarray]:
-    """Occurrences of words and stems in all texts, in 2**bits buckets per level."""
+def _shared_counts(docs: DataFrame, counted: DataFrame) -> tuple[dict[str, tuple], int]:
+    """Per level, the sorted hashes that ``counted`` lists and how often each occurs in
+    all texts; and how many words there are in all. A task sends a word once, or once
+    per HELD distinct ones."""
 
     def run(batches):
-        table = S.CountTable(bits)
+        held, size = [], 0
+
+        def summed():
+            rows = np.concatenate(held) if held else np.zeros((0, 5), np.int64)
+            _, first, at = np.unique(rows[:, 0], return_index=True, return_inverse=True)
+            out = rows[first]
+            out[:, 4] = np.bincount(at, rows[:, 4], len(first)).astype(np.int64)
+            return out
+
+        def sent(rows):
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], [*LEVELS, "n"])
+
         for batch in batches:
             for _, levels in _tokens(batch.column(0)):
-                for name, keys in zip(LEVELS, levels):
-                    table.add(name, (keys >> V.U(64 - bits)).astype(np.int32))
-        yield S.blob_batch(table.blobs())
-
-    got = S.count_tables(docs.mapInArrow(run, S.BLOB_TYPE), bits)
-    return {k: got.get(k, np.zeros(1 << bits, np.int64)) for k in LEVELS}
+                _, first, n = np.unique(levels[0], return_index=True, return_counts=True)
+                held.append(np.column_stack([*(x.view(np.int64)[first] for x in levels), n]))
+                size += len(first)
+            if size >= 2 * HELD:
+                held = [summed()]
+                size = len(held[0])
+                if size >= HELD:
+                    yield sent(held[0])
+                    held, size = [], 0
+        yield sent(summed())
+
+    words = docs.mapInArrow(run, ", ".join(f"{x} bigint" for x in (*LEVELS, "n")))
+    words, at = S.stored(words.groupBy(*LEVELS).agg(F.sum("n").alias("n")), "toxic-words")
+    out = {}
+    for level in LEVELS:
+        keys, n = _columns(words.join(counted.select(level).distinct(), level).groupBy(level).agg(F.sum("n").alias("n")), level, "n")
+        order = np.argsort(keys)
+        out[level] = keys[order], n[order]
+    total = words.agg(F.sum("n")).first()[0] or 0
+    S.dropped(docs.sparkSession, at)
+    return out, total
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -151,9 +181,9 @@ def _both(keys: np.ndarray, labels: np.ndarray, values: np.ndarray):
     return uniq, out
 
 
-def _fit_tables(counted: DataFrame, shared: dict[str, np.ndarray], bits: int, min_pair: int, min_context: int) -> Model:
+def _fit_tables(counted: DataFrame, shared: dict[str, tuple], total_words: int, min_pair: int, min_context: int) -> Model:
     safe = lambda p: np.log(np.maximum(p, 1e-300))
-    common = lambda level, keys: shared[level][(keys.view(np.uint64) >> V.U(64 - bits)).astype(np.int64)] + 0.5
+    common = lambda level, keys: shared[level][1][np.searchsorted(shared[level][0], keys)] + 0.5
     by_word = counted.groupBy("toxic", *LEVELS).agg(F.count("*").alias("n"))
     label, *keys, n = _columns(by_word, "toxic", *LEVELS, "n")
     words, cont = _both(keys[0], label, n)
@@ -177,7 +207,7 @@ def _fit_tables(counted: DataFrame, shared: dict[str, np.ndarray], bits: int, mi
     total = counts[-1].sum(axis=1)
     kinds = (counts[-1] > 0).sum(axis=1)
     top = common(LEVELS[-1], ids[-1])
-    logp = safe((np.maximum(counts[-1] - DISCOUNT, 0) + DISCOUNT * kinds[:, None] * (top / max(1.0, shared[LEVELS[-1]].sum()))) / np.maximum(total, 1)[:, None])
+    logp = safe((np.maximum(counts[-1] - DISCOUNT, 0) + DISCOUNT * kinds[:, None] * (top / max(1.0, total_words))) / np.maximum(total, 1)[:, None])
     escape = safe(DISCOUNT * kinds / np.maximum(total, 1))
     unseen = float(escape[1] - escape[0])
     stems = []
@@ -230,11 +260,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return float(b[0] / scale), float(b[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = 5000, bits: int = 20, min_pair: int = 3, min_context: int = 5) -> Model:
-    """Fit on labelled texts; shared counts come from all of ``docs``.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = 5000, min_pair: int = 3, min_context: int = 5) -> Model:
+    """Fit on labelled texts; shared counts are exact, over all of ``docs``.
 
     Class counts and the logistic curve use a sample of about ``fit_rows`` labelled
-    texts per class, picked by a hash of the id (all, if there are fewer): the bound of everything that reaches the driver, with 2**bits shared counts per level.
+    texts per class, picked by a hash of the id (all, if there are fewer): the bound of
+    everything that reaches the driver.
     Pairs of words seen less than ``min_pair`` times and contexts seen less than
     ``min_context`` times back off. Rows without text or label are not fitted on; an id
     with both labels counts for each.
@@ -248,9 +279,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = F.when(F.col("toxic") == 1, fit_rows / max(1, have.get(1, 0))).otherwise(fit_rows / max(1, have.get(0, 0)))
     lab = lab.where(draw < share).withColumn("held", F.pmod(F.xxhash64(F.lit("curve"), F.col("_id")), F.lit(4)) == 0)
     sample, at = S.stored(texts.join(F.broadcast(lab), "_id").select("text", "toxic", "held"), "toxic-sample")
-    shared = _shared_counts(texts.select("text"), bits)
     counted = _counted(sample.where("NOT held")).checkpoint()
-    model = _fit_tables(counted, shared, bits, min_pair, min_context)
+    shared, total_words = _shared_counts(texts.select("text"), counted)
+    model = _fit_tables(counted, shared, total_words, min_pair, min_context)
     sent = spark.sparkContext.broadcast(model)
 
     def measure(batches):

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -283,6 +284,21 @@ def test_toxicity_held_out(spark):
     assert got[900] == got[901] < 0.7
 
 
+def test_toxicity_shared_counts_are_exact(spark):
+    """Also with many more words than any fixed table has room for."""
+    r = random.Random(2)
+    texts = [" ".join("".join(r.choices("abcdefgh", k=r.randint(1, 9))) for _ in range(3000)) for _ in range(40)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    lab = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts[:4])], "text string, toxic int")
+    got, total = kneser_ney._shared_counts(docs, kneser_ney._counted(lab))
+    words = [w for t in texts for w in t.split()]
+    listed = {w for t in texts[:4] for w in t.split()}
+    assert total == len(words)
+    for level, cut in zip(kneser_ney.LEVELS, (99, *kneser_ney.STEMS)):
+        want = Counter(w[:cut] for w in words)
+        assert sorted(got[level][1].tolist()) == sorted(want[s] for s in {w[:cut] for w in listed})
+
+
 def test_block_labeller(spark):
     r = random.Random(6)
     say = lambda: " ".join(r.choices(W, k=12))
