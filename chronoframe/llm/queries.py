@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontam, gumbel, html_blocks, jaccard, kneser_ney, langid, maxscore, packing, secret_scan, warc
+from . import decontam, gumbel, html_blocks, jaccard, kneser_ney, langid, maxscore, packing, queries_late, secret_scan, warc
 
 #: Folder of the public vocabulary files, the same on every executor.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -148,5 +148,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_toxicity, op4_warc_derivatives, op5_ngram_jaccard_join, op6_sampled_segmentation, op7_main_text, op8_exact_top_k, op9_decontamination, op10_packed_ids, pipeline)}
-ORACLE = {"op2_secret_scan": OP2_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op8_exact_top_k": OP8_SQL, "op9_decontamination": OP9_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_toxicity, op4_warc_derivatives, op5_ngram_jaccard_join, op6_sampled_segmentation, op7_main_text, op8_exact_top_k, op9_decontamination, op10_packed_ids, pipeline)} | queries_late.QUERIES
+ORACLE = {"op2_secret_scan": OP2_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op8_exact_top_k": OP8_SQL, "op9_decontamination": OP9_SQL} | queries_late.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
