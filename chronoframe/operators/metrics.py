@@ -96,7 +96,9 @@ def combined_loss(long_logits: DataFrame, long_preds: DataFrame, pos_weight: flo
     return row.withColumn("loss", F.col("binary_loss") + F.col("continuous_loss"))
 
 
-def _score_counts(long_scores: DataFrame, by: Sequence[str]) -> DataFrame:
+def score_counts(long_scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Positives ``p`` and negatives ``n`` per (target, *by, score): all that the
+    ranking metrics need of scored rows, and additive over batches of them."""
     return long_scores.groupBy("target", *by, "y_score").agg(
         F.sum(F.when(F.col("y_true") >= 0.5, 1).otherwise(0)).cast("long").alias("p"),
         F.sum(F.when(F.col("y_true") >= 0.5, 0).otherwise(1)).cast("long").alias("n"),
@@ -110,10 +112,14 @@ def _ranges_for(counts: DataFrame) -> int:
     return max(8, -(-most // RANGE_SCORES))
 
 
-def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int | None) -> DataFrame:
+def merged_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Stored counts of many batches added up, kept apart only per ``by``."""
+    return counts.groupBy("target", *by, "y_score").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+
+
+def _running_counts(c: DataFrame, strategy: str, n_ranges: int | None) -> DataFrame:
     """Per (target, score): p, n and inclusive running TP / FP over descending scores."""
     if strategy == "direct":
-        c = _score_counts(long_scores, [])
         w = Window.partitionBy("target").orderBy(F.desc("y_score")).rowsBetween(Window.unboundedPreceding, 0)
         return c.withColumn("tp", F.sum("p").over(w)).withColumn("fp", F.sum("n").over(w))
     if strategy != "ranged":
@@ -122,7 +128,6 @@ def _running_counts(long_scores: DataFrame, strategy: str, n_ranges: int | None)
     # are read and reduced once (partial aggregation map-side), and the range
     # bounds are quantiles of the *distinct* scores, which is what balances the
     # window partitions.
-    c = _score_counts(long_scores, [])
     n_ranges = n_ranges or _ranges_for(c)
     qs = [i / n_ranges for i in range(1, n_ranges)]
     bounds = c.groupBy("target").agg(F.percentile_approx("y_score", qs, max(10_000, 10 * n_ranges)).alias("__b"))
@@ -149,7 +154,14 @@ def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: st
 
     All four are NULL when the target has no valid row or only one class.
     """
-    rc = _running_counts(long_scores, strategy, n_ranges)
+    return _with_targets(ranking_from_counts(score_counts(long_scores), threshold, strategy, n_ranges), targets)
+
+
+def ranking_from_counts(counts: DataFrame, threshold: float = 0.5, strategy: str = "ranged", n_ranges: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`ranking_metrics` of :func:`score_counts`, one row per (target, *by)."""
+    if by:
+        counts = counts.select(F.struct("target", *by).alias("target"), "y_score", "p", "n")
+    rc = _running_counts(counts, strategy, n_ranges)
     per = rc.groupBy("target").agg(
         F.sum("p").alias("P"),
         F.sum("n").alias("N"),
@@ -159,14 +171,13 @@ def ranking_metrics(long_scores: DataFrame, threshold: float = 0.5, strategy: st
         F.sum(F.when(F.col("y_score") >= threshold, F.col("p") + F.col("n")).otherwise(0)).alias("__pp"),
     )
     ok = (F.col("P") > 0) & (F.col("N") > 0)
-    out = per.select(
-        "target",
+    return per.select(
+        *([F.col(f"target.{c}").alias(c) for c in ("target", *by)] if by else ["target"]),
         F.when(ok, F.col("__auc") / (F.col("P").cast("double") * F.col("N"))).alias("roc_auc"),
         F.when(ok, F.col("__ap") / F.col("P")).alias("recall_precision_auc"),
         F.when(ok & (F.col("__pp") > 0), F.col("__tp") / F.col("__pp")).alias("precision"),
         F.when(ok, F.col("__tp") / F.col("P")).alias("recall"),
     )
-    return _with_targets(out, targets)
 
 
 def rmse(long_preds: DataFrame, targets: Sequence[str] | None = None) -> DataFrame:
@@ -189,9 +200,12 @@ __all__ = [
     "masked_bce",
     "masked_huber",
     "combined_loss",
+    "merged_counts",
+    "ranking_from_counts",
     "ranking_metrics",
     "rmse",
     "rates",
+    "score_counts",
     "score_to_label",
     "sigmoid",
 ]

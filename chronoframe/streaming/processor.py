@@ -3,18 +3,21 @@ emission (S1, S2, S3, S5).
 
 One processor instance serves one view key. Per key it keeps
 
-* ``buf``  -- events received but not yet emitted (the watermark has not passed them);
-* ``win``  -- emitted events still inside the window of any future event,
-  one row per distinct timestamp (signal sums and non-NULL counts), so a
-  burst of tied events costs one state row;
-* ``cnt``  -- running totals of the cumulative signals.
+* ``buf``   -- events received but not yet emitted (the watermark has not passed them);
+* ``tiles`` -- emitted events still inside the window of any future event, by tile of
+  time (``TILES`` to a window): per tile its distinct timestamps with their signal sums
+  and non-NULL counts, so a burst of tied events costs one entry;
+* ``dir``   -- per tile the totals of sums and counts, and the running totals of the
+  cumulative signals.
 
 Events are emitted only when the event-time watermark passes them, in event
 time order, one tie group at a time: every event of a group is read against
 the state *before* any of them is appended, so the stream gives the batch
 result (``ties="exclude"``) whatever the arrival order inside the watermark
-delay. Each callback reads and writes each state once and works on whole
-pandas frames (prefix sums + ``searchsorted``), not per event.
+delay. A window is whole tiles, known by their totals, and two cut ones: only tiles
+that a window's edge cuts are read, only tiles that gain events are written, and
+tiles out of every future window are removed. All of a key's ready events go
+through one set of NumPy prefix sums and ``searchsorted``.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
+#: Tiles of time to a window.
+TILES = 16
+
+
 def _schema(fields: Sequence[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
@@ -43,6 +50,7 @@ class WindowFold(StatefulProcessor):
         cumulative: Sequence[str] = (),
         cumulative_names: Sequence[str] = (),
         id_col: str = "event_id",
+        event_time: str = "",
     ):
         self.keys = list(keys)
         self.signals = list(signals)
@@ -51,6 +59,8 @@ class WindowFold(StatefulProcessor):
         self.cumulative = list(cumulative)
         self.cumulative_names = list(cumulative_names)
         self.id_col = id_col
+        self.event_time = event_time
+        self.tile_us = max(1, -(-self.window_us // TILES))
         self._cum_idx = [self.signals.index(s) for s in self.cumulative]
 
     # -- schemas -------------------------------------------------------------
@@ -64,38 +74,43 @@ class WindowFold(StatefulProcessor):
             + [(n, T.DoubleType()) for n in self.rolling_names]
             + [(n, T.LongType()) for n in self.cumulative_names]
             + [("late", T.BooleanType())]
+            + [(n, T.TimestampType()) for n in [self.event_time] if n]
         )
 
+    def _timed(self, out: pd.DataFrame) -> pd.DataFrame:
+        """With the event time as a timestamp (of UTC), if a later operator goes by it."""
+        if self.event_time:
+            out[self.event_time] = pd.to_datetime(out["ts_us"], unit="us", utc=True)
+        return out
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         sig = [(f"s{i}", T.DoubleType()) for i in range(len(self.signals))]
+        longs, doubles = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
         self.handle = handle
         self.buf = handle.getListState("buf", _schema([("us", T.LongType()), ("eid", T.LongType()), *sig]))
-        cnt = [(f"n{i}", T.LongType()) for i in range(len(self.signals))]
-        self.win = handle.getListState("win", _schema([("us", T.LongType()), *sig, *cnt]))
-        self.cnt = handle.getValueState("cnt", _schema([(f"c{i}", T.LongType()) for i in range(max(1, len(self.cumulative)))]))
+        self.tiles = handle.getMapState("tiles", _schema([("tile", T.LongType())]), _schema([("us", longs), ("s", doubles), ("n", longs)]))
+        self.dir = handle.getValueState("dir", _schema([("tile", longs), ("s", doubles), ("n", longs), ("c", longs)]))
 
     # -- callbacks (called by keyword: names must stay as they are) ------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = [pdf[["ts_us", self.id_col, *self.signals]] for pdf in rows]
-        late_out = None
-        if new:
-            pdf = pd.concat(new, ignore_index=True)
+        wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
+        held, late = [], []
+        for pdf in rows:
             pdf = pdf[pdf["ts_us"].notna()]
             # Everything at or below the watermark has been emitted already;
             # a row that old cannot be folded in order. It is emitted at once,
             # flagged ``late`` and without features, and never enters state.
-            wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
-            is_late = pdf["ts_us"].astype("int64") <= wm_us if wm_us > 0 else pd.Series(False, index=pdf.index)
-            if is_late.any():
-                late_out = self._late_rows(key, pdf[is_late])
-                pdf = pdf[~is_late]
-            recs = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.itertuples(index=False, name=None)]
-            recs = [(int(r[0]), int(r[1]) if r[1] is not None else None, *[None if v is None else float(v) for v in r[2:]]) for r in recs]
-            if recs:
-                self.buf.appendList(recs)
-                # One timer at the earliest new event is enough: expiry re-arms for what is left.
-                self.handle.registerTimer(int(min(r[0] for r in recs)) // 1000 + 1)
-        return iter([late_out]) if late_out is not None else iter([])
+            behind = pdf["ts_us"].to_numpy(np.int64) <= (wm_us if wm_us > 0 else -(1 << 63))
+            if behind.any():
+                late.append(self._late_rows(key, pdf[behind]))
+                pdf = pdf[~behind]
+            cols = [pdf["ts_us"].to_numpy(np.int64).tolist(), _nulled(pdf[self.id_col], int)]
+            held += zip(*cols, *(_nulled(pdf[s], float) for s in self.signals))
+        if held:
+            self.buf.appendList(held)
+            # One timer at the earliest new event is enough: expiry re-arms for what is left.
+            self.handle.registerTimer(min(r[0] for r in held) // 1000 + 1)
+        return iter(late)
 
     def _late_rows(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({self.id_col: pdf[self.id_col].to_numpy(), "ts_us": pdf["ts_us"].astype("int64").to_numpy()})
@@ -107,7 +122,7 @@ class WindowFold(StatefulProcessor):
         for name in self.cumulative_names:
             out[name] = pd.array([None] * len(out), dtype="Int64")
         out["late"] = True
-        return out
+        return self._timed(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = int(timerValues.getCurrentWatermarkInMs()) * 1000
@@ -115,102 +130,129 @@ class WindowFold(StatefulProcessor):
         return iter([out]) if out is not None else iter([])
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Seed ``win`` and ``cnt`` from history rows ``(kind, us, s*, n*, c*)``."""
-        pdf = initialState
-        w = pdf[pdf["kind"] == "w"]
-        if len(w):
-            self._put_win(self._per_us(w[["us", *self._scols(), *self._ncols()]]))
-        c = pdf[pdf["kind"] == "c"]
-        if len(c):
-            vals = c[[f"c{i}" for i in range(max(1, len(self.cumulative)))]].fillna(0).astype("int64").sum(axis=0)
-            self.cnt.update(tuple(int(v) for v in vals))
+        """Seed tiles and running totals from history rows ``(kind, us, s*, n*, c*)``."""
+        k = len(self.signals)
+        w = initialState[initialState["kind"] == "w"]
+        us = w["us"].to_numpy(np.int64)
+        s = w[[f"s{i}" for i in range(k)]].to_numpy(np.float64)
+        n = w[[f"n{i}" for i in range(k)]].to_numpy(np.int64)
+        c = initialState.loc[initialState["kind"] == "c", [f"c{i}" for i in range(len(self.cumulative))]]
+        counts = np.array([int(x) for x in c.fillna(0).astype("int64").sum(axis=0)], np.int64)
+        self._store(_Tiles.of(us, s, n, self.tile_us), {}, counts, -(1 << 62))
 
     def close(self) -> None:
         pass
 
-    # -- window state: one row per distinct timestamp ----------------------------
-    def _scols(self) -> list[str]:
-        return [f"s{i}" for i in range(len(self.signals))]
-
-    def _ncols(self) -> list[str]:
-        return [f"n{i}" for i in range(len(self.signals))]
+    # -- state ---------------------------------------------------------------------
+    def _directory(self) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Totals per tile, and the running totals."""
+        k, got = len(self.signals), self.dir.get()
+        if got is None:
+            return {}, np.zeros(len(self.cumulative), np.int64)
+        tile, s, n, c = got
+        s, n = np.array(s, np.float64).reshape(-1, k), np.array(n, np.int64).reshape(-1, k)
+        return {t: (s[i], n[i]) for i, t in enumerate(tile)}, np.array(c, np.int64)
 
-    def _per_us(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        """Sum rows sharing a timestamp; sorted by time."""
-        pdf = pdf.astype({"us": "int64", **{c: "float64" for c in self._scols()}, **{c: "int64" for c in self._ncols()}})
-        return pdf.groupby("us", sort=True, as_index=False).sum()
+    def _tile(self, tile: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        us, s, n = self.tiles.getValue((tile,))
+        k = len(self.signals)
+        return np.array(us, np.int64), np.array(s, np.float64).reshape(-1, k), np.array(n, np.int64).reshape(-1, k)
 
-    def _put_win(self, pdf: pd.DataFrame) -> None:
-        sc, nc = self._scols(), self._ncols()
-        rows = pdf[["us", *sc, *nc]].itertuples(index=False, name=None)
-        k = len(sc)
-        self.win.put([(int(r[0]), *[float(v) for v in r[1 : 1 + k]], *[int(v) for v in r[1 + k :]]) for r in rows])
+    def _store(self, touched: dict, totals: dict, counts: np.ndarray, from_us: int) -> None:
+        """Write the touched tiles and the directory; tiles that end by ``from_us`` go."""
+        for tile in [t for t in totals if (t + 1) * self.tile_us <= from_us]:
+            self.tiles.removeKey((tile,))
+            del totals[tile]
+        for tile, (us, s, n) in touched.items():
+            if (tile + 1) * self.tile_us <= from_us:
+                continue
+            self.tiles.updateValue((tile,), (us.tolist(), s.ravel().tolist(), n.ravel().tolist()))
+            totals[tile] = (s.sum(axis=0), n.sum(axis=0))
+        order = sorted(totals)
+        s, n = ([x for t in order for x in totals[t][i].tolist()] for i in (0, 1))
+        self.dir.update((order, s, n, counts.tolist()))
 
     # -- the fold ----------------------------------------------------------------
     def _emit(self, key, wm_us: int) -> pd.DataFrame | None:
         k = len(self.signals)
-        bcols = ["us", "eid", *[f"s{i}" for i in range(k)]]
-        buf = pd.DataFrame(list(self.buf.get()), columns=bcols)
-        if buf.empty:
+        rows = list(self.buf.get())
+        rest = [tuple(r) for r in rows if r[0] > wm_us]
+        ready = sorted((tuple(r) for r in rows if r[0] <= wm_us), key=lambda r: r[0])
+        if not ready:
             return None
-        ready = buf[buf["us"] <= wm_us].sort_values("us", kind="stable")
-        rest = buf[buf["us"] > wm_us]
-        if ready.empty:
-            return None
-        wcols = ["us", *self._scols(), *self._ncols()]
-        win = pd.DataFrame(list(self.win.get()), columns=wcols)
-        cnt_row = self.cnt.get()
-        counts = np.array(cnt_row if cnt_row is not None else [0] * max(1, len(self.cumulative)), dtype=np.int64)
-
-        # Ready events as per-timestamp sums and counts, merged with the window.
-        rsig = ready[self._scols()]
-        fresh = pd.DataFrame({"us": ready["us"].to_numpy(np.int64)})
-        for i in range(k):
-            col = rsig[f"s{i}"].astype("float64")
-            fresh[f"s{i}"] = col.fillna(0.0).to_numpy()
-            fresh[f"n{i}"] = col.notna().astype("int64").to_numpy()
-        parts = [p for p in (win, fresh[wcols]) if not p.empty]
-        allev = self._per_us(pd.concat(parts, ignore_index=True))
-        us_all = allev["us"].to_numpy(np.int64)
-        csum = np.vstack([np.zeros((1, k)), np.cumsum(allev[self._scols()].to_numpy(np.float64), axis=0)])
-        ccnt = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(allev[self._ncols()].to_numpy(np.int64), axis=0)])
-        t = ready["us"].to_numpy(np.int64)
-        lo = np.searchsorted(us_all, t - self.window_us, side="left")
-        hi = np.searchsorted(us_all, t, side="left")  # tied peers and the event itself excluded
-        s = csum[hi] - csum[lo]
-        n = ccnt[hi] - ccnt[lo]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean = np.where(n > 0, s / np.maximum(n, 1), np.nan)
-
-        out = pd.DataFrame({self.id_col: ready["eid"].to_numpy(), "ts_us": t})
-        key_vals = key if isinstance(key, tuple) else (key,)
-        for i, (name, v) in enumerate(zip(self.keys, key_vals)):
-            out.insert(i, name, v)
-        for i, name in enumerate(self.rolling_names):
-            out[name] = mean[:, i]
+        t = np.array([r[0] for r in ready], np.int64)
+        given = np.array([r[2:] for r in ready], np.float64).reshape(-1, k)  # NaN: no value
+        known = ~np.isnan(given)
+        value = np.where(known, given, 0.0)
+        totals, counts = self._directory()
+
+        # Tiles that the edge of some window cuts, or that gain events, one by one;
+        # the others as one entry each, at their start.
+        fresh = _Tiles.of(t, value, known.astype(np.int64), self.tile_us)
+        cut = {int(x) for x in np.unique((t - self.window_us) // self.tile_us)} | set(fresh)
+        whole = {x: self._tile(x) for x in cut if x in totals}
+        parts = [*whole.values(), *fresh.values()]
+        rough = [x for x in totals if x not in whole]
+        if rough:
+            parts.append((np.array(rough, np.int64) * self.tile_us, np.array([totals[x][0] for x in rough]), np.array([totals[x][1] for x in rough])))
+        us, s, n = _Tiles.merged(parts)
+        sums = np.vstack([np.zeros((1, k)), np.cumsum(s, axis=0)])
+        nums = np.vstack([np.zeros((1, k), np.int64), np.cumsum(n, axis=0)])
+        lo = np.searchsorted(us, t - self.window_us, side="left")
+        hi = np.searchsorted(us, t, side="left")  # tied peers and the event itself excluded
+        total, seen = sums[hi] - sums[lo], nums[hi] - nums[lo]
+        mean = np.where(seen > 0, total / np.maximum(seen, 1), np.nan)
+
+        out: dict = dict(zip(self.keys, key if isinstance(key, tuple) else (key,)))
+        out |= {self.id_col: pd.array([r[1] for r in ready], dtype="Int64"), "ts_us": t}
+        out |= {name: mean[:, i] for i, name in enumerate(self.rolling_names)}
         if self.cumulative:
-            rsig = ready[[f"s{i}" for i in self._cum_idx]].fillna(0.0).to_numpy(np.float64).astype(np.int64)
-            rc = np.vstack([np.zeros((1, len(self._cum_idx)), dtype=np.int64), np.cumsum(rsig, axis=0)])
-            before = np.searchsorted(t, t, side="left")
-            prior = counts[None, : len(self._cum_idx)] + rc[before]
-            for j, name in enumerate(self.cumulative_names):
-                out[name] = prior[:, j]
-            counts = counts.copy()
-            counts[: len(self._cum_idx)] += rc[-1]
-            self.cnt.update(tuple(int(c) for c in counts))
+            own = value[:, self._cum_idx].astype(np.int64)
+            run = np.vstack([np.zeros((1, own.shape[1]), np.int64), np.cumsum(own, axis=0)])
+            prior = counts + run[np.searchsorted(t, t, side="left")]
+            out |= {name: prior[:, j] for j, name in enumerate(self.cumulative_names)}
+            counts = counts + run[-1]
 
         # Keep what any later event (time > watermark) can still see.
-        keep = allev[allev["us"] >= wm_us - self.window_us]
-        if keep.empty:
-            self.win.clear()
+        touched = {x: _Tiles.merged([whole[x], fresh[x]]) if x in whole else fresh[x] for x in fresh}
+        self._store(touched, totals, counts, wm_us - self.window_us)
+        if rest:
+            self.buf.put(rest)
+            self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
         else:
-            self._put_win(keep)
-        if rest.empty:
             self.buf.clear()
-        else:
-            self.buf.put([(int(r[0]), None if pd.isna(r[1]) else int(r[1]), *[None if pd.isna(v) else float(v) for v in r[2:]]) for r in rest.itertuples(index=False, name=None)])
-            self.handle.registerTimer(int(rest["us"].min()) // 1000 + 1)
-        for name in self.rolling_names:
-            out[name] = out[name].astype("float64")
-        out["late"] = False
-        return out
+        return self._timed(pd.DataFrame(out | {"late": False}, index=range(len(ready))))
+
+
+class _Tiles:
+    """Events as (times, sums, counts) with distinct ascending times."""
+
+    @staticmethod
+    def merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Parts together, entries of one time added up."""
+        us = np.concatenate([p[0] for p in parts])
+        s, n = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+        times, at = np.unique(us, return_inverse=True)
+        sums, nums = np.zeros((len(times), s.shape[1])), np.zeros((len(times), s.shape[1]), np.int64)
+        np.add.at(sums, at, s)
+        np.add.at(nums, at, n)
+        return times, sums, nums
+
+    @staticmethod
+    def of(us: np.ndarray, s: np.ndarray, n: np.ndarray, tile_us: int) -> dict:
+        """By tile."""
+        if not len(us):
+            return {}
+        us, s, n = _Tiles.merged([(us, s, n)])
+        tile = us // tile_us
+        cuts = np.flatnonzero(np.diff(tile)) + 1
+        split = zip(np.split(us, cuts), np.split(s, cuts), np.split(n, cuts))
+        return {int(x[0] // tile_us): (x, a, b) for x, a, b in split}
+
+
+def _nulled(column: pd.Series, kind: type) -> list:
+    """Python values, nulls and NaN as None."""
+    gone = column.isna().to_numpy()
+    if not gone.any():
+        return column.astype("int64" if kind is int else "float64").tolist()
+    return [None if g else kind(v) for v, g in zip(column.tolist(), gone)]

@@ -17,23 +17,26 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import ntz_from_micros
-from ..operators.latest import keep_latest, merge_latest
 from ..registry import CUMULATIVE, ROLLING, FeatureView, Registry
-from ..session import scratch_path
+from ..session import scratch_path, ship
 from .processor import WindowFold
 
 Sink = Callable[[DataFrame, int], None]
 RESERVED_KEY = -(1 << 62)
+#: Micro-batches whose progress a replay keeps for the account of dropped rows.
+KEPT_PROGRESS = 100_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """The fold keeps several named states per key, which needs the RocksDB provider."""
+    """The fold keeps several named states per key, which needs the RocksDB provider;
+    its workers need the package."""
+    ship(spark)
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, "") != ROCKSDB:
         spark.conf.set(key, ROCKSDB)
@@ -76,13 +79,17 @@ def view_stream(
     id_col: str = "event_id",
     watermark: str = "1 hour",
     initial_state: DataFrame | None = None,
+    event_time: str = "",
 ) -> DataFrame:
     """S4 for one view: the keyed fold over a stream of bound events.
 
     ``events`` needs the view keys, ``id_col``, ``ts_us`` and the signals.
     Emits one row per event: keys, ``id_col``, ``ts_us``, the view's features
     and ``late`` -- true for a row that arrived after the watermark had passed
-    it, which gets no features (see :func:`on_time`, :func:`late_rows`).
+    it, which gets no features (see :func:`on_time`, :func:`late_rows`). Rows that
+    Spark drops before the fold are found by :func:`unserved`. ``event_time`` names
+    a timestamp column added to the output, on which a later stateful operator of
+    the same query goes by the same watermark.
     """
     use_rocksdb(events.sparkSession)
     rolling = registry.cols(view, ROLLING)
@@ -95,6 +102,7 @@ def view_stream(
         [c.signal for c in cum],
         [c.name for c in cum],
         id_col=id_col,
+        event_time=event_time,
     )
     key_types = [events.schema[k].dataType for k in view.keys]
     src = events.select(*fold.input_columns()).withColumn("__et", F.timestamp_micros("ts_us")).withWatermark("__et", watermark)
@@ -106,9 +114,41 @@ def view_stream(
         outputMode="Append",
         timeMode="EventTime",
         initialState=init,
+        eventTimeColumnName=event_time,
     )
 
 
+def served_stream(
+    events: DataFrame,
+    registry: Registry,
+    *,
+    id_col: str = "event_id",
+    watermark: str = "1 hour",
+    initial_states: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """One row per event with the features of all views, in contract order.
+
+    Every view folds the same stream under its own key. The folds emit an event in
+    the same micro-batch (they share one watermark), so the inner stream-stream joins
+    on (id, event time) hold state only until the watermark passes the event, however
+    long the stream. ``id_col`` has to tell events of one time apart. Gives ``id_col``,
+    ``ts_us``, the keys, the served features and ``late``.
+    """
+    time = "__served_at"
+    out, keys = None, []
+    for view in registry.views:
+        state = (initial_states or {}).get(view.name)
+        one = view_stream(events, registry, view, id_col=id_col, watermark=watermark, initial_state=state, event_time=time)
+        keys += [k for k in view.keys if k not in keys]
+        if out is None:
+            out = one
+            continue
+        new = [c.name for c in registry.cols(view)] + [k for k in view.keys if k not in out.columns]
+        other = one.select(F.col(id_col).alias("__id"), F.col(time).alias("__at"), *new)
+        out = out.join(other, (out[id_col] == other["__id"]) & (out[time] == other["__at"])).drop("__id", "__at")
+    return out.select(id_col, "ts_us", *keys, *registry.served, "late")
+
+
 def warm_state(history: DataFrame, registry: Registry, view: FeatureView, upto_us: int | None = None) -> DataFrame:
     """Initial state of one view from batch history -- the window's last
     ``W`` of events per key, reduced per (key, time) to signal sums and
@@ -163,46 +203,11 @@ def parquet_append_sink(path: str) -> Sink:
     return sink
 
 
-class LatestTableSink:
-    """Keep a latest-value table current, one version folder per batch.
-
-    Version ``b`` = merge of version ``b-1`` with the batch's newest row per key;
-    an older event never replaces a newer one. Writing to a folder named by the
-    batch id makes a retried batch overwrite its own version (idempotent), and
-    readers take the newest version that has a ``_SUCCESS`` marker.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], ts: str, cols: Sequence[str]):
-        self.spark, self.path, self.keys, self.ts, self.cols = spark, path, list(keys), ts, list(cols)
-
-    def newest(self, below: int | None = None) -> int | None:
-        """The newest complete version on storage (below a batch id), so that a restarted
-        stream goes on from the stored table."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
-        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at) or []
-        ids = [int(f.getPath().getParent().getName().removeprefix("v=")) for f in found]
-        return max((i for i in ids if below is None or i < below), default=None)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        upd = keep_latest(batch, self.keys, self.ts, self.cols)
-        before = self.newest(below=batch_id)
-        if before is None:
-            merged = upd
-        else:
-            merged = merge_latest(self.spark.read.parquet(f"{self.path}/v={before}"), upd, self.keys, self.ts)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-    def read(self) -> DataFrame:
-        version = self.newest()
-        if version is None:
-            raise ValueError("no version written yet")
-        return self.spark.read.parquet(f"{self.path}/v={version}")
-
-
 def run(stream: DataFrame, sinks: Sequence[Sink] | None = None, *, out: str | None = None, checkpoint: str | None = None, timeout_s: int | None = None):
     """Drive a streaming query to the end of its input (``availableNow``)."""
     spark = stream.sparkSession
     checkpoint = checkpoint or new_dir(spark, "ckpt")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_PROGRESS))
     w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if sinks:
         q = w.foreachBatch(fan_out(sinks)).start()
@@ -222,10 +227,56 @@ def on_time(stream: DataFrame) -> DataFrame:
 
 
 def late_rows(df: DataFrame) -> DataFrame:
-    """The rows the fold received after the watermark had passed them
-    (no features; counted and kept for a quarantine sink, never hidden)."""
+    """The rows that a fold received after the watermark had passed them, without
+    features. Rows even later never reach it: see :func:`unserved`."""
     return df.filter(F.col("late")).drop("late")
 
 
+def dropped_by_watermark(query) -> int:
+    """Input rows that a finished query's stateful operators dropped as too late,
+    over all its micro-batches. Fails if progress of a batch is no longer held."""
+    progress = {p["batchId"]: p for p in query.recentProgress}
+    if progress and sorted(progress) != list(range(max(progress) + 1)) and len(progress) >= KEPT_PROGRESS:
+        raise RuntimeError(f"progress of {max(progress) + 1 - len(progress)} micro-batches is gone")
+    return sum(op["numRowsDroppedByWatermark"] for p in progress.values() for op in p["stateOperators"])
+
+
+def unserved(source: DataFrame, output: DataFrame, keys: Sequence[str], id_col: str = "event_id") -> DataFrame:
+    """Every row of the replayed log that got no features, with the ``reason``:
+    ``late`` (behind the watermark when the fold read it), ``dropped`` (so far behind
+    that Spark left it out before the fold) or ``no_time``.
+
+    ``source``: the log as a batch (with ``ts_us``); ``output``: what the fold wrote.
+    Rows are matched as a multiset on (keys, id, time), so repeated rows, null ids and
+    null keys are accounted for one by one, in one shuffle.
+    """
+    cols = [*keys, id_col, "ts_us"]
+    timed = source.select(*cols).filter(F.col("ts_us").isNotNull())
+    lost = timed.exceptAll(output.select(*cols)).withColumn("reason", F.lit("dropped"))
+    late = output.filter(F.col("late")).select(*cols, F.lit("late").alias("reason"))
+    no_time = source.select(*cols).filter(F.col("ts_us").isNull()).withColumn("reason", F.lit("no_time"))
+    return lost.unionByName(late).unionByName(no_time)
+
+
+def account(query, source: DataFrame, output: DataFrame, keys: Sequence[str], id_col: str = "event_id") -> dict[str, int]:
+    """``on_time``, ``late``, ``dropped`` and ``no_time`` counts of a finished
+    replay. Fails unless every input row is in just one of them and Spark's own count
+    of dropped rows agrees, so no row can vanish unseen."""
+    counts = {r["reason"]: r["n"] for r in unserved(source, output, keys, id_col).groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    got = {"on_time": on_time(output).count(), **{k: counts.get(k, 0) for k in ("late", "dropped", "no_time")}}
+    n, told = source.count(), dropped_by_watermark(query)
+    if sum(got.values()) != n or got["dropped"] != told:
+        raise RuntimeError(f"{n} rows went in, {told} dropped by the watermark, but found {got}")
+    return got
+
+
+def in_arrival_order(events: DataFrame, batch: Column, path: str, cols: Sequence[str] | None = None) -> None:
+    """Store a log (or ``cols`` of it) as one file per value of ``batch``, in
+    ascending order, so that a replay of one file per trigger reads it as it arrived."""
+    spread = events.withColumn("__batch", batch)
+    for b in [r[0] for r in spread.select("__batch").distinct().orderBy("__batch").collect()]:
+        spread.filter(F.col("__batch").eqNullSafe(F.lit(b))).select(*(cols or events.columns)).coalesce(1).write.mode("append").parquet(path)
+
+
 def with_ntz(df: DataFrame, us: str = "ts_us", out: str = "ts") -> DataFrame:
     return df.withColumn(out, ntz_from_micros(us))

@@ -100,6 +100,6 @@ def test_score_ranges_follow_the_distinct_scores(spark, monkeypatch):
     rows = [("t", float(i % 3 == 0), (i * 37 % 101) / 101) for i in range(400)]
     want = ranking_metrics(long(spark, rows), strategy="direct").first()
     monkeypatch.setattr(metrics, "RANGE_SCORES", 1)
-    assert metrics._ranges_for(metrics._score_counts(long(spark, rows), [])) == 101
+    assert metrics._ranges_for(metrics.score_counts(long(spark, rows))) == 101
     got = ranking_metrics(long(spark, rows)).first()
     assert got.asDict() == pytest.approx(want.asDict())
