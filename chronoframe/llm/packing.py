@@ -10,6 +10,7 @@ a lost task is packed again alike from the same input split.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +25,10 @@ from . import _spark as S
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A stretch of text longer than this is tokenised in parts cut before white space.
 PART_CHARS = 200_000
+#: Runs of white space from this length on are cut by hand.
+LONG = 5_000
+#: Fixed: the characters that the pattern's \s stands for.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 
 
 class Capacities:
@@ -84,10 +89,22 @@ def encoder(path: str):
 
 
 def token_ids(enc, text: str) -> np.ndarray:
-    """Ids of the whole text; very long ones go part by part, cut before a space so that
-    the pattern sees the same pre-tokens."""
-    if len(text) <= PART_CHARS:
-        return enc.encode_to_numpy(text)
+    """Ids of the whole text. Long runs of white space, on which the pattern would
+    backtrack, are cut as it would cut them: all of a run at the end of the text, else
+    all but its last character, is one pre-token. Very long stretches between go part
+    by part."""
+    out, at = [], 0
+    for run in LONG_RUN.finditer(text) if len(text) > LONG else ():
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += [*_stretch(enc, text[at : run.start()]), np.array(enc._encode_single_piece(text[run.start() : end]), np.uint32)]
+        at = end
+    out += _stretch(enc, text[at:])
+    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+
+
+def _stretch(enc, text: str) -> list[np.ndarray]:
+    """Ids of a text without long runs, in parts cut before a space so that the pattern
+    sees the same pre-tokens."""
     out, at = [], 0
     while at < len(text):
         end = at + PART_CHARS
@@ -95,7 +112,7 @@ def token_ids(enc, text: str) -> np.ndarray:
             end += 1
         out.append(enc.encode_to_numpy(text[at:end]))
         at = end
-    return np.concatenate(out)
+    return out
 
 
 SCHEMA = "pack_id bigint, n_tokens int, input_ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<bigint>, parts array<int>"

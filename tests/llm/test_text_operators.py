@@ -369,3 +369,17 @@ def test_pipeline_stages(spark, tmp_path):
     assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     out = P.encode(spark, docs, str(tmp_path))
     assert out.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id <> 7 AND n <> 2").count() == 0
+
+
+def test_token_ids_of_long_white_space(monkeypatch):
+    enc, r = packing.encoder(f"{TOKENIZERS}/byte_bpe_50k.tiktoken"), random.Random(0)
+    blank = 3_000_000
+    for text in (" " * blank + "a b", "a" + "\n" * blank + " b", "a b" + " \n" * (blank // 2), "　" * 6000):
+        ids = packing.token_ids(enc, text)
+        assert enc.decode(ids.tolist()) == text
+    monkeypatch.setattr(packing, "LONG", 5)
+    monkeypatch.setattr(packing, "LONG_RUN", re.compile(packing.LONG_RUN.pattern.replace("5000", "5")))
+    bits = ["a", "b1", " ", "  ", "\n", "　", "\x1c", "\x85", "      ", "\n\n\n\n\n\n", ".", "é", "     \t"]
+    for _ in range(3000):
+        text = "".join(r.choices(bits, k=r.randint(0, 12)))
+        assert packing.token_ids(enc, text).tolist() == enc.encode(text)
