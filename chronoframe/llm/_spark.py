@@ -141,30 +141,43 @@ def in_bloom(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (word >> (h & np.uint64(63))) & np.uint64(1) > 0
 
 
+#: Rows of a small round table that one task takes.
+ROUND_ROWS = 100_000
+
+
+def settled(df: DataFrame, rows: int) -> DataFrame:
+    """Checkpoint a table of at most about ``rows`` rows in as many partitions as they
+    need: rounds over few rows don't spread them over every shuffle partition."""
+    return df.coalesce(max(1, -(-rows // ROUND_ROWS))).checkpoint()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node of ``edges``; equal label = same component.
 
     Each round contracts every node into the neighbour (or itself) of smallest
     random priority, which shrinks the graph by a constant factor, so the rounds
     grow with the logarithm of the longest chain. All of it is joins and grouped
-    minima with map-side combining; round tables are checkpointed.
+    minima with map-side combining; round tables are checkpointed, in fewer partitions
+    as they shrink.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct().checkpoint()
-    names = None
+    names, n = None, e.count()
+    e, nodes = e.coalesce(max(1, -(-n // ROUND_ROWS))), 2 * n
     for r in range(200):
-        if e.isEmpty():
+        if not n:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         rank = lambda c: F.struct(F.xxhash64(F.lit(r), F.col(c)), F.col(c).alias("id"))
-        to = both.groupBy("u").agg(F.least(F.min(rank("v")), rank("u")).getField("id").alias("to")).checkpoint()
+        to = settled(both.groupBy("u").agg(F.least(F.min(rank("v")), rank("u")).getField("id").alias("to")), 2 * n)
         left = to.select(F.col("u"), F.col("to").alias("p"))
         right = to.select(F.col("u").alias("v"), F.col("to").alias("q"))
-        e = e.join(left, "u").join(right, "v").where("p <> q").select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct().checkpoint()
+        e = settled(e.join(left, "u").join(right, "v").where("p <> q").select(F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")).distinct(), n)
+        n = e.count()
         if names is None:
             names = to.select(F.col("u").alias("node"), F.col("to").alias("label"))
         else:
             step = to.select(F.col("u").alias("label"), "to")
-            names = names.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label")).checkpoint()
+            names = settled(names.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label")), nodes)
     else:
         raise RuntimeError("the components did not settle")
     if names is None:

@@ -3,9 +3,9 @@ suffix filters, joined on prefix n-grams, verified once per pair.
 
 Every text becomes the set of its distinct ``width``-word shingles. Texts with equal
 sets form one class (``sid``, a 64-bit hash of the set); only classes are joined, so
-copies never multiply. Shingles are ordered by how often they occur (a fixed-size
-count table), then by hash: any total order keeps prefix filtering exact, and this
-one keeps passages that many texts share out of the prefixes.
+copies never multiply. Shingles are ordered by how often they occur (counts by hash
+bucket, in a table sized by the text), then by hash: any total order keeps prefix
+filtering exact, and this one keeps passages that many texts share out of the prefixes.
 
 Two classes of n and m shingles link when ``den * common >= num * union``. Then the
 first ``n - ceil(num * n / den) + 1`` shingles of each share one. For every prefix
@@ -14,7 +14,8 @@ shingle that two classes have, candidates go
 1. in ``rounds`` rounds every posting meets a few pivots of its shingle only, which is
    linear however large a group of near copies is, and links are contracted into
    components; postings whose shingle meets a single component drop out;
-2. classes of different components that share a shingle then meet pair by pair.
+2. classes of different components that share a shingle then meet pair by pair, in
+   blocks of bounded size, so a shingle of many classes is spread over tasks.
 
 A pair is skipped only when a chain of verified links joins it already, so components
 are those of all links.
@@ -33,6 +34,16 @@ from . import _vec as V
 HIST = 16
 #: Pivots per shingle and size.
 PIVOTS = 16
+#: Classes of one shingle that a block of the last join holds.
+BLOCK_ROWS = 500
+#: Bytes of text to a bucket of the count table; its bits, and those of a key bitmap, at
+#: least and at most (memory bounds: a table is 4 bytes a bucket, a bitmap a bit).
+BUCKET_BYTES, TABLE_BITS, BITMAP_BITS = 160, (16, 24), (20, 28)
+
+
+def _bits(n: int, within: tuple[int, int]) -> int:
+    """Bits of the next power of two from n on, within bounds."""
+    return min(max(int(n).bit_length(), within[0]), within[1])
 
 
 def _ceil(num, n, den):
@@ -82,10 +93,11 @@ def _postings(docs: DataFrame, text_col: str, width: int, bits: int, num: int, d
     are the rare-first order."""
 
     def run(batches):
-        df, seen = np.minimum(table.value, (1 << 19) - 1).astype(V.U), set()
+        df, seen = table.value, set()
         for batch in batches:
             for _, _, values, n, sid in _sets(batch, width):
-                key = (df[(values >> V.U(64 - bits)).astype(np.int64)] << V.U(44)) | (values >> V.U(20))
+                often = np.minimum(df[(values >> V.U(64 - bits)).astype(np.int64)], (1 << 19) - 1).astype(V.U)
+                key = (often << V.U(44)) | (values >> V.U(20))
                 rows = np.array([i for i in np.flatnonzero(n > 0).tolist() if (x := int(sid[i])) not in seen and not seen.add(x)], np.int64)
                 if not len(rows):
                     continue
@@ -152,7 +164,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(x, "a").join(y, "b").where(f"CASE WHEN {bound} THEN {exact} ELSE false END").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100, bits: int = 21, bloom_bits: int = 26, rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100, rounds: int = 2) -> DataFrame:
     """``doc_id, th, n_shingles, group_id, component_id`` per row of ``docs``.
 
     component_id is the smallest doc_id reachable by links, itself included; group_id
@@ -160,12 +172,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``xxhash64(text)``, which with doc_id names the row. Null or blank texts have
     n_shingles 0 and are linked with nothing. Rows of equal text link (also with
     equal doc_id). A null doc_id takes part but is never the smallest unless all
-    are null. bits: buckets of the frequency table (2**bits counts on the driver and
-    in each worker); bloom_bits: bitmaps of keys. Both only affect speed.
+    are null. The frequency table and the bitmaps of keys grow with the input up to a
+    memory bound (TABLE_BITS, BITMAP_BITS); they only affect speed.
     """
     spark = docs.sparkSession
     S.text_batches(spark)
     sc = spark.sparkContext
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    bits = _bits(size // BUCKET_BYTES, TABLE_BITS)
     one_pass, _ = S.stored(profiles(docs, id_col, text_col, width, bits), "profiles")
     rows = one_pass.where("kind is null").select("doc_id", "th", "n", "sid")
     table = S.count_tables(one_pass.where("kind is not null").select("kind", "slice", "blob"), bits).get("df", np.zeros(1 << bits, np.int64))
@@ -175,7 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = _postings(docs, text_col, width, bits, num, den, order)
     multi = postings.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("key")
     multi, at_multi = S.stored(multi, "multi")
-    keys = sc.broadcast(S.bloom(multi, "key", bloom_bits))
+    keys = sc.broadcast(S.bloom(multi, "key", _bits(128 * multi.count(), BITMAP_BITS)))
     shared = _postings(docs, text_col, width, bits, num, den, order, keys).join(multi, "key").dropDuplicates(["key", "sid"])
     shared, at_shared = S.stored(shared, "shared")
     # Shingles that just the same classes have become one, m shingles strong.
@@ -199,12 +213,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         tried.append(S.stored(pairs, "pairs"))
         pairs = tried[-1][0]
-        wanted = sc.broadcast(S.bloom(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), "sid", bloom_bits))
+        ends = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
+        wanted = sc.broadcast(S.bloom(ends, "sid", _bits(128 * pairs.count(), BITMAP_BITS)))
         sent.append(wanted)
         links = _verified(pairs, _class_sets(docs, text_col, width, wanted), num, den)
         names = left.select("sid", "label").distinct()
         edges = links.join(names.select(F.col("sid").alias("a"), F.col("label").alias("u")), "a").join(names.select(F.col("sid").alias("b"), F.col("label").alias("v")), "b")
-        return edges.select("u", "v").distinct().checkpoint()
+        return S.stored(edges.select("u", "v").distinct(), "edges")[0]
 
     def relabelled(df: DataFrame, step: DataFrame) -> DataFrame:
         return df.join(step.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
@@ -213,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """Labels after one more contraction: of classes named before and of new ones."""
         if label is None:
             return step
-        return relabelled(label, step).unionByName(step.join(label.select("node"), "node", "left_anti")).checkpoint()
+        return S.stored(relabelled(label, step).unionByName(step.join(label.select("node"), "node", "left_anti")), "labels")[0]
 
     for r in range(rounds):
         # A key's pivots: of its classes of each size (to a fourteenth) in each of
@@ -228,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges = linked(met)
         if edges.isEmpty():
             break
-        step = S.components(edges, "u", "v").checkpoint()
+        step = S.components(edges, "u", "v")
         label = extended(label, step)
         closed, at_closed = S.stored(relabelled(left, step), f"closed{r}")
         some = closed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
@@ -236,10 +251,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left, at_left = S.stored(closed.join(some, "key").select("key", "sid", "n", "pos", "f", "s", "label"), f"open{r}")
         S.dropped(spark, at_closed)
 
-    x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
-    y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("s").alias("sb"), F.col("f").alias("fb"), F.col("label").alias("lb"))
-    met = x.join(y, "key").where(f"a < b and la <> lb and {_fits(num, den)}")
-    label = extended(label, S.components(linked(met), "u", "v").checkpoint())
+    # A key of k blocks of classes meets as k * (k + 1) / 2 pairs of blocks.
+    blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = left.join(blocks, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "sid"), F.col("blocks")).cast("int"))
+    x = dealt.select("key", F.col("own").alias("i"), F.explode(F.expr("sequence(own, blocks - 1)")).alias("j"), F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("s").alias("sa"), F.col("f").alias("fa"), F.col("label").alias("la"))
+    y = dealt.select("key", F.explode(F.expr("sequence(0, own)")).alias("i"), F.col("own").alias("j"), F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("s").alias("sb"), F.col("f").alias("fb"), F.col("label").alias("lb"))
+    met = x.join(y, ["key", "i", "j"]).where(f"(i < j or a < b) and la <> lb and {_fits(num, den)}")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    label = extended(label, S.components(linked(met), "u", "v"))
     least = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least")).join(label.withColumnRenamed("node", "sid"), "sid", "left")
     least = least.select("sid", F.coalesce("label", "sid").alias("label"), "least")
     linked = least.groupBy("label").agg(F.min("least").alias("component_id"))

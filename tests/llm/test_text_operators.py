@@ -44,10 +44,12 @@ def _corpus():
     return docs
 
 
-def test_jaccard_components_against_brute_force(spark):
+@pytest.mark.parametrize("rounds, block", [(2, 500), (0, 4)])
+def test_jaccard_components_against_brute_force(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)  # a hot shingle meets in blocks
     docs = _corpus()
     rows = [(i * 3 + 1, t, None, 0.0) for i, t in enumerate(docs)] + [(1, docs[0], "again", 1.0)]
-    got = jaccard.near_duplicates(spark.createDataFrame(rows, DOC)).collect()
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, DOC), rounds=rounds).collect()
     sets = {i: _set(t) for i, t, *_ in rows}
     parent = {i: i for i in sets}
 
