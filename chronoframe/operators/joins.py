@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..registry import DAY_US
@@ -119,6 +119,59 @@ def attach_lookup(
     return joined
 
 
+@dataclass(frozen=True)
+class Attached:
+    """C1/C5/C7 in one pass: ``rows`` has every left row with ``out`` (null for a miss);
+    once an action has run over it, :meth:`report` tells its misses."""
+
+    rows: DataFrame
+    key: str
+    out: str
+    before: Observation
+    after: Observation
+
+    @property
+    def matched(self) -> DataFrame:
+        return self.rows.filter(F.col(self.out).isNotNull())
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """The left rows without a value; null keys never match."""
+        return self.rows.filter(F.col(self.out).isNull()).drop(self.out)
+
+    def report(self) -> LookupReport:
+        """Counts of the last action over all of ``rows``, taken while it ran."""
+        got = self.after.get
+        return LookupReport(int(self.before.get["n"]), int(got["n"]), int(got["misses"]), 0, () if got["least"] is None else (got["least"],))
+
+    def check(self) -> None:
+        """Fail on a miss, or if the join changed the number of rows."""
+        r = self.report()
+        if r.n_rows != r.n_keys:
+            raise LookupError_(f"{r.n_rows} rows before the lookup of {self.out}, {r.n_keys} after")
+        if r.misses:
+            raise LookupError_(f"no {self.out} for {r.misses} rows; smallest unknown {self.key}: {list(r.first_misses)}")
+
+
+def attach_observed(df: DataFrame, lookup: DataFrame, key: str, value: str, *, lookup_key: str | None = None, out: str | None = None) -> Attached:
+    """C1 without a job of its own before the join.
+
+    The join counts its rows, misses and smallest unknown key while whatever action the
+    caller runs goes through it (``observe``); ``check()`` then raises as
+    :func:`attach_lookup` does. A lookup row with a null value is a miss; several values
+    of a key become one row more, which ``check()`` reports. No size is guessed: whether
+    the lookup is broadcast follows its bytes at run time (adaptive execution).
+    """
+    out = out or value
+    known = lookup.select(F.col(lookup_key or key).alias("__k"), F.col(value).alias(out)).filter(F.col("__k").isNotNull() & F.col(out).isNotNull())
+    before, after = Observation(), Observation()
+    left = df.observe(before, F.count(F.lit(1)).alias("n"))
+    joined = left.join(known, left[key] == known["__k"], "left").drop("__k")
+    miss = F.col(out).isNull()
+    rows = joined.observe(after, F.count(F.lit(1)).alias("n"), F.count_if(miss).alias("misses"), F.min(F.when(miss, F.col(key))).alias("least"))
+    return Attached(rows, key, out, before, after)
+
+
 def distinct_requests(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """C4: distinct (keys, time) request rows (partial aggregation map-side)."""
     return df.select(*keys, ts).distinct()

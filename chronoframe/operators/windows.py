@@ -432,17 +432,32 @@ def with_history(
     *,
     ts_us: str = "ts_us",
     lookback_us: int | None = None,
+    totals: dict[str, tuple[str, Sequence[str]]] | None = None,
 ) -> DataFrame:
     """Features of ``arm`` rows with state seeded by ``history``.
 
     ``history`` and ``arm`` are unioned (history optionally cut to the last
     ``lookback_us`` before the arm starts, given as a literal bound), the
     window ``compute`` runs over both, and only the arm's rows are kept.
+
+    The cut is for window features, which see no further back. Running counts do:
+    ``totals`` maps each of them to its ``(signal, keys)``, and what the rows that were
+    cut off add to it is summed per key (combined map-side) and added back.
     """
-    h = history
+    h, cut = history, None
     if lookback_us is not None:
         start = arm.agg(F.min(ts_us)).first()[0]
         if start is not None:
-            h = h.filter(F.col(ts_us) >= F.lit(int(start) - int(lookback_us)))
+            since = F.col(ts_us) >= F.lit(int(start) - int(lookback_us))
+            h, cut = h.filter(since), history.filter(~since)
     both = h.withColumn("__arm", F.lit(False)).unionByName(arm.withColumn("__arm", F.lit(True)))
-    return compute(both).filter(F.col("__arm")).drop("__arm")
+    out = compute(both).filter(F.col("__arm")).drop("__arm")
+    if cut is None:
+        return out
+    order = out.columns
+    for i, (name, (signal, keys)) in enumerate((totals or {}).items()):
+        before = cut.groupBy(*(F.col(k).alias(f"__k{j}") for j, k in enumerate(keys))).agg(F.sum(signal).alias(f"__before{i}"))
+        same = [out[k].eqNullSafe(before[f"__k{j}"]) for j, k in enumerate(keys)]
+        out = out.join(before, same, "left").drop(*(f"__k{j}" for j in range(len(keys))))
+        out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"__before{i}"), F.lit(0))).drop(f"__before{i}")
+    return out.select(*order)

@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all() -> None:
-    from . import queries_eval, queries_features, queries_heads, queries_stream  # noqa: F401  (registration side effects)
+    from . import queries_eval, queries_features, queries_heads, queries_sources, queries_stream  # noqa: F401  (registration side effects)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -108,10 +108,11 @@ def score(df: DataFrame, prep: PipelineModel, heads: Heads) -> DataFrame:
 
 
 def validation_loss(scored: DataFrame, heads: Heads, pos_weight: float = 2.0) -> float:
-    """D6 on a scored validation frame (one aggregate row)."""
+    """D6 on a scored validation frame (one aggregate row); a target without a valid
+    label there counts 0 like any fully masked one."""
     lb = to_long(scored, list(heads.binary), score="logit_{t}")
     lc = to_long(scored, list(heads.continuous), score="pred_{t}")
-    return float(combined_loss(lb, lc, pos_weight).first()["loss"])
+    return float(combined_loss(lb, lc, pos_weight, list(heads.binary)).first()["loss"])
 
 
 def select_heads(

@@ -37,8 +37,8 @@ def _fit_score(spark, sf_dir):
 def _heads_eval(spark, sf_dir):
     """S9-style report of the fitted heads on the arm: ranking metrics + RMSE per target."""
     scored = _fit_and_score(spark, sf_dir)
-    rank = ranking_metrics(to_long(scored, BINARY))
-    err = rmse(to_long(scored, ["dwell_log"], score="pred_{t}")).select(
+    rank = ranking_metrics(to_long(scored, BINARY), targets=BINARY)
+    err = rmse(to_long(scored, ["dwell_log"], score="pred_{t}"), ["dwell_log"]).select(
         "target", *[F.lit(None).cast("double").alias(c) for c in ["roc_auc", "recall_precision_auc", "precision", "recall"]], "rmse"
     )
     return rank.withColumn("rmse", F.lit(None).cast("double")).unionByName(err)
