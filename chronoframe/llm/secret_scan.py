@@ -31,6 +31,32 @@ MIXED_LEN = 20
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 HEX_RUN = r"(?<![0-9a-f])[0-9a-f]{16,}+"
 
+#: Elements that one step of a running value copies; see ``_before``.
+BLOCK = 256
+
+
+def _bound(x: Column, f) -> Column:
+    """``f`` of a variable that holds ``x``, so that x is computed once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def _before(x: Column, op) -> Column:
+    """What ``op`` (sum or greatest, from 0) makes of the elements before each one of an
+    array of ints. Within blocks, and then over the blocks' totals: appending to an array
+    copies it, so one run over a long array would take the square of its length."""
+
+    def running(values: Column, first: Column) -> Column:
+        step = lambda s, v: F.struct(op(s["acc"], v).alias("acc"), F.concat(s["out"], F.array(s["acc"])).alias("out"))
+        return F.aggregate(values, F.struct(first.alias("acc"), F.array().cast("array<int>").alias("out")), step, lambda s: s["out"])
+
+    def over(values: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")), lambda k: F.slice(values, k * BLOCK + 1, BLOCK))
+        total = lambda b: F.aggregate(b, F.lit(0), op)
+        return _bound(blocks, lambda bs: F.flatten(F.zip_with(bs, running(F.transform(bs, total), F.lit(0)), running)))
+
+    return _bound(x, lambda values: F.when(F.size(values) > 0, over(values)).otherwise(F.array().cast("array<int>")))
+
+
 def _spans(text: Column, kind: str, pattern: str, guard: Column) -> Column:
     """Spans of the matches of ``pattern``: the text splits into the pieces around them,
     whose lengths add up to the offsets. One-element arrays bind the matches and pieces
@@ -38,17 +64,35 @@ def _spans(text: Column, kind: str, pattern: str, guard: Column) -> Column:
     none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
 
     def summed(found: Column, pieces: Column) -> Column:
-        def step(acc, i):
-            start = acc["at"] + F.length(F.get(pieces, i))
-            end = start + F.length(F.get(found, i))
-            span = F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"), F.get(found, i).alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        def span(at):
+            def one(value, i):
+                start = F.get(at, i) + F.length(F.get(pieces, i))
+                return F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+            return F.transform(found, one)
 
-    split = lambda found: F.get(F.transform(F.array(F.split(text, pattern, -1)), lambda pieces: summed(found, pieces)), F.lit(0))
+        return _bound(_before(F.transform(found, lambda value, i: F.length(F.get(pieces, i)) + F.length(value)), lambda x, y: x + y), span)
+
+    split = lambda found: _bound(F.split(text, pattern, -1), lambda pieces: summed(found, pieces))
     some = lambda found: F.when(F.size(found) > 0, split(found)).otherwise(none)
-    return F.when(guard, F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), some), F.lit(0))).otherwise(none)
+    return F.when(guard, _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), some)).otherwise(none)
+
+
+def _free(spans: Column) -> Column:
+    """Sorted spans without the ``mixed`` ones that touch a base span: one before that
+    ends later than they start, or the next one (mixed spans never meet each other)."""
+    mixed = KINDS.index("mixed")
+    ends = F.transform(spans, lambda s: F.when(s["kind"] < mixed, s["end"]).otherwise(0))
+
+    def kept(reach):
+        def free(s, i):
+            later = F.get(spans, i + 1)
+            touched = (F.get(reach, i) > s["start"]) | F.coalesce((later["kind"] < mixed) & (later["start"] < s["end"]), F.lit(False))
+            return (s["kind"] < mixed) | ~touched
+
+        return F.filter(spans, free)
+
+    return _bound(_before(ends, lambda x, y: F.greatest(x, y)), kept)
 
 
 def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -63,10 +107,9 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     run = t.rlike(RUN)
     access = F.filter(_spans(t, "access", ACCESS, t.contains("AKIA")), lambda s: F.length(value(s)) >= BASE["access"])
     tokens = F.filter(_spans(t, "mixed", RUN, run), lambda s: (F.length(value(s)) >= MIXED_LEN) & value(s).rlike("[0-9]") & value(s).rlike("[a-z]") & value(s).rlike("[A-Z]"))
-    df = df.withColumn("base", F.concat(secret, access, _spans(t, "hex", HEX_RUN, run))).withColumn("mixed", tokens)
-    free = F.expr("filter(mixed, m -> NOT exists(base, b -> b.start < m.end AND m.start < b.end))")
+    found = F.concat(secret, access, _spans(t, "hex", HEX_RUN, run), tokens)
     by_place = lambda x, y: F.when(x["start"] != y["start"], x["start"] - y["start"]).otherwise(x["kind"] - y["kind"])
-    return df.withColumn("spans", F.array_sort(F.concat("base", free), by_place)).drop("base", "mixed")
+    return df.withColumn("spans", _bound(F.array_sort(found, by_place), lambda spans: F.when(F.size(spans) > 0, _free(spans)).otherwise(spans)))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", copied_owners: int = 3) -> DataFrame:
@@ -96,7 +139,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def masked(text: str, spans: str, mark: str) -> Column:
     """The text with every span of the array column replaced by ``mark``; spans that
     overlap become one."""
-    step = f"""(acc, s) -> CASE
-        WHEN s.start >= acc.at THEN named_struct('at', s.end, 'out', concat(acc.out, substring({text}, acc.at + 1, s.start - acc.at), '{mark}'))
-        ELSE named_struct('at', greatest(acc.at, s.end), 'out', acc.out) END"""
-    return F.expr(f"aggregate({spans}, named_struct('at', 0, 'out', ''), {step}, acc -> concat(acc.out, substring({text}, acc.at + 1)))")
+    ends = F.transform(spans, lambda s: s["end"])
+
+    def joined(reach):
+        def piece(s, i):
+            before = F.get(reach, i)
+            return F.when(s["start"] >= before, F.concat(F.substring(text, before + 1, s["start"] - before), F.lit(mark))).otherwise("")
+
+        return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, F.array_max(ends) + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, _bound(_before(ends, lambda x, y: F.greatest(x, y)), joined)).otherwise(F.col(text))

@@ -385,3 +385,26 @@ def test_token_ids_of_long_white_space(monkeypatch):
     for _ in range(3000):
         text = "".join(r.choices(bits, k=r.randint(0, 12)))
         assert packing.token_ids(enc, text).tolist() == enc.encode(text)
+
+
+def test_secret_spans_of_one_long_text(spark):
+    """Spans of a text are found in time in proportion to them; touching ones merge."""
+    r = random.Random(0)
+    token = lambda: "Aq9Zx7Lm2Wk4Rt6Yp8" + "".join(r.choices("ABCdef0123", k=6))
+    bits = [b for _ in range(4000) for b in ("key", token(), f"token={token()}.{token()}", "0a" * 8, f"{'0a' * 8}{token()}", "é")]
+    frame = spark.createDataFrame([(0, " ".join(bits), "s", 0.0)], DOC)
+    got = secret_scan.scan_secrets(frame).join(frame.select("doc_id", "text"), "doc_id").select("spans", "text", secret_scan.masked("text", "spans", "#").alias("m")).first()
+    text, spans = got["text"], got["spans"]
+    assign = [(m.start(), m.end()) for m in re.finditer(secret_scan.ASSIGN, text) if len(m.group(2)) >= 12]
+    hexes = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 16]
+    assert [(s["start"], s["end"]) for s in spans if s["kind"] == "assign"] == assign
+    assert [(s["start"], s["end"]) for s in spans if s["kind"] == "hex"] == hexes
+    base = {x for a, b in assign + hexes for x in range(a, b)}
+    tokens = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text)]
+    assert [(s["start"], s["end"]) for s in spans if s["kind"] == "mixed"] == [t for t in tokens if not base & set(range(*t))]
+    want, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            want += [text[at : s["start"]], "#"]
+        at = max(at, s["end"])
+    assert got["m"] == "".join(want) + text[at:]
