@@ -12,7 +12,7 @@ never more output rows than left rows. ``strategy="sliced"`` partitions by
 (key, time slice) and carries the newest right row of earlier slices in
 through a small per-(key, slice) table, so a key that holds a third of all
 rows is spread over many tasks; keys too dense in time for ``slice_us`` get
-their own narrower slices (``skew.hot_widths``).
+slices cut by their own counts (``skew.hot_slices``).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..registry import DAY_US
-from .skew import hot_widths, slice_by, with_width
+from .skew import hot_slices, with_slice
 
 #: Lookup tables up to this many rows are broadcast; larger ones are shuffled.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -240,13 +240,13 @@ def asof_join(
         picked = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
         picked = picked.withColumn("__m", F.when(~_any_null(keys), F.col("__m")))
     elif strategy == "sliced":
-        # Slice width per key: ``slice_us``, narrower for keys too hot for it.
+        # Slices of ``slice_us``, cut where a key has too many rows in one.
         ku = u.withColumn("__key", F.struct(*keys))
-        widths = hot_widths(ku.filter(~_any_null(keys)), "__key", "__t", slice_us) if adaptive else None
+        levels = hot_slices(ku.filter(~_any_null(keys)), "__key", "__t", slice_us) if adaptive else []
 
         def sliced(df: DataFrame, ts: str) -> DataFrame:
             keyed = df if "__key" in df.columns else df.withColumn("__key", F.struct(*keys))
-            return with_width(keyed, "__key", widths, slice_us).withColumn("__s", slice_by(ts, "__w")).drop("__w", "__key")
+            return with_slice(keyed, "__key", ts, levels, slice_us, "__s").drop("__key")
 
         u = sliced(ku, "__t").withColumn("__s", F.coalesce(F.col("__s"), F.lit(-(2**62))))
         w = Window.partitionBy(*keys, "__s", "__salt").orderBy("__t", "__side", "__r").rowsBetween(Window.unboundedPreceding, 0)

@@ -1,55 +1,70 @@
-"""Hot-key handling shared by the sliced window and as-of forms.
+"""Hot-key handling shared by the split window and as-of forms.
 
-Time slicing spreads a key over ``span / width`` window partitions; a key
-that is dense in time still fills one. ``hot_widths`` finds the keys with
-more rows than a task should hold and gives each its own, narrower slice
-width, so rows per ``(key, slice)`` stay near ``target_rows``.
+Time slicing spreads a key over ``span / width`` window partitions; a burst of one
+key still fills one. ``hot_slices`` finds the ``(key, slice)`` groups with more rows
+than a task should hold and refines them from counts: a hot slice is cut into ``FAN``
+equal parts, neighbours are put together again up to half of ``target_rows``, and a
+part that alone exceeds that is refined in turn, down to one microsecond. So slices
+are about equally deep wherever the rows stand, and only rows of one key and one
+microsecond cannot be parted.
 
-The widths stay a distributed table, one row per hot key however many there
-are, joined on the key. Results never depend on the widths (the slice only
-chooses the task), so this is purely a balancing decision.
+A level has at most ``2 * rows / target_rows`` slices of at most ``FAN`` bounds. It
+stays a distributed table, joined on (key, slice). Results never depend on the
+slices (they only choose the task), so this is purely a balancing decision.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 TARGET_ROWS = 2_000_000
+#: Parts of a hot slice per level: a slice of 7 days is down to 1 microsecond after 5.
+FAN = 256
+
+
+def _start(ts_us: str, base_us: int) -> Column:
+    """Where the base slice of a time begins (also before 1970)."""
+    return F.expr(f"`{ts_us}` - pmod(`{ts_us}`, {int(base_us)})")
+
+
+def _same(key: str) -> Column:
+    return F.col(f"__l.{key}").eqNullSafe(F.col(f"__r.{key}")) & (F.col("__l.__from") == F.col("__r.__from"))
+
+
+def hot_slices(df: DataFrame, key: str, ts_us: str, base_us: int, *, target_rows: int | None = None) -> list[DataFrame]:
+    """Levels of ``(key, __from, __bounds)``: the slice that begins at ``__from`` falls
+    into the ones that begin at ``__bounds``. Empty when no slice is hot, which one job
+    finds out. ``key`` is one (struct) column; rows without a time are in no slice."""
+    target, width = int(target_rows or TARGET_ROWS), int(base_us)
+    rows = df.filter(F.col(ts_us).isNotNull()).select(key, F.col(ts_us).alias("__t"), _start(ts_us, width).alias("__from"))
+    hot = rows.groupBy(key, "__from").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > target).select(key, "__from")
+    levels: list[DataFrame] = []
+    while width > 1 and not hot.isEmpty():
+        width = -(-width // FAN)
+        part = F.expr(f"__from + ((__t - __from) div {width}) * {width}")
+        inside = rows.alias("__l").join(hot.alias("__r"), _same(key), "left_semi").withColumn("__part", part)
+        # At most FAN rows per hot slice; stored, since bounds and the next level read them.
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = inside.groupBy(key, "__from", "__part").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        before = F.sum("n").over(Window.partitionBy(key, "__from").orderBy("__part")) - F.col("n")
+        heavy = F.col("n") * 2 > target
+        groups = counts.select(key, "__from", "__part", F.floor(before * 2 / target).alias("__g"), heavy.alias("__heavy"))
+        bounds = groups.groupBy(key, "__from", "__g", "__heavy").agg(F.min("__part").alias("__part"))
+        levels.append(bounds.groupBy(key, "__from").agg(F.collect_list("__part").alias("__bounds")))
+        hot = counts.filter(heavy).select(key, F.col("__part").alias("__from"))
+        rows = inside.select(key, "__t", F.col("__part").alias("__from"))
+    return levels
 
 
-def hot_widths(
-    df: DataFrame,
-    key: str,
-    ts_us: str,
-    base_us: int,
-    *,
-    target_rows: int | None = None,
-) -> DataFrame | None:
-    """A ``(key, __w)`` table of per-key slice widths, or None
-    when no key is hot. ``key`` is one (struct) column."""
-    target_rows = int(target_rows or TARGET_ROWS)
-    stats = df.filter(F.col(ts_us).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(ts_us).alias("lo"), F.max(ts_us).alias("hi")
-    )
-    hot = stats.filter(F.col("n") > F.lit(target_rows))
-    if hot.isEmpty():
-        return None
-    span = F.col("hi") - F.col("lo") + 1
-    width = F.floor(span.cast("decimal(38,0)") * target_rows / F.col("n")).cast("long")
-    return hot.select(key, F.greatest(F.lit(1).cast("long"), F.least(F.lit(int(base_us)).cast("long"), width)).alias("__w"))
-
-
-def with_width(df: DataFrame, key: str, widths: DataFrame | None, base_us: int, out: str = "__w") -> DataFrame:
-    """Attach each row's slice width (base width unless the key is hot)."""
-    if widths is None:
-        return df.withColumn(out, F.lit(int(base_us)))
-    w = widths.withColumnRenamed("__w", "__hw")
-    same = F.col(f"__l.{key}").eqNullSafe(F.col(f"__r.{key}"))
-    both = df.alias("__l").join(w.alias("__r"), same, "left").select("__l.*", "__r.__hw")
-    return both.withColumn(out, F.coalesce(F.col("__hw"), F.lit(int(base_us)))).drop("__hw")
-
-
-def slice_by(ts_us: str, width: str) -> Column:
-    """Floor division of epoch micros by a per-row width column (correct for negatives)."""
-    return F.expr(f"(`{ts_us}` - pmod(`{ts_us}`, `{width}`)) div `{width}`")
+def with_slice(df: DataFrame, key: str, ts_us: str, levels: list[DataFrame], base_us: int, out: str) -> DataFrame:
+    """Attach where each row's slice begins; it names the slice within its key, and
+    slices of a key are in time order by it. Null for a row without a time."""
+    df = df.withColumn("__from", _start(ts_us, base_us))
+    for level in levels:
+        both = df.alias("__l").join(level.alias("__r"), _same(key), "left").select("__l.*", "__r.__bounds")
+        inner = F.array_max(F.filter("__bounds", lambda b: b <= F.col(ts_us)))
+        df = both.withColumn("__from", F.coalesce(inner, F.col("__from"))).drop("__bounds")
+    return df.withColumnRenamed("__from", out)

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..registry import CUMULATIVE, DAY_US, ROLLING, FeatureView, Registry, feature_name
-from .skew import hot_widths, slice_by, with_width
+from .skew import hot_slices, with_slice
 
 _INTEGRAL = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 UNBOUNDED = Window.unboundedPreceding
@@ -137,9 +137,9 @@ def _split_table(
             *[F.lit(None).cast("long").alias(m) for m in meas],
         )
         parts = data.unionByName(probe)
-    # Sub-slice width per key: ``sub_us``, narrower for keys too hot for it.
-    widths = hot_widths(reduced, "__key", ts_us, sub_us) if adaptive else None
-    u = with_width(parts, "__key", widths, sub_us).withColumn("__b", slice_by("__t", "__w")).drop("__w")
+    # Sub-slices of ``sub_us``, cut where a key has too many events and probes in one.
+    levels = hot_slices(parts, "__key", "__t", sub_us) if adaptive else []
+    u = with_slice(parts, "__key", "__t", levels, sub_us, "__b")
     # Exclusive prefix inside the row's own sub-slice ...
     w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(UNBOUNDED, -1)
     within = u.withColumns({f"__p{m}": F.coalesce(F.sum(m).over(w), F.lit(0).cast("long")) for m in meas})

@@ -67,8 +67,8 @@ def test_asof_sliced_hot_key_equals_direct(spark, monkeypatch):
     right = spark.createDataFrame(
         [(0 if i < 150 else rng.randint(1, 3), rng.randint(0, 1000), float(i)) for i in range(200)], "k long, ts_us long, v double"
     )
-    widths = skew.hot_widths(right.withColumn("__key", F.struct("k")), "__key", "ts_us", 500)
-    assert widths is not None and widths.first()["__w"] < 500
+    levels = skew.hot_slices(right.withColumn("__key", F.struct("k")), "__key", "ts_us", 500)
+    assert levels and levels[0].filter("size(__bounds) > 1").count()
     a = asof_join(left, right, ["k"], ["v"], strategy="direct").select("id", "v")
     b = asof_join(left, right, ["k"], ["v"], strategy="sliced", slice_us=500).select("id", F.col("v").alias("w"))
     rows = a.join(b, "id").collect()

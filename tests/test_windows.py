@@ -115,17 +115,56 @@ def test_split_hot_key_and_hot_tie_group(spark, monkeypatch, hot_rows, sub_days)
         assert all((x.r is None and x.r2 is None) or abs(x.r - x.r2) < 1e-12 for x in j), fn.__name__
 
 
-def test_hot_widths_bounded(spark):
-    from chronoframe.operators.skew import hot_widths
+def _depths(df, target, base):
+    from chronoframe.operators.skew import hot_slices, with_slice
 
+    keyed = df.withColumn("__key", F.struct("user_id"))
+    levels = hot_slices(keyed, "__key", "ts_us", base, target_rows=target)
+    got = with_slice(keyed, "__key", "ts_us", levels, base, "__b")
+    assert got.count() == df.count() and got.columns == [*keyed.columns, "__b"]
+    return levels, got
+
+
+def test_hot_slices_bounded(spark):
     rows = [(1, d % 30, 1) for d in range(300)] + [(k, 0, 1) for k in range(2, 60)]
-    df = frame(spark, rows).withColumn("__key", F.struct("user_id"))
-    w = hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=50)
-    got = w.collect()
-    assert [r["__key"]["user_id"] for r in got] == [1]
-    # 300 rows over 30 days at 50 rows per slice: about 5 days wide
-    assert 4 * DAY_US <= got[0]["__w"] <= 5 * DAY_US
-    assert hot_widths(df, "__key", "ts_us", 7 * DAY_US, target_rows=1000) is None
+    df = frame(spark, rows)
+    levels, got = _depths(df, 50, 30 * DAY_US)
+    deep = {r["__b"]: r["count"] for r in got.filter("user_id = 1").groupBy("__b").count().collect()}
+    assert levels and max(deep.values()) <= 50 and sum(deep.values()) == 300
+    assert got.filter("user_id > 1").select("__b").distinct().count() == 1
+    assert _depths(df, 1000, 30 * DAY_US)[0] == []
+
+
+def test_burst_of_a_key_is_cut_by_its_counts(spark):
+    """290 of 300 events of a key within 290 microseconds of three weeks: no slice holds
+    more than the target, slices follow the time, and every strategy agrees."""
+    from chronoframe.operators import skew
+
+    burst = 20 * DAY_US + 12345
+    times = [d * DAY_US * 2 for d in range(10)] + [burst + i for i in range(290)]
+    df = spark.createDataFrame([(1, t, i % 2) for i, t in enumerate(times)] + [(None, 5, 1), (2, None, 1), (2, -7, 1)], "user_id long, ts_us long, c int")
+    levels, got = _depths(df, 20, 7 * DAY_US)
+    assert len(levels) > 1
+    one = sorted((r.ts_us, r["__b"]) for r in got.filter("user_id = 1").collect())
+    assert [b for _, b in one] == sorted(b for _, b in one) and all(b <= t for t, b in one)
+    counts = {b: sum(x == b for _, x in one) for _, b in one}
+    assert max(counts.values()) <= 20 and len(counts) <= 4 * 300 // 20
+    assert got.filter("ts_us is null").first()["__b"] is None
+
+    old, skew.TARGET_ROWS = skew.TARGET_ROWS, 20
+    try:
+        for fn, kw in [(rolling_mean, dict(window_us=7 * DAY_US)), (cumulative_sum, {})]:
+            a = fn(df, ["user_id"], ["c"], names=["r"], strategy="direct", **kw)
+            b = fn(df, ["user_id"], ["c"], names=["r"], strategy="split", **kw)
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect())), fn.__name__
+    finally:
+        skew.TARGET_ROWS = old
+
+
+def test_ties_deeper_than_the_target_keep_one_slice(spark):
+    df = spark.createDataFrame([(1, 77, 1)] * 100 + [(1, 78, 1)] * 3 + [(1, 76, 1)] * 3, "user_id long, ts_us long, c int")
+    _, got = _depths(df, 10, DAY_US)
+    assert sorted((r["__b"], r["count"]) for r in got.groupBy("__b").count().collect())[1:] == [(77, 100), (78, 3)]
 
 
 def test_auto_picks_split_only_for_the_hot_view(spark, monkeypatch):
