@@ -3,25 +3,41 @@
 One logistic head per binary target (positive rows weighted) and one Huber
 linear head for the continuous target, each fitted on the rows where its
 label is valid. Inputs: the served features in contract order, zero-filled,
-plus one-hot hash buckets. Model selection keeps the regularisation value
-with the lowest combined validation loss (D6).
+plus the ids' hash buckets, one-hot or (``width`` given) hashed into that many places,
+so that a head does not grow with the ids. Model selection keeps the regularisation
+value with the lowest combined validation loss (D6).
+
+A :class:`Bundle` is what scoring from ids needs, saved as one folder: bucket sizes of
+the training split, the encoder and the heads.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.buckets import bucket_size_map
+from ..operators.latest import online_lookup
 from ..operators.metrics import combined_loss, to_long
+from ..operators.sampling import neg_sample_exact
+from ..registry import Registry
+from .training import training_table, with_buckets
+
+#: Places for hashed ids: 8 bytes each in every head, which the driver holds.
+MAX_WIDTH = 1 << 20
+
+
+HASHED = "__hashed_ids"
 
 
 @dataclass
@@ -33,13 +49,19 @@ class Heads:
     reg_param: float
 
 
-def _prep(features: Sequence[str], categorical: Sequence[str], bucket_sizes: dict[str, int]) -> Pipeline:
-    """Zero-filled continuous inputs + one-hot buckets (widths from D1)."""
+def _prep(features: Sequence[str], categorical: Sequence[str], width: int | None = None) -> Pipeline:
+    """Zero-filled continuous inputs + buckets: one-hot, or hashed into ``width`` places."""
+    if width is not None and not 2 <= width <= MAX_WIDTH:
+        raise ValueError(f"width must be between 2 and {MAX_WIDTH}, not {width}")
     stages = []
     onehots = []
-    for c in categorical:
-        stages.append(OneHotEncoder(inputCol=c, outputCol=f"{c}_oh", dropLast=False, handleInvalid="keep"))
-        onehots.append(f"{c}_oh")
+    if width is not None and categorical:
+        stages.append(FeatureHasher(inputCols=list(categorical), outputCol=HASHED, numFeatures=width, categoricalCols=list(categorical)))
+        onehots.append(HASHED)
+    else:
+        for c in categorical:
+            stages.append(OneHotEncoder(inputCol=c, outputCol=f"{c}_oh", dropLast=False, handleInvalid="keep"))
+            onehots.append(f"{c}_oh")
     stages.append(VectorAssembler(inputCols=[*features, *onehots], outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 
@@ -68,7 +90,7 @@ def fit_heads(
     ``prep`` / ``prepared`` (the fitted preparation and ``train`` transformed
     by it) can be passed in to share them across several fits.
     """
-    prep = prep or _prep(features, categorical, {}).fit(train)
+    prep = prep or _prep(features, categorical).fit(train)
     x = prepared if prepared is not None else prep.transform(assemble(train, features)).persist()
 
     def fit_binary(t):
@@ -104,7 +126,7 @@ def score(df: DataFrame, prep: PipelineModel, heads: Heads) -> DataFrame:
         tmp += [f"__raw_{t}", f"__prob_{t}", f"__lab_{t}"]
     for t, m in heads.continuous.items():
         x = m.copy().setFeaturesCol("features").setPredictionCol(f"pred_{t}").transform(x)
-    return x.drop("features", *tmp, *[f"{c}_oh" for c in heads.categorical])
+    return x.drop("features", HASHED, *tmp, *[f"{c}_oh" for c in heads.categorical])
 
 
 def validation_loss(scored: DataFrame, heads: Heads, pos_weight: float = 2.0) -> float:
@@ -124,11 +146,12 @@ def select_heads(
     continuous_targets: Sequence[str],
     grid: Sequence[float] = (0.0, 0.01),
     pos_weight: float = 2.0,
+    width: int | None = None,
 ) -> tuple[PipelineModel, Heads, dict]:
     """Fit per grid value, keep the lowest validation loss, report all."""
     best, report = None, {}
     # One preparation and one persisted training frame serve every grid value.
-    prep = _prep(features, categorical, {}).fit(train)
+    prep = _prep(features, categorical, width).fit(train)
     x = prep.transform(assemble(train, features)).persist()
     try:
         for reg in grid:
@@ -143,3 +166,70 @@ def select_heads(
     finally:
         x.unpersist()
     return best[0], best[1], report
+
+
+@dataclass
+class Bundle:
+    """Sizes of the training split, encoder and heads: what :func:`score_ids` needs."""
+
+    sizes: dict[str, int]
+    width: int
+    prep: PipelineModel
+    heads: Heads
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write a new folder; its description comes last, so a folder that has one is whole."""
+        self.prep.save(f"{path}/prep")
+        h = self.heads
+        for t, m in {**h.binary, **h.continuous}.items():
+            m.save(f"{path}/head_{t}")
+        about = {"sizes": self.sizes, "width": self.width, "features": h.features, "categorical": h.categorical, "binary": list(h.binary), "continuous": list(h.continuous), "reg_param": h.reg_param}
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/about")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Bundle:
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        binary = {t: LogisticRegressionModel.load(f"{path}/head_{t}") for t in about["binary"]}
+        continuous = {t: LinearRegressionModel.load(f"{path}/head_{t}") for t in about["continuous"]}
+        for t, m in {**binary, **continuous}.items():
+            if m.numFeatures != len(about["features"]) + about["width"]:
+                raise ValueError(f"the head of {t} takes {m.numFeatures} inputs, the encoder gives {len(about['features'])} + {about['width']}")
+        heads = Heads(about["features"], about["categorical"], binary, continuous, about["reg_param"])
+        return cls(about["sizes"], about["width"], PipelineModel.load(f"{path}/prep"), heads)
+
+
+def training_rows(log: DataFrame, registry: Registry, *, end: str, ts: str = "ts") -> tuple[DataFrame, dict[str, int]]:
+    """The training table of the whole log with bucket sizes pinned to the rows
+    before ``end``: later ids share those buckets."""
+    sizes = bucket_size_map(log.filter(F.col(ts) < F.lit(end).cast(log.schema[ts].dataType)), registry.bucket_sources)
+    return training_table(log, registry, sizes=sizes), sizes
+
+
+def fit_bundle(
+    train: DataFrame,
+    valid: DataFrame,
+    registry: Registry,
+    sizes: dict[str, int],
+    *,
+    width: int = 1 << 12,
+    negatives: float = 1.0,
+    signals: Sequence[str] | None = None,
+    id_cols: Sequence[str] = (),
+    grid: Sequence[float] = (0.0, 0.01),
+) -> Bundle:
+    """Sample the training rows without any of ``signals`` (B11), fit a head per
+    target, keep the regularisation with the lowest validation loss."""
+    kept = neg_sample_exact(train, list(signals or registry.signals), list(id_cols), negatives)
+    prep, heads, _ = select_heads(kept, valid, registry.served, registry.bucket_columns, registry.binary_targets, registry.continuous_targets, grid=grid, width=width)
+    return Bundle(sizes, width, prep, heads)
+
+
+def score_ids(requests: DataFrame, latest: dict, bundle: Bundle, registry: Registry) -> DataFrame:
+    """Score rows that hold ids only. Features are the latest values of every view
+    (``latest``: key columns -> table; unknown ids and nulls get 0.0), ids fall into the
+    buckets of the training split; every request gives one row."""
+    if missing := set(registry.bucket_sources) - set(bundle.sizes):
+        raise ValueError(f"the bundle has no bucket size for {sorted(missing)}")
+    x = with_buckets(online_lookup(requests, latest, bundle.heads.features), registry, bundle.sizes)
+    return score(x, bundle.prep, bundle.heads)
