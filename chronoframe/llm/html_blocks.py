@@ -28,150 +28,141 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _spark as S
-from .warc import restarted
+from ._html import attributes, tokens
 
-#: Elements without main text. RAW ones hold no tags and run to the page's end if
-#: unclosed; an unclosed NESTED one is a tag like any other.
-RAW = "script style textarea title iframe".split()
-NESTED = set("noscript template select svg".split())
-FOREIGN = {"svg", "math"}
+#: Elements without main text, and those with a syntax of their own.
+RAW, NESTED = frozenset("script style textarea title iframe".split()), frozenset("noscript template select svg".split())
+FOREIGN = frozenset(["svg", "math"])
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An open element that a start tag of one of the named kinds ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = {"ul", "ol", "menu", "dl", "table", "article", "aside", "nav", "section", "div", "td", "main"}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
-_ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+#: Elements that say where main text is, in the pages to train on.
+MARKS = frozenset("article main nav aside footer form".split())
+PATHS, WORDS = 1024, 512
+COUNTS = 8
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    """``path``: ids of the features of all open tags; ``inside``: which MARKS are open."""
+
+    path: list[int]
     text: str
     linked: int
-    names: tuple = ()
-
-
-_RAW_TAG = re.compile(r"<[^>]*>")
-
-
-def _tokens(page: str):
-    """Matches of _TOKEN outside of hidden elements; a closed one is None."""
-    found, opened, depth = [], [], 0
-
-    def again(m):
-        # In an svg or math, <title/> and its like are whole elements.
-        if depth and m["raw"] and (tag := _RAW_TAG.match(page, m.start())) and tag[0].endswith("/>"):
-            return tag.end()
-
-    hidden = []
-    for m in restarted(_TOKEN, page, again):
-        tag = (m["tag"] or "").lower()
-        if tag in NESTED or tag in FOREIGN:
-            if not m["end"]:
-                if not (tag in FOREIGN and m["attr"].endswith("/")):
-                    opened.append((tag, len(found)))
-                    depth += tag in FOREIGN
-            elif any(t == tag for t, _ in opened):
-                while True:
-                    t, at = opened.pop()
-                    depth -= t in FOREIGN
-                    if t == tag:
-                        break
-                if tag in NESTED:
-                    while hidden and hidden[-1][0] >= at:
-                        hidden.pop()
-                    hidden.append((at, len(found)))
-        found.append(m)
-    at = 0
-    for start, end in hidden:
-        yield from found[at:start]
-        yield None
-        at = end + 1
-    yield from found[at:]
+    inside: set = frozenset()
+
+
+@lru_cache(1 << 16)
+def _hash(word: str, size: int) -> int:
+    return 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (size - 1)
+
+
+#: What a start tag ends, and where looking for it stops.
+_CLOSES = {tag: (ENDS.get(tag, set()) | {"p"}, SCOPE - ENDS.get(tag, set())) for tag in BLOCK}
+
+
+@lru_cache(1 << 14)
+def _step(outer: str, tag: str) -> tuple[int, ...]:
+    return (_hash("t:" + tag, PATHS), _hash(f"{outer}>{tag}", PATHS))
+
+
+class _Open:
+    """The open elements and, kept as they open and close, the ids of their path."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str, tuple[int, ...]]] = []  # tag, innermost tag of the path, ids
+        self.at: dict[str, list[int]] = {}  # open tags only
+        self.ids: dict[int, int] = {}
+
+    def last(self, tags) -> int:
+        """Where the innermost of ``tags`` is open; -1: nowhere."""
+        return max((self.at[t][-1] for t in tags if t in self.at), default=-1)
+
+    def push(self, tag: str, ids: tuple[int, ...]) -> None:
+        outer = self.stack[-1][1] if self.stack else ""
+        if tag not in ("html", "body"):
+            ids += _step(outer, tag)
+            outer = tag
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, outer, ids))
+        for x in ids:
+            self.ids[x] = self.ids.get(x, 0) + 1
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag, _, ids = self.stack.pop()
+            at = self.at[tag]
+            at.pop()
+            if not at:
+                del self.at[tag]
+            for x in ids:
+                if self.ids[x] == 1:
+                    del self.ids[x]
+                else:
+                    self.ids[x] -= 1
+
+    def path(self) -> list[int]:
+        return sorted({*self.ids, _hash((self.stack[-1][1] if self.stack else "") + ">", PATHS)})
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order; text decoded, its white space single and trimmed."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    opened = _Open()
     parts: list[str] = []
-    links = linked = 0
+    linked = 0
 
     def flush():
         nonlocal linked
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                out.append(Block(tuple(t for t, _ in stack), text, linked, tuple(w for _, ws in stack for w in ws)))
+                out.append(Block(opened.path(), text, linked, MARKS & opened.at.keys()))
             parts.clear()
         linked = 0
 
-    for m in _tokens(page):
-        if m is None:
-            parts.append(" ")
-        elif (text := m["text"]) is not None:
-            text = html.unescape(text)
+    for kind, tag, value, _ in tokens(page, RAW, NESTED, FOREIGN):
+        if kind == "text":
+            text = html.unescape(value)
             parts.append(text)
-            linked += len(text.strip()) if links else 0
-        elif (tag := m["tag"]) is None:
-            if m["raw"]:
-                parts.append(" ")
-        else:
-            tag = tag.lower()
+            linked += len(text.strip()) if "a" in opened.at else 0
+        elif kind == "hidden":
+            parts.append(" ")
+        elif kind in ("start", "end"):
             if tag in BLOCK:
                 flush()
-            if m["end"]:
-                if any(t == tag for t, _ in stack):
-                    while True:
-                        t, _ = stack.pop()
-                        links -= t == "a"
-                        if t == tag:
-                            break
+            if kind == "end":
+                if tag in opened.at:
+                    opened.cut(opened.at[tag][-1])
                 continue
             if tag == "br":
                 parts.append(" ")
             if tag in BLOCK:
-                closes = ENDS.get(tag, set()) | {"p"}
-                for i in range(len(stack) - 1, -1, -1):
-                    t = stack[i][0]
-                    if t in closes:
-                        links -= sum(x == "a" for x, _ in stack[i:])
-                        del stack[i:]
-                        if t != "p":
-                            break
-                    elif t in SCOPE:
+                closes, scope = _CLOSES[tag]
+                while (at := opened.last(closes)) >= 0 and at > opened.last(scope):
+                    ended = opened.stack[at][0]
+                    opened.cut(at)
+                    if ended != "p":
                         break
-            if tag in VOID or m["attr"].endswith("/") and tag not in BLOCK and tag != "a":
+            if tag in VOID or value.endswith("/") and tag not in BLOCK and tag != "a":
                 continue
-            words = tuple(f"{m2[1].lower()[0]}:{w}" for m2 in _ATTR.finditer(m["attr"]) for w in _WORD.findall((m2[2] or m2[3] or m2[4] or "").lower()))
-            stack.append((tag, words))
-            links += tag == "a"
+            named = [x for x in attributes(value) if x[0] in ("class", "id", "role")] if "=" in value else ()
+            opened.push(tag, tuple(_hash(f"{k[0]}:{w}", PATHS) for k, v in named for w in _WORD.findall(v.lower())))
     flush()
     return out
 
 
-PATHS, WORDS = 1024, 512
-COUNTS = 8
-
-
-@lru_cache(1 << 16)
-def _hash(word: str, size: int) -> int:
-    return 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (size - 1)
-
-
 def features(page: list[Block]) -> tuple[list[list[int]], list[dict[int, float]], np.ndarray]:
     """Per block: ids of its whole path, shares of the ids of all its words, counts."""
     paths, words, counts = [], [], np.zeros((len(page), COUNTS))
     for i, b in enumerate(page):
-        tags = [t for t in b.path if t not in ("html", "body")]
-        paths.append(sorted({_hash("t:" + t, PATHS) for t in tags} | {_hash(w, PATHS) for w in b.names} | {_hash(f"{a}>{b}", PATHS) for a, b in zip(["", *tags], [*tags, ""])}))
+        paths.append(b.path)
         found = b.text.lower().split()
         words.append({w: k / len(found) for w, k in Counter(_hash(w.strip(".,;:!?()\"'"), WORDS) for w in found).items()} or {0: 1.0})
         n = len(b.text)
@@ -473,7 +464,7 @@ def fit(sample: list[str], made_pages: int = 1000, seed: int = 11, epochs: int =
         if got and marked:
             box = "article" if "article" in marked else "main"
             pages.append(features(got))
-            labels.append([int(box in b.path and not set(b.path) & {"nav", "aside", "footer", "form"}) for b in got])
+            labels.append([int(box in b.inside and not b.inside & {"nav", "aside", "footer", "form"}) for b in got])
         sentences += [html.escape(b.text[:400]) for b in got if len(b.text) > 20][:20]
     real, maker = len(pages), _Maker(sentences, seed)
     for _ in range(made_pages):
@@ -484,10 +475,15 @@ def fit(sample: list[str], made_pages: int = 1000, seed: int = 11, epochs: int =
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_pages: int = 300, **options) -> Labeller:
     """Fit the labeller; ``fit_pages`` pages, the first by a hash of their id, are the
-    bound of what reaches the driver."""
+    bound of what reaches the driver. Tasks send hashes first, then only the picked pages,
+    each once however often it is repeated."""
     S.text_batches(pages.sparkSession)
     some = pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html"), F.xxhash64(F.col(id_col).cast("string"), F.xxhash64(html_col)).alias("h"))
-    return fit([r["html"] for r in some.orderBy("h").limit(fit_pages).collect()], **options)
+    picked = [r["h"] for r in some.select("h").orderBy("h").limit(fit_pages).collect()]
+    if not picked:
+        return fit([], **options)
+    whole = {r["h"]: r["html"] for r in some.where(F.col("h") <= picked[-1]).groupBy("h").agg(F.first("html").alias("html")).collect()}
+    return fit([whole[h] for h in picked], **options)
 
 
 def extract(pages: DataFrame, model: Labeller, html_col: str = "html") -> DataFrame:

@@ -14,71 +14,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _spark as S
+from ._html import Token, attributes, tokens
 
 #: Elements that begin and end a line of plain text, and those whose content is no text.
-LINES = "address article aside blockquote body br caption dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section select table tbody td tfoot th thead title tr ul".split()
-#: RAW ones hold no tags and run to the page's end if unclosed; an unclosed NESTED one is a tag like any other.
-RAW, NESTED = "script style textarea".split(), "noscript template svg".split()
-_SILENT = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>" + "|".join(NESTED) + r")(?=[\s/>])[^>]*>", re.I | re.S)
-_RAW_TAG = re.compile(r"<[^>]*>")
-_LINE = re.compile(r"</?(?:" + "|".join(LINES) + r")(?![A-Za-z0-9-])[^>]*>", re.I)
-_TAG = re.compile(r"<[!/?A-Za-z][^>]*(?:>|\Z)")
-_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-
-
-def restarted(pattern: re.Pattern, source: str, again):
-    """Matches in turn; after one for which ``again`` gives a position, from there."""
-    found = pattern.finditer(source)
-    while (m := next(found, None)) is not None:
-        if (at := again(m)) is not None:
-            found = pattern.finditer(source, at)
-        else:
-            yield m
-
-
-def _visible(source: str) -> str:
-    """``source`` with a space for every comment and silent element."""
-    spans, stack, foreign = [], [], 0
-
-    def again(m):
-        # In an svg, <style/> and its like are whole elements.
-        if foreign and m["raw"] and (tag := _RAW_TAG.match(source, m.start())) and tag[0].endswith("/>"):
-            return tag.end()
-
-    for m in restarted(_SILENT, source, again):
-        if (name := m["name"]) is None:
-            spans.append(m.span())
-            continue
-        name = name.lower()
-        if name == "svg" and m[0].endswith("/>"):
-            spans.append(m.span())
-        elif not m["end"]:
-            stack.append((name, m.start()))
-            foreign += name == "svg"
-        elif any(x == name for x, _ in stack):
-            while True:
-                x, start = stack.pop()
-                foreign -= x == "svg"
-                if x == name:
-                    break
-            spans.append((start, m.end()))
-    out, at = [], 0
-    for start, end in sorted(spans):
-        if start >= at:
-            out += [source[at:start], " "]
-        at = max(at, end)
-    return "".join([*out, source[at:]])
+LINES = frozenset("address article aside blockquote body br caption dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section select table tbody td tfoot th thead title tr ul".split())
+RAW, NESTED, FOREIGN = frozenset("script style textarea".split()), frozenset("noscript template svg".split()), frozenset(["svg"])
+_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
+_TITLE_END = re.compile(r"</title\s*>", re.I)
+_LANG = re.compile(r"[A-Za-z0-9-]+")
+
+
+def _tokens(source: str) -> list[Token]:
+    return tokens(source, RAW, NESTED, FOREIGN)
+
+
+def _lines(found: list[Token]) -> str:
+    lines: list[list[str]] = [[]]
+    for kind, name, value, _ in found:
+        if kind == "text":
+            lines[-1].append(value)
+        elif kind in ("gap", "hidden") or kind == "start" and name in FOREIGN and value.endswith("/"):
+            lines[-1].append(" ")
+        elif name in LINES:
+            lines.append([])
+    whole = (_SPACE.sub(" ", html.unescape(_SPACE.sub(" ", "".join(x)))).strip() for x in lines if x)
+    return "\n".join(x for x in whole if x)
 
 
 def plain_text(source: str) -> str:
     """Visible text: one line per block, character references decoded, white space in a
     line made one space, no empty lines."""
-    source = _visible(source)
-    lines = (_SPACE.sub(" ", html.unescape(_TAG.sub("", x))).strip() for x in _LINE.split(_SPACE.sub(" ", source)))
-    return "\n".join(x for x in lines if x)
+    return _lines(_tokens(source))
+
+
+def _about(source: str, found: list[Token]) -> tuple[str, str, list[str]]:
+    """Title, language and links in page order; comments and elements without text have none."""
+    title = lang = None
+    links = []
+    for kind, name, value, at in found:
+        if kind != "start":
+            continue
+        if name == "title" and title is None:
+            end = _TITLE_END.search(source, at)
+            title = html.unescape(source[at : end.start()]) if end else ""
+        elif name == "html" and lang is None:
+            m = _LANG.match(dict(reversed(attributes(value))).get("lang", ""))
+            lang = m[0] if m else None
+        elif name == "a" and (href := next((v for k, v in attributes(value) if k == "href"), None)) is not None:
+            links.append(html.unescape(href))
+    return title or "", lang or "", links
 
 
 def digest(data: bytes) -> str:
@@ -108,14 +92,14 @@ def _clean(value: str | None) -> str:
 
 def derived(rid: str, uri: str, date: str, http: str, payload: str) -> list[dict]:
     """The metadata and the conversion record of one response."""
-    raw, text = payload.encode("utf-8", "surrogatepass"), plain_text(payload).encode("utf-8", "surrogatepass")
+    found = _tokens(payload)
+    raw, text = payload.encode("utf-8", "surrogatepass"), _lines(found).encode("utf-8", "surrogatepass")
     source = digest(raw)
     ids = {kind: record_id(kind, rid) for kind in ("metadata", "conversion")}
-    title, lang = _TITLE.search(payload), _LANG.search(payload)
-    links = [html.unescape(next(filter(None, m), "")) for m in _HREF.findall(payload)]
+    title, lang, links = _about(payload, found)
     status, *fields = [x for x in http.replace("\r\n", "\n").split("\n") if x.strip()] or [""]
     lines = [("sourceStatus", status), *((f"sourceHeader-{k.strip()}", v) for k, _, v in (f.partition(":") for f in fields))]
-    lines += [("title", html.unescape(title[1]) if title else ""), ("language", lang[1] if lang else ""), *(("outlink", x) for x in links)]
+    lines += [("title", title), ("language", lang), *(("outlink", x) for x in links)]
     about = "".join(f"{k}: {_clean(v)}\r\n" for k, v in lines if _clean(v)).encode("utf-8", "surrogatepass")
     out = []
     for kind, block, mime, other in (("metadata", about, "application/warc-fields", "conversion"), ("conversion", text, "text/plain; charset=utf-8", "metadata")):

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -408,3 +409,53 @@ def test_secret_spans_of_one_long_text(spark):
             want += [text[at : s["start"]], "#"]
         at = max(at, s["end"])
     assert got["m"] == "".join(want) + text[at:]
+
+
+BROKEN = {
+    "open quotes": '<a "' * 100_000, "open tags": "<a " * 100_000, "open values": '<a href="' * 100_000, "titles": "<title>" * 100_000,
+    "hidden ends": "<a b='>=' c='>='" * 20_000, "tags by their quotes": '<p class="x>one' * 20_000, "svg": "<svg>" * 20_000 + "</select>" * 20_000,
+    "deep": "<div>" * 20_000 + "x" + "</div>" * 20_000, "deep blocks": "".join(f"<div class=c{i}>t{i}" for i in range(3000)),
+    "lines in many spans": "<span>" * 10_000 + "<p>x" * 10_000, "scripts": "<script>" * 100_000, "starts": "<" * 100_000, "languages": "<html lang" * 50_000,
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_broken_markup_takes_linear_time(name):
+    t0 = time.monotonic()
+    warc.derived("<r>", "u", "d", "h", BROKEN[name])
+    found = html_blocks.blocks(BROKEN[name])
+    html_blocks.features(found)
+    assert time.monotonic() - t0 < 10
+    if name in ("deep blocks", "lines in many spans"):
+        assert len(found) == (3000 if name == "deep blocks" else 10_000)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p class="x>one', "one"),
+        ('<p title="a > b">one</p>', "one"),
+        ("<p title='<b>'>one<p>a < b <i", "one|a < b"),
+        ('<p class="x>one</p><p class="y">two</p>', "two"),  # the value runs to the next quote, as in browsers
+        ('<p>a</p><p title="b>c</p><p>d</p>', "a|c|d"),
+    ],
+)
+def test_quotes_in_tags(page, want):
+    assert warc.plain_text(page).split("\n") == [b.text for b in html_blocks.blocks(page)] == want.split("|")
+
+
+def test_links_title_and_language_are_read_from_visible_tags():
+    page = '<html data-lang="xx" lang="de-AT"><title>T &amp; U</title><!--<a href=no>--><script>"<a href=no>"</script><a data-href=no href="y?a&amp;b">z</a><a title=">" HREF=w>'
+    got = warc.derived("<r>", "u", "d", "HTTP/1.1 200 OK", page)
+    fields = warc.parsed(got[0]["record"])[1].decode()
+    assert fields == "sourceStatus: HTTP/1.1 200 OK\r\ntitle: T & U\r\nlanguage: de-AT\r\noutlink: y?a&b\r\noutlink: w\r\n"
+
+
+def test_training_pages_are_picked_by_hash_alone(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(html_blocks, "fit", lambda pages, **_: sent.append(pages))
+    rows = [(i, f"<article><p>page {i}</p></article>") for i in range(50)] + [(None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    for table in (pages, pages.repartition(7), pages.limit(0)):
+        html_blocks.train(table, fit_pages=8)
+    assert sent[0] == sent[1] and len(set(sent[0])) == 8 and sent[2] == []
