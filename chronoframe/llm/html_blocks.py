@@ -15,6 +15,7 @@ filled with sentences of those pages.
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
 import zlib
@@ -38,7 +39,6 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: An open element that a start tag of one of the named kinds ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = {"ul", "ol", "menu", "dl", "table", "article", "aside", "nav", "section", "div", "td", "main"}
-_SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -121,7 +121,7 @@ def blocks(page: str) -> list[Block]:
     def flush():
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", "".join(parts)).strip()
+            text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(opened.path(), text, linked, MARKS & opened.at.keys()))
             parts.clear()
@@ -158,16 +158,22 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+@lru_cache(1 << 17)
+def _word(word: str) -> int:
+    return 1 + zlib.crc32(word.strip(".,;:!?()\"'").encode("utf-8", "surrogatepass")) % (WORDS - 1)
+
+
 def features(page: list[Block]) -> tuple[list[list[int]], list[dict[int, float]], np.ndarray]:
     """Per block: ids of its whole path, shares of the ids of all its words, counts."""
-    paths, words, counts = [], [], np.zeros((len(page), COUNTS))
+    words, counts = [], []
+    last = max(1, len(page) - 1)
     for i, b in enumerate(page):
-        paths.append(b.path)
         found = b.text.lower().split()
-        words.append({w: k / len(found) for w, k in Counter(_hash(w.strip(".,;:!?()\"'"), WORDS) for w in found).items()} or {0: 1.0})
-        n = len(b.text)
-        counts[i] = (np.log1p(n) / 8, np.log1p(len(found)) / 6, min(1.0, b.linked / n), sum(b.text.count(c) for c in ".,;:!?") / n * 10, i / max(1, len(page) - 1), 1.0 * (i == 0), 1.0 * (i == len(page) - 1), 1.0)
-    return paths, words, counts
+        k = len(found)
+        words.append({w: c / k for w, c in Counter(map(_word, found)).items()} or {0: 1.0})
+        n, stops = len(b.text), sum(map(b.text.count, ".,;:!?"))
+        counts.append((math.log1p(n) / 8, math.log1p(k) / 6, min(1.0, b.linked / n), stops / n * 10, i / last, 1.0 * (i == 0), 1.0 * (i == len(page) - 1), 1.0))
+    return [b.path for b in page], words, np.array(counts).reshape(-1, COUNTS)
 
 
 class Labeller:
