@@ -138,14 +138,26 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def masked(text: str, spans: str, mark: str) -> Column:
     """The text with every span of the array column replaced by ``mark``; spans that
-    overlap become one."""
+    overlap become one. Spans go in blocks, each with its own part of the text: finding a
+    place in a text walks there from its start."""
     ends = F.transform(spans, lambda s: s["end"])
+    last = F.array_max(ends)
 
     def joined(reach):
-        def piece(s, i):
-            before = F.get(reach, i)
-            return F.when(s["start"] >= before, F.concat(F.substring(text, before + 1, s["start"] - before), F.lit(mark))).otherwise("")
+        def block(k):
+            first = k * BLOCK
+            base = F.get(reach, first)
 
-        return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, F.array_max(ends) + 1, F.length(text)))
+            def pieces(part):
+                def piece(i):
+                    start, before = F.get(F.col(spans), i)["start"], F.get(reach, i)
+                    return F.when(start >= before, F.concat(F.substring(part, before - base + 1, start - before), F.lit(mark))).otherwise("")
+
+                return F.array_join(F.transform(F.sequence(first, F.least(first + BLOCK, F.size(spans)) - 1), piece), "")
+
+            return _bound(F.substring(text, base + 1, F.coalesce(F.get(reach, first + BLOCK), last) - base), pieces)
+
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int")), block)
+        return F.concat(F.array_join(blocks, ""), F.substring(text, last + 1, F.length(text)))
 
     return F.when(F.size(spans) > 0, _bound(_before(ends, lambda x, y: F.greatest(x, y)), joined)).otherwise(F.col(text))
