@@ -121,7 +121,7 @@ def test_max_score_against_brute_force(spark):
     vecs = r.normal(0, 1, (400, 16)).round(3)
     vecs[20:60] = vecs[3]  # ties
     rows = [(int(i), v.tolist()) for i, v in enumerate(vecs)] + [(1000, None), (1050, [float("nan")] * 16), (1100, [None] + [0.0] * 15), (None, vecs[0].tolist())]
-    got = maxscore.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, shard_rows=64, block_rows=3, lanes=4).collect()
+    got = maxscore.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, shard_rows=64, block_rows=3).collect()
     q = np.floor(vecs * 256).astype(np.int64)
     want = set()
     for i in range(0, 400, 50):
