@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir, scratch_path, ship
 
@@ -29,6 +30,19 @@ def text_batches(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def others(df: DataFrame, *replaced: str) -> list[str]:
+    """Columns of ``df`` but the replaced ones, whatever case their names are in."""
+    gone = {name.lower() for name in replaced}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def with_last(df: DataFrame, passed: list[str], column: str) -> tuple[DataFrame, StructType]:
+    """The passed columns and ``column`` after them, named by their place, so that no name
+    clashes or needs quoting; and the schema of the passed ones under their own names."""
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in (*passed, column)]
+    return df.select(*(c.alias(f"c{i}") for i, c in enumerate(quoted))), df.select(*quoted[:-1]).schema
+
+
 def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """Write ``df`` as a table in the shared folder and read it back: cut lineage."""
     spark = df.sparkSession

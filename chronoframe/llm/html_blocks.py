@@ -494,7 +494,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit
 
 def extract(pages: DataFrame, model: Labeller, html_col: str = "html") -> DataFrame:
     """``pages`` without its html, with ``text`` (the kept blocks, one per line), and
-    ``n_blocks``/``n_kept``; columns of these names are replaced.
+    ``n_blocks``/``n_kept``; columns of these names, in any case, are replaced.
 
     A null or empty page, and one without a block of main text, has the empty text.
     Every page is read whole; repeated rows repeat their result.
@@ -502,7 +502,7 @@ def extract(pages: DataFrame, model: Labeller, html_col: str = "html") -> DataFr
     spark = pages.sparkSession
     S.text_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    passed = [c for c in pages.columns if c not in (html_col, "text", "n_blocks", "n_kept")]
+    passed = S.others(pages, html_col, "text", "n_blocks", "n_kept")
 
     def run(batches):
         m = sent.value
@@ -513,5 +513,5 @@ def extract(pages: DataFrame, model: Labeller, html_col: str = "html") -> DataFr
             more = [pa.array(texts, pa.string()), pa.array([len(x) for x in found], pa.int32()), pa.array([int(k.sum()) for k in kept], pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], [*passed, "text", "n_blocks", "n_kept"])
 
-    rows = pages.select(*(F.col(f"`{c}`") for c in passed), F.col(html_col).alias("_html"))
-    return rows.mapInArrow(run, rows.drop("_html").schema.add("text", "string").add("n_blocks", "integer").add("n_kept", "integer"))
+    rows, schema = S.with_last(pages, passed, html_col)
+    return rows.mapInArrow(run, schema.add("text", "string").add("n_blocks", "integer").add("n_kept", "integer"))

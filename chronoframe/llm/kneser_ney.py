@@ -181,6 +181,15 @@ def _both(keys: np.ndarray, labels: np.ndarray, values: np.ndarray):
     return uniq, out
 
 
+def _leftover(have: np.ndarray, at: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Per class and context, the share that its listed pairs (pair i after context
+    ``at[i]``) leave; with their discounted shares it makes 1."""
+    left = have.copy()
+    for c in (0, 1):
+        np.subtract.at(left[c], at, np.maximum(seen[c] - DISCOUNT, 0))
+    return np.where(have > 0, left / np.maximum(have, 1), 1.0)
+
+
 def _fit_tables(counted: DataFrame, shared: dict[str, tuple], total_words: int, min_pair: int, min_context: int) -> Model:
     safe = lambda p: np.log(np.maximum(p, 1e-300))
     common = lambda level, keys: shared[level][1][np.searchsorted(shared[level][0], keys)] + 0.5
@@ -223,11 +232,9 @@ def _fit_tables(counted: DataFrame, shared: dict[str, tuple], total_words: int,
         logp = logp[:, up] + safe(p)
     word_logp = logp
     # Contexts and pairs.
-    around = counted.where("prev <> 0").groupBy("prev").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)), *(F.count(F.when(F.col("toxic") == c, 1)).alias(f"t{c}") for c in (0, 1)))
-    prev, n0, n1, t0, t1 = _columns(around.where(f"n0 + n1 >= {min_context}"), "prev", "n0", "n1", "t0", "t1")
-    have, kind = np.array([n0, n1], float).reshape(2, -1), np.array([t0, t1], float).reshape(2, -1)
-    lam = np.where(have > 0, DISCOUNT * kind / np.maximum(have, 1), 1.0)
-    contexts = (prev.view(np.uint64), safe(lam[1]) - safe(lam[0]))
+    around = counted.where("prev <> 0").groupBy("prev").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)))
+    prev, n0, n1 = _columns(around.where(f"n0 + n1 >= {min_context}"), "prev", "n0", "n1")
+    have = np.array([n0, n1], float).reshape(2, -1)
     both = counted.where("prev <> 0").groupBy("prev", "w").agg(*(F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1))).where(f"n0 + n1 >= {min_pair}")
     p_prev, p_word, m0, m1 = _columns(both, "prev", "w", "n0", "n1")
     order = np.argsort(prev)
@@ -236,6 +243,9 @@ def _fit_tables(counted: DataFrame, shared: dict[str, tuple], total_words: int,
     known = prev[at] == p_prev if len(order) else np.zeros(len(p_prev), bool)
     p_prev, p_word, at = p_prev[known], p_word[known], at[known]
     seen = np.array([m0[known], m1[known]], float).reshape(2, -1)
+    # What the listed pairs leave goes to the lower order, that of pairs not listed too.
+    lam = _leftover(have, at, seen)
+    contexts = (prev.view(np.uint64), safe(lam[1]) - safe(lam[0]))
     lower = np.exp(word_logp[:, np.searchsorted(words, p_word)]) if len(p_word) else np.zeros((2, 0))
     p = np.where(have[:, at] > 0, (np.maximum(seen - DISCOUNT, 0) / np.maximum(have[:, at], 1)) + lam[:, at] * lower, lower)
     pairs = (_pair(p_prev.view(np.uint64), p_word.view(np.uint64)), safe(p[1]) - safe(p[0]))
@@ -299,14 +309,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with ``mean_ratio`` and ``score`` (0 to 1); columns of
-    these names are replaced.
+    these names, in any case, are replaced.
 
     A null text is empty; an empty text has mean ratio 0, so the score of no evidence.
     """
     spark = docs.sparkSession
     S.text_batches(spark)
     sent = spark.sparkContext.broadcast(model)
-    passed = [c for c in docs.columns if c not in (text_col, "mean_ratio", "score")]
+    passed = S.others(docs, text_col, "mean_ratio", "score")
 
     def run(batches):
         m = sent.value.prepared()
@@ -314,5 +324,5 @@ def scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             mean = m.means(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(mean), pa.array(m.score(mean))], [*passed, "mean_ratio", "score"])
 
-    rows = docs.select(*(F.col(f"`{c}`") for c in passed), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, rows.drop("_text").schema.add("mean_ratio", "double").add("score", "double"))
+    rows, schema = S.with_last(docs, passed, text_col)
+    return rows.mapInArrow(run, schema.add("mean_ratio", "double").add("score", "double"))
