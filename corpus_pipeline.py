@@ -24,7 +24,13 @@ MODEL = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "piece_
 #: The stages train a model, contract a graph and sample: SQL cannot express them.
 ORACLE_SQL = None
 
-_SAME = "d.doc_id <=> k.doc_id AND d._th = k._th"
+_SAME = "d.doc_id <=> k.doc_id AND d.th = k.th"
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``th`` of every row, and the row as it is in one column, so that no
+    column of docs can clash with what a stage adds."""
+    return docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), F.struct("*").alias("row"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,27 +46,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     hash); texts without a word are linked with nothing and stay."""
     groups = jaccard.near_duplicates(docs)
     first = groups.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min(F.struct("doc_id", "th")).alias("k"))
-    first = first.select("k.doc_id", F.col("k.th").alias("_th"))
+    first = first.select("k.doc_id", "k.th")
     worded = F.coalesce(F.btrim("text", F.lit(decontam.SPACES)), F.lit("")) != ""
-    kept = docs.where(worded).withColumn("_th", F.xxhash64("text")).alias("d").join(first.alias("k"), F.expr(_SAME), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_th"]).drop("_th").unionByName(docs.where(~worded))
+    kept = _named(docs.where(worded)).alias("d").join(first.alias("k"), F.expr(_SAME), "left_semi")
+    return kept.dropDuplicates(["doc_id", "th"]).select("row.*").unionByName(docs.where(~worded))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold three quarters or more of a benchmark item."""
     leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaky = leaks.select("doc_id", F.col("th").alias("_th")).distinct()
-    return docs.withColumn("_th", F.xxhash64("text")).alias("d").join(leaky.alias("k"), F.expr(_SAME), "left_anti").drop("_th")
+    leaky = leaks.select("doc_id", "th").distinct()
+    return _named(docs).alias("d").join(leaky.alias("k"), F.expr(_SAME), "left_anti").select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace owner-specific, live-looking credentials; widely copied examples stay."""
     found = secret_scan.scan_secrets(docs).withColumn("spans", F.filter("spans", lambda s: s["owned"]))
-    live = found.where(F.size("spans") > 0).select("doc_id", F.col("th").alias("_th"), F.col("spans").alias("_spans")).dropDuplicates(["doc_id", "_th"])
-    both = docs.withColumn("_th", F.xxhash64("text")).alias("d").join(live.alias("k"), F.expr(_SAME), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("d.text")).otherwise(secret_scan.masked("d.text", "_spans", SECRET_MARK))
-    new = {"text": text} | ({"n_chars": F.when(F.col("_spans").isNull(), F.col("d.n_chars")).otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return both.select(*(new[c].alias(c) if c in new else F.col(f"d.`{c}`") for c in docs.columns))
+    live = found.where(F.size("spans") > 0).select("doc_id", "th", "spans").dropDuplicates(["doc_id", "th"])
+    both = _named(docs).alias("d").join(live.alias("k"), F.expr(_SAME), "left")
+    text = F.when(F.col("k.spans").isNull(), F.col("d.row.text")).otherwise(secret_scan.masked("d.row.text", "k.spans", SECRET_MARK))
+    new = {"text": text} | ({"n_chars": F.when(F.col("k.spans").isNull(), F.col("d.row.n_chars")).otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return both.select(*(new[c].alias(c) if c in new else F.col(f"d.row.`{c}`").alias(c) for c in docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
