@@ -143,6 +143,13 @@ def _freshness(spark, sf_dir):
     return out.select("event_id", "user_id", "ts", (F.col("ts_us") - F.col("__mts")).alias("freshness_lag_us"))
 
 
+def _labelled(served, labels):
+    """Served rows with their labels. Spark guesses the size of a fold's rows from the
+    micro-batch's new files: a batch that only moves the watermark looks empty and would
+    be broadcast through the driver, with all that the fold held. So the join is named."""
+    return served.join(labels.hint("merge"), "event_id")
+
+
 @register("stream_eval_metrics", _ranking_sql(_ALL_RANK))
 def _stream_eval(spark, sf_dir):
     """Every micro-batch of served features is scored (stream-static
@@ -152,7 +159,7 @@ def _stream_eval(spark, sf_dir):
 
     labels = with_engagement_targets(events_log(spark, sf_dir)).select("event_id", *EV_SIGNALS, "is_skip")
     served = on_time(view_stream(ev_stream(spark, sf_dir), EV, EV_USER))
-    scored = served.join(labels, "event_id").withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
+    scored = _labelled(served, labels).withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
     path = new_dir(spark, "scored")
     run(scored, [parquet_append_sink(path)])
     return _r9(ranking_metrics(to_long(spark.read.parquet(path), BINARY)), _ALL_RANK)
@@ -315,7 +322,7 @@ def _write_and_eval(spark, sf_dir):
     _, path = arrived(spark, sf_dir)
     labels = with_engagement_targets(events_log(spark, sf_dir)).select("event_id", *EV_SIGNALS, "is_skip")
     served = with_ntz(on_time(view_stream(_replayed(spark, path), EV, EV_USER)))
-    scored = served.join(labels, "event_id").withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
+    scored = _labelled(served, labels).withColumns({f"score_{t}": sigmoid(_logit_of(t)) for t in BINARY})
     at = new_dir(spark, "write-and-eval")
     table_sink = LatestTableSink(spark, f"{at}/latest", ["user_id"], "ts", _UFEAT, buckets=16)
     eval_sink = EvalSink(spark, f"{at}/eval", lambda rows: to_long(rows, BINARY, keep=["hour"]))
