@@ -38,6 +38,8 @@ MAX_WIDTH = 1 << 20
 
 
 HASHED = "__hashed_ids"
+#: Rows that are worth a task of a fit's iteration.
+FIT_ROWS = 50_000
 
 
 @dataclass
@@ -71,6 +73,14 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.fillna(0.0, subset=list(features))
 
 
+def in_few_tasks(x: DataFrame) -> DataFrame:
+    """Persisted rows in as many partitions as a fit should have tasks: every iteration
+    of every head sends one gradient as wide as the encoded ids from each of them, so
+    they follow the rows and end at the cluster's cores, not at the shuffle's partitions."""
+    tasks = min(x.sparkSession.sparkContext.defaultParallelism, -(-x.count() // FIT_ROWS))
+    return x.coalesce(max(1, tasks))
+
+
 def fit_heads(
     train: DataFrame,
     features: Sequence[str],
@@ -91,7 +101,8 @@ def fit_heads(
     by it) can be passed in to share them across several fits.
     """
     prep = prep or _prep(features, categorical).fit(train)
-    x = prepared if prepared is not None else prep.transform(assemble(train, features)).persist()
+    held = prepared if prepared is not None else prep.transform(assemble(train, features)).persist()
+    x = in_few_tasks(held)
 
     def fit_binary(t):
         rows = x.filter(F.col(t).isNotNull()).withColumn("__w", F.when(F.col(t) >= 0.5, F.lit(pos_weight)).otherwise(F.lit(1.0)))
@@ -111,7 +122,7 @@ def fit_heads(
         binary = {t: f.result() for t, f in bf.items()}
         cont = {t: f.result() for t, f in cf.items()}
     if prepared is None:
-        x.unpersist()
+        held.unpersist()
     return prep, Heads(list(features), list(categorical), binary, cont, reg_param)
 
 
