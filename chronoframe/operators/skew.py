@@ -23,6 +23,8 @@ from ..session import ensure_checkpoint_dir
 TARGET_ROWS = 2_000_000
 #: Parts of a hot slice per level: a slice of 7 days is down to 1 microsecond after 5.
 FAN = 256
+#: Where the slice of a whole key begins: before any time.
+WHOLE = -(2**63)
 
 
 def _start(ts_us: str, base_us: int) -> Column:
@@ -34,17 +36,22 @@ def _same(key: str) -> Column:
     return F.col(f"__l.{key}").eqNullSafe(F.col(f"__r.{key}")) & (F.col("__l.__from") == F.col("__r.__from"))
 
 
-def hot_slices(df: DataFrame, key: str, ts_us: str, base_us: int, *, target_rows: int | None = None) -> list[DataFrame]:
+def hot_slices(df: DataFrame, key: str, ts_us: str, base_us: int, *, target_rows: int | None = None, whole: bool = False) -> list[DataFrame]:
     """Levels of ``(key, __from, __bounds)``: the slice that begins at ``__from`` falls
     into the ones that begin at ``__bounds``. Empty when no slice is hot, which one job
-    finds out. ``key`` is one (struct) column; rows without a time are in no slice."""
+    finds out. ``key`` is one (struct) column; rows without a time are in no slice.
+    ``whole``: a key is one slice at first, and a hot one is cut into parts of ``base_us``."""
     target, width = int(target_rows or TARGET_ROWS), int(base_us)
-    rows = df.filter(F.col(ts_us).isNotNull()).select(key, F.col(ts_us).alias("__t"), _start(ts_us, width).alias("__from"))
+    first = F.lit(WHOLE) if whole else _start(ts_us, width)
+    rows = df.filter(F.col(ts_us).isNotNull()).select(key, F.col(ts_us).alias("__t"), first.alias("__from"))
     hot = rows.groupBy(key, "__from").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > target).select(key, "__from")
     levels: list[DataFrame] = []
-    while width > 1 and not hot.isEmpty():
-        width = -(-width // FAN)
-        part = F.expr(f"__from + ((__t - __from) div {width}) * {width}")
+    while (width > 1 or whole) and not hot.isEmpty():
+        if whole:
+            part, whole = _start("__t", width), False
+        else:
+            width = -(-width // FAN)
+            part = F.expr(f"__from + ((__t - __from) div {width}) * {width}")
         inside = rows.alias("__l").join(hot.alias("__r"), _same(key), "left_semi").withColumn("__part", part)
         # At most FAN rows per hot slice; stored, since bounds and the next level read them.
         ensure_checkpoint_dir(df.sparkSession)
@@ -59,10 +66,11 @@ def hot_slices(df: DataFrame, key: str, ts_us: str, base_us: int, *, target_rows
     return levels
 
 
-def with_slice(df: DataFrame, key: str, ts_us: str, levels: list[DataFrame], base_us: int, out: str) -> DataFrame:
+def with_slice(df: DataFrame, key: str, ts_us: str, levels: list[DataFrame], base_us: int, out: str, *, whole: bool = False) -> DataFrame:
     """Attach where each row's slice begins; it names the slice within its key, and
-    slices of a key are in time order by it. Null for a row without a time."""
-    df = df.withColumn("__from", _start(ts_us, base_us))
+    slices of a key are in time order by it. Null for a row without a time. ``whole`` as
+    for ``hot_slices``; a key not cut has the slice ``WHOLE``."""
+    df = df.withColumn("__from", F.when(F.col(ts_us).isNotNull(), F.lit(WHOLE)) if whole else _start(ts_us, base_us))
     for level in levels:
         both = df.alias("__l").join(level.alias("__r"), _same(key), "left").select("__l.*", "__r.__bounds")
         inner = F.array_max(F.filter("__bounds", lambda b: b <= F.col(ts_us)))

@@ -28,19 +28,20 @@ Three physical strategies, same results on integral signals:
     For keys too hot even for one window of time per task. Events are first
     reduced to one row per ``(keys, time)`` (map-side partial aggregation, so
     a hot tied group collapses before the shuffle; exact because tied events
-    never see each other). Every reduced row ``t`` adds a *probe* row at
-    ``t - W``. Each row's exclusive prefix ``S(< time)`` is a growing frame
-    inside its ``(keys, sub-slice)`` plus the carried total of the earlier
-    sub-slices, so no task ever needs more than one sub-slice of one key.
-    The window value is ``S(< t) - S(< t - W)``; probe and event meet again
-    in a join on ``(keys, t)``, and the result is joined back to the events
-    (one row per ``(keys, t)`` on the right, which AQE splits when the left
-    is skewed). Integral signals only.
+    never see each other). Every reduced row at ``t`` is added at ``t`` and, by a
+    *leave* row, taken away after ``t + W``, so a running sum over both is the
+    window's. Each row's exclusive prefix (``< time``) is a growing frame inside
+    its ``(keys, sub-slice)`` plus the carried total of the earlier sub-slices,
+    so no task ever needs more than one sub-slice of one key. A key that fits a
+    task is one sub-slice and carries nothing; larger ones are cut by counts
+    (``skew.hot_slices``), first into widths of ``sub_us``. The result is
+    joined back to the events (one row per ``(keys, t)`` on the right, which AQE
+    splits when the left is skewed). Integral signals only.
 
 The running (cumulative) count has the same choice: ``direct`` is a growing
 frame per key; ``sliced`` is a growing frame per ``(keys, slice)`` plus a
 carried-in total of the earlier slices, computed on the small per-slice
-totals table; ``split`` is the prefix half of the form above.
+totals table; ``split`` is the form above without leave rows.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..registry import CUMULATIVE, DAY_US, ROLLING, FeatureView, Registry, feature_name
-from .skew import hot_slices, with_slice
+from .skew import WHOLE, hot_slices, with_slice
 
 _INTEGRAL = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 UNBOUNDED = Window.unboundedPreceding
@@ -109,70 +110,72 @@ def _split_table(
     window_us: int,
     ts_us: str,
     sub_us: int,
-    adaptive: bool = True,
+    fits: bool = False,
 ) -> DataFrame:
-    """The ``split`` strategy's feature table: one row per (``__key``, time),
-    ``__key`` being the struct of the keys (see module doc)."""
-    sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
-    # One struct key: a NULL key value is a group of its own (as in the
-    # window forms), and struct equality matches NULL fields in every join.
-    src = df.withColumn("__key", F.struct(*keys))
-    keys = ["__key"]
-    idx = {s: i for i, s in enumerate(sigs)}
-    n = len(sigs)
-    kt = [*keys, ts_us]
-    reduced = (
-        src.filter(F.col(ts_us).isNotNull())
-        .groupBy(*kt)
-        .agg(*[F.sum(_num(s)).alias(f"__s{i}") for i, s in enumerate(sigs)], *[F.count(_num(s)).alias(f"__c{i}") for i, s in enumerate(sigs)])
+    """The ``split`` strategy's feature table: one row per (keys, time), the keys named
+    ``__k0`` ... and the time ``__t`` (see module doc). ``fits``: no key is too large for
+    a task, as the caller knows."""
+    means = list(dict.fromkeys(s for s, _ in rolling))
+    sums = list(dict.fromkeys(s for s, _ in cumulative))
+    src = df.filter(F.col(ts_us).isNotNull()).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(ts_us).alias("__t"), *[_num(s).alias(f"__v_{s}") for s in dict.fromkeys([*means, *sums])]
     )
-    meas = [f"__s{i}" for i in range(n)] + [f"__c{i}" for i in range(n)]
-    data = reduced.select(*keys, F.col(ts_us).alias("__t"), F.col(ts_us).alias("__o"), F.lit(True).alias("__d"), *meas)
-    parts = data
+    key_cols = [f"__k{i}" for i in range(len(keys))]
+    aggs = {f"__s_{s}": F.sum(f"__v_{s}") for s in dict.fromkeys([*means, *sums])} | {f"__c_{s}": F.count(f"__v_{s}") for s in means}
+    rows = src.groupBy(*key_cols, "__t").agg(*[v.alias(n) for n, v in aggs.items()])
+    # What a row adds at its time: ``__m_`` and ``__n_`` it takes away again ``W`` later.
     if rolling:
-        probe = reduced.select(
-            *keys,
-            (F.col(ts_us) - F.lit(int(window_us))).alias("__t"),
-            F.col(ts_us).alias("__o"),
-            F.lit(False).alias("__d"),
-            *[F.lit(None).cast("long").alias(m) for m in meas],
-        )
-        parts = data.unionByName(probe)
-    # Sub-slices of ``sub_us``, cut where a key has too many events and probes in one.
-    levels = hot_slices(parts, "__key", "__t", sub_us) if adaptive else []
-    u = with_slice(parts, "__key", "__t", levels, sub_us, "__b")
+        sign = F.col("__sign")
+        rows = rows.withColumn("__sign", F.explode(F.array(F.lit(1).cast("long"), F.lit(-1).cast("long"))))
+        shown = F.when(sign > 0, F.col("__t")).otherwise(F.try_add(F.col("__t"), F.lit(int(window_us))))
+        rows = rows.withColumn("__t", shown).filter(F.col("__t").isNotNull())
+    meas = {f"__m_{s}": F.col(f"__s_{s}") * sign for s in means} | {f"__n_{s}": F.col(f"__c_{s}") * sign for s in means}
+    meas |= {f"__u_{s}": F.when(sign > 0, F.col(f"__s_{s}")) if rolling else F.col(f"__s_{s}") for s in sums}
+    u = rows.select(*key_cols, "__t", *(["__sign"] if rolling else []), *[v.alias(m) for m, v in meas.items()])
+    # A key that fits a task is one sub-slice; larger ones are cut where their rows stand.
+    # Counting the log's rows is enough to see that none is too large.
+    part, levels = key_cols, []
+    if not fits and not keys_fit(df, keys, ts_us, 2 if rolling else 1):
+        keyed = u.withColumn("__key", F.struct(*key_cols))
+        levels = hot_slices(keyed, "__key", "__t", sub_us, whole=True)
+    if levels:
+        u, part = with_slice(keyed, "__key", "__t", levels, sub_us, "__b", whole=True), ["__key", "__b"]
     # Exclusive prefix inside the row's own sub-slice ...
-    w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(UNBOUNDED, -1)
-    within = u.withColumns({f"__p{m}": F.coalesce(F.sum(m).over(w), F.lit(0).cast("long")) for m in meas})
-    # ... plus the totals of all earlier sub-slices of the key (one row per
-    # key and sub-slice; probe-only sub-slices get a row too).
-    totals = u.groupBy(*keys, "__b").agg(*[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(f"__t{m}") for m in meas])
-    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(UNBOUNDED, -1)
-    carry = totals.select(*keys, "__b", *[F.coalesce(F.sum(f"__t{m}").over(wk), F.lit(0).cast("long")).alias(f"__k{m}") for m in meas])
-    pref = within.join(carry, on=[*keys, "__b"], how="left").select(
-        *keys, "__o", "__d", *[(F.col(f"__p{m}") + F.col(f"__k{m}")).alias(f"__P{m}") for m in meas]
-    )
-    # An event and its probe share (key, t): one aggregation brings them
-    # together and leaves the result partitioned by the join-back key.
-    hi = {m: F.max(F.when(F.col("__d"), F.col(f"__P{m}"))) for m in meas}
-    lo = {m: F.max(F.when(~F.col("__d"), F.col(f"__P{m}"))) for m in meas} if rolling else {}
-    pairs = pref.groupBy("__key", "__o").agg(
-        *[v.alias(f"__H{m}") for m, v in hi.items()], *[v.alias(f"__L{m}") for m, v in lo.items()]
-    )
-    out_cols = {}
-    for s, name in cumulative:
-        out_cols[name] = F.col(f"__H__s{idx[s]}")
+    w = Window.partitionBy(*part).orderBy("__t").rangeBetween(UNBOUNDED, -1)
+    pref = u.withColumns({f"__p{m}": F.coalesce(F.sum(m).over(w), F.lit(0).cast("long")) for m in meas})
+    total = {m: F.col(f"__p{m}") for m in meas}
+    if rolling:
+        pref = pref.filter(sign > 0)
+    if levels:
+        # ... plus the totals of all earlier sub-slices of a cut key (one row per sub-slice).
+        totals = u.filter(F.col("__b") != F.lit(WHOLE)).groupBy("__key", "__b").agg(*[F.sum(m).alias(f"__t{m}") for m in meas])
+        wk = Window.partitionBy("__key").orderBy("__b").rowsBetween(UNBOUNDED, -1)
+        carry = totals.select("__key", "__b", *[F.sum(f"__t{m}").over(wk).alias(f"__k{m}") for m in meas])
+        pref = pref.join(carry, on=["__key", "__b"], how="left")
+        total = {m: v + F.coalesce(F.col(f"__k{m}"), F.lit(0).cast("long")) for m, v in total.items()}
+    out_cols = {name: total[f"__u_{s}"] for s, name in cumulative}
     for s, name in rolling:
-        i = idx[s]
-        c = F.col(f"__H__c{i}") - F.col(f"__L__c{i}")
-        out_cols[name] = F.when(c > 0, (F.col(f"__H__s{i}") - F.col(f"__L__s{i}")).cast("double") / c)
-    return pairs.select("__key", F.col("__o").alias(ts_us), *[v.alias(k) for k, v in out_cols.items()])
+        c = total[f"__n_{s}"]
+        out_cols[name] = F.when(c > 0, total[f"__m_{s}"].cast("double") / c)
+    return pref.select(*key_cols, "__t", *[v.alias(k) for k, v in out_cols.items()])
+
+
+def keys_fit(df: DataFrame, keys: Sequence[str], ts_us: str, copies: int = 1) -> bool:
+    """Whether ``copies`` of every row of the largest key fit a task; one row reaches the driver."""
+    from . import skew
+
+    per = df.filter(F.col(ts_us).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return (per.agg(F.max("__n")).first()[0] or 0) * copies <= skew.TARGET_ROWS
 
 
 def _split_join(df: DataFrame, keys: Sequence[str], table: DataFrame, cumulative: Sequence[tuple[str, str]], ts_us: str) -> DataFrame:
     """Join a ``_split_table`` back onto the events (one row per (key, time)
-    on the right; AQE splits a skewed left side)."""
-    joined = df.withColumn("__key", F.struct(*keys)).join(table, on=["__key", ts_us], how="left").drop("__key")
+    on the right; AQE splits a skewed left side). A null key matches itself. Merged at
+    every size: the table has a row per event, which the size of the files does not tell."""
+    same = F.col(ts_us) == F.col("__t")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    joined = df.join(table.hint("merge"), same, "left").drop("__t", *[f"__k{i}" for i in range(len(keys))])
     fill = {name: F.coalesce(F.col(name), F.lit(0).cast("long")) for _, name in cumulative}
     return joined.withColumns(fill) if fill else joined
 
@@ -185,11 +188,10 @@ def _split_prefix(
     window_us: int,
     ts_us: str,
     sub_us: int,
-    adaptive: bool = True,
 ) -> DataFrame:
     """The ``split`` strategy: add rolling means and prior sums (see module doc)."""
     sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
-    table = _split_table(df.select(*keys, ts_us, *sigs), keys, rolling, cumulative, window_us, ts_us, sub_us, adaptive)
+    table = _split_table(df.select(*keys, ts_us, *sigs), keys, rolling, cumulative, window_us, ts_us, sub_us)
     return _split_join(df, keys, table, cumulative, ts_us)
 
 
@@ -231,12 +233,15 @@ def split_views(
 def split_view_tables(df, views, window_us: int, *, ts_us: str = "ts_us", sub_us: int | None = None) -> list:
     """The per-view feature tables of :func:`split_views`, all computed from ``df``."""
     sub = int(sub_us) if sub_us else max(1, int(window_us) // 7)
-    tables = []
+    tables, small = [], []
     for keys, rolling, cumulative in views:
         if not all(_is_integral(df, s) for s, _ in [*rolling, *cumulative]):
             raise ValueError("the split strategy needs integral signals")
         sigs = list(dict.fromkeys([s for s, _ in rolling] + [s for s, _ in cumulative]))
-        t = _split_table(df.select(*keys, ts_us, *sigs), list(keys), list(rolling), list(cumulative), window_us, ts_us, sub)
+        # Keys within a view's keys that fit a task fit one too.
+        fits = any(set(k) <= set(keys) for k in small) or keys_fit(df, keys, ts_us, 2)
+        small += [keys] if fits else []
+        t = _split_table(df.select(*keys, ts_us, *sigs), list(keys), list(rolling), list(cumulative), window_us, ts_us, sub, fits)
         tables.append((list(keys), t, list(cumulative)))
     return tables
 
@@ -304,7 +309,8 @@ def rolling_mean(
 ) -> DataFrame:
     """Add one leak-free rolling mean per signal (DoubleType).
 
-    ``sub_us`` is the sub-slice width of the ``split`` strategy (default W/7).
+    ``sub_us`` is the width into which the ``split`` strategy first cuts a key too large
+    for a task (default W/7).
     """
     keys = list(keys)
     names = list(names) if names is not None else [feature_name(s, ROLLING, keys) for s in signals]
