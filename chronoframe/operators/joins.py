@@ -82,6 +82,7 @@ def attach_lookup(
     out: str | None = None,
     mode: str = "raise",
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    used: bool = True,
 ) -> DataFrame:
     """Validated many-to-one left lookup join.
 
@@ -94,7 +95,9 @@ def attach_lookup(
     * ``mode="lazy"``: no miss job; a miss fails the query when the column is
       computed (``raise_error``), which Catalyst skips if the column is pruned.
 
-    Rows are preserved (left join) and the value keeps its type, non-null.
+    Rows are preserved (left join) and the value keeps its type, non-null. ``used=False``
+    for a caller that only wants the checks: the lookup is grouped by its (unique) key, so
+    that Catalyst drops the join where the value is not selected.
     """
     out = out or value
     lk = lookup.select(F.col(lookup_key or key).alias(key), F.col(value).alias(out))
@@ -103,7 +106,8 @@ def attach_lookup(
         dups = lk.groupBy(key).count().filter("count > 1").orderBy(key).limit(10)
         raise LookupError_(f"lookup key {key} is not unique: {prof.n_rows} rows over {prof.n_keys} keys; e.g. {[r[key] for r in dups.collect()]}")
     known = lk.filter(F.col(out).isNotNull())  # a null value is a miss
-    right = F.broadcast(known) if prof.n_rows <= broadcast_max_rows else known
+    one = known if used else known.groupBy(key).agg(F.any_value(out).alias(out))
+    right = F.broadcast(one) if prof.n_rows <= broadcast_max_rows else one
     if mode == "raise":
         rep = unmatched_report(df, known, key)
         if rep.misses:

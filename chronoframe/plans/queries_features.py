@@ -57,17 +57,21 @@ def _rolling_query(load, ids, keys, signals, window_us, strategy="sliced"):
     return q
 
 
+def _item_log(spark, sf_dir):
+    return lineitem_log(spark, sf_dir, user=False)
+
+
 # -- E1 / E6: rolling means ------------------------------------------------------
 for _name, _load, _ids, _keys, _sig, _days, _strategy in [
     ("rolling_user", events_log, EV_IDS, ["user_id"], EV_SIGNALS, 7, "sliced"),
     ("rolling_user_item", events_log, EV_IDS, ["user_id", "video_id"], EV_SIGNALS, 7, "sliced"),
     ("rolling_user_direct", events_log, EV_IDS, ["user_id"], EV_SIGNALS, 7, "direct"),
     ("rolling_prefix_item", events_log, EV_IDS, ["video_id"], EV_SIGNALS, 7, "prefix"),
-    ("rolling_item_ties", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "sliced"),
-    ("rolling_item_ties_direct", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "direct"),
+    ("rolling_item_ties", _item_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "sliced"),
+    ("rolling_item_ties_direct", _item_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "direct"),
     ("rolling_user_author_li", lineitem_log, LI_IDS, ["user_id", "author_id"], LI_SIGNALS, 365, "sliced"),
     ("rolling_user_split", events_log, EV_IDS, ["user_id"], EV_SIGNALS, 7, "split"),
-    ("rolling_item_ties_split", lineitem_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "split"),
+    ("rolling_item_ties_split", _item_log, LI_IDS, ["video_id"], LI_SIGNALS, 365, "split"),
 ]:
     register(_name, _rolling_sql(EV_SQL if _load is events_log else LI_SQL, _ids, _keys, _sig, _days))(
         _rolling_query(_load, _ids, _keys, _sig, _days * DAY_US, _strategy)
@@ -86,8 +90,8 @@ def _cum_query(load, ids, keys, signals, strategy):
 for _name, _load, _ids, _keys, _sig, _strategy in [
     ("cumulative_item", events_log, EV_IDS, ["video_id"], ["is_click"], "sliced"),
     ("cumulative_item_direct", events_log, EV_IDS, ["video_id"], ["is_click"], "direct"),
-    ("cumulative_item_ties", lineitem_log, LI_IDS, ["video_id"], ["is_returned"], "sliced"),
-    ("cumulative_item_ties_split", lineitem_log, LI_IDS, ["video_id"], ["is_returned"], "split"),
+    ("cumulative_item_ties", _item_log, LI_IDS, ["video_id"], ["is_returned"], "sliced"),
+    ("cumulative_item_ties_split", _item_log, LI_IDS, ["video_id"], ["is_returned"], "split"),
 ]:
     _sel = ", ".join(dict.fromkeys([*_ids, *_keys]))
     register(_name, f"SELECT {_sel}, ts, {_cum_cols(_keys, _sig)} FROM {EV_SQL if _load is events_log else LI_SQL}")(

@@ -80,14 +80,16 @@ LI = Registry(
 LI_EVENT_ID = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 
 
-def lineitem_log(spark: SparkSession, sf_dir: str, validate: str = "raise") -> DataFrame:
+def lineitem_log(spark: SparkSession, sf_dir: str, validate: str = "raise", *, user: bool = True) -> DataFrame:
+    """LI roles. ``user=False`` for features without the user: every order is looked up and
+    checked all the same, but later passes over the log need not join it again."""
     li = table(spark, sf_dir, "lineitem").select(
         *LI_EVENT_ID,
         F.col("l_returnflag"),
         F.col("l_linestatus"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = attach_lookup(li, orders, "l_orderkey", "o_custkey", lookup_key="o_orderkey", mode=validate)
+    li = attach_lookup(li, orders, "l_orderkey", "o_custkey", lookup_key="o_orderkey", mode=validate, used=user)
     df = li.select(
         *LI_EVENT_ID,
         F.col("l_shipdate").alias("ts"),
