@@ -18,13 +18,15 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.buckets import bucket_size_map
 from ..operators.latest import online_lookup
@@ -39,7 +41,7 @@ MAX_WIDTH = 1 << 20
 
 HASHED = "__hashed_ids"
 #: Rows that are worth a task of a fit's iteration.
-FIT_ROWS = 50_000
+FIT_ROWS = 200_000
 
 
 @dataclass
@@ -60,10 +62,10 @@ def _prep(features: Sequence[str], categorical: Sequence[str], width: int | None
     if width is not None and categorical:
         stages.append(FeatureHasher(inputCols=list(categorical), outputCol=HASHED, numFeatures=width, categoricalCols=list(categorical)))
         onehots.append(HASHED)
-    else:
-        for c in categorical:
-            stages.append(OneHotEncoder(inputCol=c, outputCol=f"{c}_oh", dropLast=False, handleInvalid="keep"))
-            onehots.append(f"{c}_oh")
+    elif categorical:
+        stages.append(RankPlaces(categorical))
+        onehots = [f"{c}_oh" for c in categorical]
+        stages.append(OneHotEncoder(inputCols=[f"{c}_rank" for c in categorical], outputCols=onehots, dropLast=False, handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[*features, *onehots], outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 
@@ -73,6 +75,85 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.fillna(0.0, subset=list(features))
 
 
+class Ranks(Transformer):
+    """``{c}_rank`` for every category column: its place among the values that the fitted
+    rows have, in order, or their number for any other value. Places that no fitted row
+    sets would get the coefficient 0, whatever the head, and most hash buckets are empty.
+
+    ``words``: per column (word, bits, values before it) of 64 values each."""
+
+    def __init__(self, words: dict[str, list[tuple[int, int, int]]]):
+        super().__init__()
+        self.words = words
+
+    def sizes(self) -> dict[str, int]:
+        return {c: _upto(w) for c, w in self.words.items()}
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        for c, n in self.sizes().items():
+            words = df.sparkSession.createDataFrame(self.words[c], "__word long, __bits long, __before long")
+            below = F.expr(f"__bits & ~shiftleft(-1L, int(`{c}` & 63))")
+            known = F.expr(f"getbit(__bits, int(`{c}` & 63)) = 1")
+            rank = F.when(known, F.col("__before") + F.bit_count(below)).otherwise(F.lit(n)).cast("int")
+            nominal = {"ml_attr": {"type": "nominal", "num_vals": max(n, 1)}}
+            df = df.join(F.broadcast(words), F.shiftright(F.col(c).cast("long"), 6) == F.col("__word"), "left")
+            df = df.withColumn(f"{c}_rank", rank).drop("__word", "__bits", "__before").withMetadata(f"{c}_rank", nominal)
+        return df
+
+
+class RankPlaces(Estimator):
+    """Finds the :class:`Ranks` of a frame's category columns."""
+
+    def __init__(self, columns: Sequence[str]):
+        super().__init__()
+        self.columns = list(columns)
+
+    def _fit(self, df: DataFrame) -> Ranks:
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("long").alias("v")) for i, c in enumerate(self.columns)])).alias("c")
+        bit = F.expr("shiftleft(1L, int(c.v & 63))")
+        words = df.select(cells).filter("c.v >= 0").groupBy("c.at", F.shiftright("c.v", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+        found: dict[str, list] = {c: [] for c in self.columns}
+        for r in words.orderBy("at", "word").collect():  # a word has at least one of the values, each of which a head has a coefficient for
+            held = found[self.columns[r["at"]]]
+            held.append((r["word"], r["bits"], _upto(held)))
+        return Ranks(found)
+
+
+def _upto(words: list[tuple[int, int, int]]) -> int:
+    return words[-1][2] + (words[-1][1] & (1 << 64) - 1).bit_count() if words else 0
+
+
+def encode(df: DataFrame, prep: PipelineModel, features: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
+    """``keep`` (default: all columns) and the ``features`` vector of the fitted ``prep``.
+
+    Spark ML names every place of a one-hot vector in its column's metadata: as many
+    objects as ids, on the driver for each plan and in each task. So one-hot places are
+    set here, from the fitted encoder's sizes: the same vectors, and the column only
+    tells how long they are."""
+    x = assemble(df, features)
+    kept = df.columns if keep is None else list(keep)
+    encoders = [s for s in prep.stages if isinstance(s, OneHotEncoderModel)]
+    if not encoders:
+        return prep.transform(x).select(*kept, "features")
+    for stage in prep.stages[: prep.stages.index(encoders[0])]:
+        x = stage.transform(x)
+    size, cells = len(features), [F.when(F.col(c) != 0, _cell(F.lit(i), F.col(c).cast("double"))) for i, c in enumerate(features)]
+    for encoder in encoders:
+        for c, n in zip(encoder.getInputCols(), map(int, encoder.categorySizes)):
+            place = F.when(F.col(c).between(0, n - 1), F.col(c).cast("int")).otherwise(F.lit(n))  # the last: none of the fitted rows had it
+            cells.append(_cell(F.lit(size) + place, F.lit(1.0)))
+            size += n + 1
+    cells = F.filter(F.array(*cells), lambda c: c.isNotNull())
+    sparse = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), cells["i"].alias("indices"), cells["v"].alias("values"))
+    schema = T.StructType([T.StructField("features", VectorUDT())])
+    vector = F.from_json(F.to_json(F.struct(sparse.alias("features"))), schema, {"mode": "FAILFAST"})["features"]
+    return x.select(*kept, vector.alias("features", metadata={"ml_attr": {"num_attrs": size}}))
+
+
+def _cell(place: Column, value: Column) -> Column:
+    return F.struct(place.alias("i"), value.alias("v"))
+
+
 def in_few_tasks(x: DataFrame) -> DataFrame:
     """Persisted rows in as many partitions as a fit should have tasks: every iteration
     of every head sends one gradient as wide as the encoded ids from each of them, so
@@ -101,7 +182,7 @@ def fit_heads(
     by it) can be passed in to share them across several fits.
     """
     prep = prep or _prep(features, categorical).fit(train)
-    held = prepared if prepared is not None else prep.transform(assemble(train, features)).persist()
+    held = prepared if prepared is not None else encode(train, prep, features, [*binary_targets, *continuous_targets]).persist()
     x = in_few_tasks(held)
 
     def fit_binary(t):
@@ -128,7 +209,7 @@ def fit_heads(
 
 def score(df: DataFrame, prep: PipelineModel, heads: Heads) -> DataFrame:
     """J3 + B13: ``logit_{t}`` / ``score_{t}`` per binary head, ``pred_{t}`` per continuous head."""
-    x = prep.transform(assemble(df, heads.features))
+    x = encode(df, prep, heads.features)
     tmp = []
     for t, m in heads.binary.items():
         m = m.copy().setFeaturesCol("features").setRawPredictionCol(f"__raw_{t}").setProbabilityCol(f"__prob_{t}").setPredictionCol(f"__lab_{t}")
@@ -137,7 +218,7 @@ def score(df: DataFrame, prep: PipelineModel, heads: Heads) -> DataFrame:
         tmp += [f"__raw_{t}", f"__prob_{t}", f"__lab_{t}"]
     for t, m in heads.continuous.items():
         x = m.copy().setFeaturesCol("features").setPredictionCol(f"pred_{t}").transform(x)
-    return x.drop("features", HASHED, *tmp, *[f"{c}_oh" for c in heads.categorical])
+    return x.drop("features", *tmp)
 
 
 def validation_loss(scored: DataFrame, heads: Heads, pos_weight: float = 2.0) -> float:
@@ -163,7 +244,7 @@ def select_heads(
     best, report = None, {}
     # One preparation and one persisted training frame serve every grid value.
     prep = _prep(features, categorical, width).fit(train)
-    x = prep.transform(assemble(train, features)).persist()
+    x = encode(train, prep, features, [*binary_targets, *continuous_targets]).persist()
     try:
         for reg in grid:
             _, heads = fit_heads(

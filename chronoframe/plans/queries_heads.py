@@ -46,7 +46,7 @@ def _fit_score(spark, sf_dir):
 @register("heads_eval_metrics")
 def _heads_eval(spark, sf_dir):
     """S9-style report of the fitted heads on the arm: ranking metrics + RMSE per target."""
-    scored = _fit_and_score(spark, sf_dir)
+    scored = _fit_and_score(spark, sf_dir).select(*BINARY, "dwell_log", *[f"score_{t}" for t in BINARY], "pred_dwell_log").persist()
     rank = ranking_metrics(to_long(scored, BINARY), targets=BINARY)
     err = rmse(to_long(scored, ["dwell_log"], score="pred_{t}"), ["dwell_log"]).select(
         "target", *[F.lit(None).cast("double").alias(c) for c in ["roc_auc", "recall_precision_auc", "precision", "recall"]], "rmse"
