@@ -22,6 +22,7 @@ from ..streaming.replay import (
     replay_source,
     run,
     served_stream,
+    shards_for,
     unserved,
     view_stream,
     warm_state,
@@ -272,7 +273,7 @@ def _stream_served(spark, sf_dir):
     folds joined on the stream, over several micro-batches."""
     _, path = arrived(spark, sf_dir, n_files=3)
     out = new_dir(spark, "served-row")
-    run(served_stream(_replayed(spark, path), EV), out=out)
+    run(served_stream(_replayed(spark, path), EV, shards=shards_for(spark)), out=out)
     return _real(with_ntz(on_time(spark.read.parquet(out))), ["user_id"]).select("event_id", "user_id", "video_id", "ts", *EV.served)
 
 
