@@ -196,12 +196,6 @@ def _any_null(keys: Sequence[str]) -> Column:
     return c
 
 
-def _largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key without a NULL; one row reaches the driver."""
-    per = df.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return per.agg(F.max("__n")).first()[0] or 0
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -229,24 +223,27 @@ def asof_join(
         raise ValueError(f"value columns already on the left: {clash}")
     r_side = 2 if strict else 0
     rstruct = F.struct(F.col(right_ts).alias("__rt"), *[F.col(v) for v in values])
+    # The keys and the time of a left row are columns of their own: the rest goes beside them.
+    beside = [c for c in lcols if c not in keys and c != left_ts]
+    lstruct = F.struct(*beside) if beside else F.struct(F.lit(True).alias("__row"))
     R = right.filter(~_any_null(keys) & F.col(right_ts).isNotNull()).select(
         *keys,
         F.col(right_ts).alias("__t"),
         F.lit(r_side).alias("__side"),
-        F.lit(None).cast(left.select(F.struct(*lcols).alias("__l")).schema[0].dataType).alias("__l"),
+        F.lit(None).cast(left.select(lstruct.alias("__l")).schema[0].dataType).alias("__l"),
         rstruct.alias("__r"),
     )
     L = left.select(
         *keys,
         F.col(left_ts).alias("__t"),
         F.lit(1).alias("__side"),
-        F.struct(*lcols).alias("__l"),
+        lstruct.alias("__l"),
         F.lit(None).cast(right.select(rstruct).schema[0].dataType).alias("__r"),
     )
     # NULL keys never match; spread such left rows instead of piling them into one task.
-    salt = F.when(_any_null(keys), F.pmod(F.xxhash64("__l"), F.lit(256))).otherwise(F.lit(0))
+    salt = F.when(_any_null(keys), F.pmod(F.xxhash64(*keys, "__t", "__l"), F.lit(256))).otherwise(F.lit(0))
     u = L.unionByName(R).withColumn("__salt", salt)
-    if strategy == "sliced" and adaptive and _largest_key(u, keys) <= skew.TARGET_ROWS:
+    if strategy == "sliced" and adaptive and skew.largest_key(u.filter(~_any_null(keys)), keys) <= skew.TARGET_ROWS:
         strategy = "direct"  # every key fits a task: one shuffle, without slices and their carry
     if strategy == "direct":
         w = Window.partitionBy(*keys, "__salt").orderBy("__t", "__side", "__r").rowsBetween(Window.unboundedPreceding, 0)
@@ -290,7 +287,8 @@ def asof_join(
     ok = m.isNotNull()
     if ttl_us is not None:
         ok = ok & (m["__rt"] >= F.col("__t") - F.lit(int(ttl_us)))
-    out = [F.col(f"__l.{c}").alias(c) for c in lcols] + [F.when(ok, m[v]).alias(v) for v in values]
+    named = {c: F.col(f"__l.{c}") for c in beside} | {left_ts: F.col("__t")} | {k: F.col(k) for k in keys}
+    out = [named[c].alias(c) for c in lcols] + [F.when(ok, m[v]).alias(v) for v in values]
     if matched_ts:
         out.append(F.when(ok, m["__rt"]).alias(matched_ts))
     return picked.select(*out)
@@ -315,6 +313,7 @@ def asof_features(
     request collapse map-side before the shuffle; the answers are then joined
     back on (keys, time), a join AQE can split when one request is hot.
     """
-    req = distinct_requests(entity, [*keys, ts], ts_us)
+    req = distinct_requests(entity, keys, ts_us)  # ``ts`` is the same time as ``ts_us``
     ans = asof_join(req, source, keys, values, left_ts=ts_us, right_ts=ts_us, ttl_us=ttl_us, strict=strict, strategy=strategy, slice_us=slice_us)
-    return entity.join(ans, on=[*keys, ts, ts_us], how="left")
+    first = [*keys, ts, ts_us]
+    return entity.join(ans, on=[*keys, ts_us], how="left").select(*first, *[c for c in entity.columns if c not in first], *values)

@@ -15,6 +15,8 @@ slices (they only choose the task), so this is purely a balancing decision.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,24 @@ FAN = 256
 WHOLE = -(2**63)
 
 
+#: Groups of keys that are counted together to see that no key is large.
+GROUPS = 1 << 13
+
+
+def largest_key(df: DataFrame, keys: Sequence[str], fits: int | None = None) -> int:
+    """Rows of the largest key. A number up to ``fits`` (default ``TARGET_ROWS``) may be
+    that of several keys together: groups of keys are counted first, at most ``GROUPS``
+    rows from a task, and only keys of a group above it one by one."""
+    fits = int(fits or TARGET_ROWS)
+    group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS))
+    per = df.groupBy(group.alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
+    row = per.agg(F.max("__n"), F.collect_list(F.when(F.col("__n") > fits, F.col("__g")))).first()
+    if not row[1]:
+        return row[0] or 0
+    each = df.filter(group.isin(row[1])).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return each.agg(F.max("__n")).first()[0]
+
+
 def _start(ts_us: str, base_us: int) -> Column:
     """Where the base slice of a time begins (also before 1970)."""
     return F.expr(f"`{ts_us}` - pmod(`{ts_us}`, {int(base_us)})")

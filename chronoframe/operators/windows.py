@@ -164,8 +164,8 @@ def keys_fit(df: DataFrame, keys: Sequence[str], ts_us: str, copies: int = 1) ->
     """Whether ``copies`` of every row of the largest key fit a task; one row reaches the driver."""
     from . import skew
 
-    per = df.filter(F.col(ts_us).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return (per.agg(F.max("__n")).first()[0] or 0) * copies <= skew.TARGET_ROWS
+    fits = skew.TARGET_ROWS // copies
+    return skew.largest_key(df.filter(F.col(ts_us).isNotNull()), keys, fits) <= fits
 
 
 def _split_join(df: DataFrame, keys: Sequence[str], table: DataFrame, cumulative: Sequence[tuple[str, str]], ts_us: str) -> DataFrame:
@@ -277,10 +277,17 @@ def auto_strategies(df: DataFrame, views: Sequence[Sequence[str]], window_us: in
     from . import skew
 
     target = skew.TARGET_ROWS
+    if all(skew.largest_key(df, keys) <= target for keys in _narrowest(views)):
+        return ["prefix"] * len(views)
     worst = _largest_groups(df, views, window_us, ts_us)
     return ["prefix" if of_key <= target else "split" if in_slice > target else "sliced" for in_slice, of_key in worst]
 
 
+def _narrowest(views: Sequence[Sequence[str]]) -> list[Sequence[str]]:
+    """Views' keys that hold no other view's: keys within a key that fits a task fit too."""
+    return [v for v in views if not any(set(o) < set(v) for o in views)]
+
+
 def _largest_groups(df: DataFrame, views: Sequence[Sequence[str]], window_us: int, ts_us: str) -> list[tuple[int, int]]:
     """Rows of each view's largest (key, window-slice) and of its largest key."""
     parts = []

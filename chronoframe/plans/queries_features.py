@@ -13,7 +13,7 @@ from ..functions.timecols import hour_floor, time_slice
 from ..operators.buckets import bucket_size_map, bucket_sizes
 from ..operators.joins import asof_join, attach_lookup, first_unmatched, unmatched_keys
 from ..operators.sampling import SEED, neg_sample_exact, neg_sample_hash
-from ..operators.windows import cumulative_sum, rolling_mean, view_source, with_history
+from ..operators.windows import cumulative_sum, keys_fit, rolling_mean, view_source, with_history
 from ..registry import CUMULATIVE, DAY_US, ROLLING, feature_name
 from ..sources.bindings import (
     EV,
@@ -225,9 +225,10 @@ register("asof_ttl", _asof_ev_sql(2))(_asof_ev("sliced", 2 * DAY_US))
 
 def _asof_li(strict):
     def q(spark, sf_dir):
-        log = lineitem_log(spark, sf_dir)
-        src = rolling_mean(log, ["video_id"], LI_SIGNALS, LI.window_us)
-        src = cumulative_sum(src, ["video_id"], ["is_returned"]).filter(F.col("is_returned") == 1)
+        log = _item_log(spark, sf_dir)
+        whole = keys_fit(log, ["video_id"], "ts_us")  # then one shuffle, without copies of rows
+        src = rolling_mean(log, ["video_id"], LI_SIGNALS, LI.window_us, strategy="prefix" if whole else "sliced")
+        src = cumulative_sum(src, ["video_id"], ["is_returned"], strategy="direct" if whole else "sliced").filter(F.col("is_returned") == 1)
         ent = log.select(*LI_IDS, "video_id", "ts", "ts_us")
         out = asof_join(ent, src.select("video_id", "ts_us", *_PF), ["video_id"], _PF, strict=strict, ttl_us=LI.views[2].ttl_us, slice_us=90 * DAY_US)
         return out.drop("ts_us")
