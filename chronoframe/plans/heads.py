@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -41,7 +41,7 @@ MAX_WIDTH = 1 << 20
 
 HASHED = "__hashed_ids"
 #: Rows that are worth a task of a fit's iteration.
-FIT_ROWS = 200_000
+FIT_ROWS = 50_000
 
 
 @dataclass
@@ -63,9 +63,8 @@ def _prep(features: Sequence[str], categorical: Sequence[str], width: int | None
         stages.append(FeatureHasher(inputCols=list(categorical), outputCol=HASHED, numFeatures=width, categoricalCols=list(categorical)))
         onehots.append(HASHED)
     elif categorical:
-        stages.append(RankPlaces(categorical))
         onehots = [f"{c}_oh" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=[f"{c}_rank" for c in categorical], outputCols=onehots, dropLast=False, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=list(categorical), outputCols=onehots, dropLast=False, handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[*features, *onehots], outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 
@@ -75,54 +74,6 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.fillna(0.0, subset=list(features))
 
 
-class Ranks(Transformer):
-    """``{c}_rank`` for every category column: its place among the values that the fitted
-    rows have, in order, or their number for any other value. Places that no fitted row
-    sets would get the coefficient 0, whatever the head, and most hash buckets are empty.
-
-    ``words``: per column (word, bits, values before it) of 64 values each."""
-
-    def __init__(self, words: dict[str, list[tuple[int, int, int]]]):
-        super().__init__()
-        self.words = words
-
-    def sizes(self) -> dict[str, int]:
-        return {c: _upto(w) for c, w in self.words.items()}
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        for c, n in self.sizes().items():
-            words = df.sparkSession.createDataFrame(self.words[c], "__word long, __bits long, __before long")
-            below = F.expr(f"__bits & ~shiftleft(-1L, int(`{c}` & 63))")
-            known = F.expr(f"getbit(__bits, int(`{c}` & 63)) = 1")
-            rank = F.when(known, F.col("__before") + F.bit_count(below)).otherwise(F.lit(n)).cast("int")
-            nominal = {"ml_attr": {"type": "nominal", "num_vals": max(n, 1)}}
-            df = df.join(F.broadcast(words), F.shiftright(F.col(c).cast("long"), 6) == F.col("__word"), "left")
-            df = df.withColumn(f"{c}_rank", rank).drop("__word", "__bits", "__before").withMetadata(f"{c}_rank", nominal)
-        return df
-
-
-class RankPlaces(Estimator):
-    """Finds the :class:`Ranks` of a frame's category columns."""
-
-    def __init__(self, columns: Sequence[str]):
-        super().__init__()
-        self.columns = list(columns)
-
-    def _fit(self, df: DataFrame) -> Ranks:
-        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("long").alias("v")) for i, c in enumerate(self.columns)])).alias("c")
-        bit = F.expr("shiftleft(1L, int(c.v & 63))")
-        words = df.select(cells).filter("c.v >= 0").groupBy("c.at", F.shiftright("c.v", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-        found: dict[str, list] = {c: [] for c in self.columns}
-        for r in words.orderBy("at", "word").collect():  # a word has at least one of the values, each of which a head has a coefficient for
-            held = found[self.columns[r["at"]]]
-            held.append((r["word"], r["bits"], _upto(held)))
-        return Ranks(found)
-
-
-def _upto(words: list[tuple[int, int, int]]) -> int:
-    return words[-1][2] + (words[-1][1] & (1 << 64) - 1).bit_count() if words else 0
-
-
 def encode(df: DataFrame, prep: PipelineModel, features: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) and the ``features`` vector of the fitted ``prep``.
 
@@ -135,8 +86,6 @@ def encode(df: DataFrame, prep: PipelineModel, features: Sequence[str], keep: Se
     encoders = [s for s in prep.stages if isinstance(s, OneHotEncoderModel)]
     if not encoders:
         return prep.transform(x).select(*kept, "features")
-    for stage in prep.stages[: prep.stages.index(encoders[0])]:
-        x = stage.transform(x)
     size, cells = len(features), [F.when(F.col(c) != 0, _cell(F.lit(i), F.col(c).cast("double"))) for i, c in enumerate(features)]
     for encoder in encoders:
         for c, n in zip(encoder.getInputCols(), map(int, encoder.categorySizes)):
